@@ -143,19 +143,16 @@ def feature_histogram(
         lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
         if lo is not None:
             edges.append((i, name) + ((lo, hi) if hi > lo else (lo - 0.5, lo + 0.5)))
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("pos"),
-                F.least(
-                    F.floor((q(name) - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("bigint"), F.lit(bins - 1).cast("bigint")
-                ).alias("bin"),
-            )
-            for i, name, lo, hi in edges
-        ]
-    )
+    cells = []
+    for i, name, lo, hi in edges:
+        bin_of = F.floor((q(name) - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("bigint")
+        # least() skips nulls, so an empty cell must be kept out of it
+        bin_of = F.when(q(name).isNotNull(), F.least(bin_of, F.lit(bins - 1).cast("bigint")))
+        cells.append(F.struct(F.lit(i).alias("pos"), bin_of.alias("bin")))
+    if not edges:
+        return df.sparkSession.createDataFrame([], empty)
     counts = (
-        clipped.select(F.inline(cells)).where(F.col("bin").isNotNull()).groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("count"))
+        clipped.select(F.inline(F.array(*cells))).where(F.col("bin").isNotNull()).groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("count"))
     )
     schema = "pos int, feature string, lo double, width double"
     table = small_table(df.sparkSession, [(i, n, lo, (hi - lo) / bins) for i, n, lo, hi in edges], schema)

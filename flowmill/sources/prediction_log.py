@@ -17,9 +17,16 @@ from flowmill.functions.columns import q, small_table
 from flowmill.sources import files
 
 DEFAULT_RECENT, MAX_RECENT = 50, 500
-SCHEMA = T.StructType.fromDDL(
-    "logged_at timestamp, seq string, predicted_class string, confidence double, is_attack boolean, "
-    "features_json string, batch_id string"
+SCHEMA = T.StructType(
+    [
+        T.StructField("logged_at", T.TimestampType()),
+        T.StructField("seq", T.StringType()),
+        T.StructField("predicted_class", T.StringType()),
+        T.StructField("confidence", T.DoubleType()),
+        T.StructField("is_attack", T.BooleanType()),
+        T.StructField("features_json", T.StringType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
 )
 
 
