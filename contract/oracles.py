@@ -69,7 +69,7 @@ quota AS (
                                   <= n_test - sum(whole) OVER () THEN 1 ELSE 0 END AS n_test
   FROM shares),
 placed AS (
-  SELECT k.*, row_number() OVER (PARTITION BY k."Label" ORDER BY md5(row_key || '|42')) <= q.n_test AS is_test
+  SELECT k.*, row_number() OVER (PARTITION BY k."Label" ORDER BY row_key) <= q.n_test AS is_test
   FROM keyed k JOIN quota q ON k."Label" = q."Label")"""
 
 MEDIANS = f""",

@@ -163,7 +163,7 @@ def split_quota(spark, sf_dir):
 
 def stratified_split(spark, sf_dir):
     clean = materialize(_clean(spark, sf_dir).withColumn(ROW_KEY, selection.order_hash(q(KEY), 42)), "clean")
-    split = selection.stratified_split(clean, TARGET, ROW_KEY)
+    split = selection.stratified_split(clean, TARGET, hashed=ROW_KEY)
     return clean.select(q(KEY), q(TARGET), F.when(split.is_test(), "test").otherwise("train").alias("side"))
 
 

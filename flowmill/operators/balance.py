@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowmill.functions.columns import choose, order_hash, q
 from flowmill.operators.neighbours import nearest_in_class
-from flowmill.operators.selection import below_cut, class_counts, hash_cuts
+from flowmill.operators.selection import below_cut, class_counts, hash_counts, hash_cuts
 
 METHODS = ("smote", "class_weight", "none")
 COPIES_PER_ROW = 10_000
@@ -57,16 +57,15 @@ def synthetic_rows(
         warnings.warn(f"neighbours reduced from {k_neighbors} to {k}: class {smallest!r} is small", stacklevel=2)
     minority = {c: n for c, n in counts.items() if n < top}
     base = train.where(q(target).isin(list(minority))).select(
-        q(key).alias("base_key"), q(target), F.array(*[q(c).cast("double") for c in features]).alias("base")
+        q(key).cast("string").alias("base_key"), q(target), F.array(*[q(c).cast("double") for c in features]).alias("base")
     )
     order = order_hash(F.col("base_key"), seed + 1)
     extra = {c: (top - n) % n for c, n in minority.items()}
-    cuts = hash_cuts(base, q(target), order, extra, minority)
+    cuts = hash_cuts(hash_counts(base, q(target), order), extra) if minority else {}
     each = {c: (top - n) // n for c, n in minority.items()}
-    extra_copy = below_cut(q(target), order, cuts).cast("bigint") if minority else F.lit(0).cast("bigint")
-    copies = choose(q(target), each, F.lit(0)).cast("bigint") + extra_copy
+    copies = choose(q(target), each, F.lit(0)).cast("bigint") + below_cut(q(target), order, cuts).cast("bigint")
     near = nearest_in_class(
-        base, target, "base_key", "base", k, minority, asks=copies > 0, seed=seed, **limits
+        base, target, "base_key", "base", len(features), k, minority, asks=copies > 0, seed=seed, **limits
     ).withColumn("copies", copies)
 
     # a row of a tiny class may owe billions of copies: hand them out in portions
@@ -77,9 +76,10 @@ def synthetic_rows(
     start = F.col("portion") * COPIES_PER_ROW
     end = F.least(start + COPIES_PER_ROW, F.col("copies")) - 1
     copied = portion.withColumn("copy", F.explode(F.sequence(start, end)))
-    slot = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed)), F.size("neighbours"))
+    slot = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed)), F.size("keys")).cast("int")
     share = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed + 7)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    picked = copied.withColumn("neighbour", F.get("neighbours", slot.cast("int"))["v"]).withColumn("u", share)
+    chosen = F.slice("vectors", slot * len(features) + 1, F.lit(len(features)))
+    picked = copied.withColumn("neighbour", chosen).withColumn("u", share)
     vector = F.zip_with("base", "neighbour", lambda a, b: a + F.col("u") * (b - a))
     return picked.select("base_key", q(target), "copy", "base", "neighbour", "u", vector.alias("vector"))
 

@@ -13,16 +13,17 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from flowmill.functions.columns import order_hash, q, small_table
-from flowmill.operators.selection import below_cut, hash_cuts
+from flowmill.operators.selection import EVERYTHING, below_cut
 from flowmill.session import materialize
 
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 1_000
 QUERY_ROWS = 4_000
 SAMPLE_ROWS = 20_000
 BROADCAST_ROWS = 200_000
@@ -68,8 +69,30 @@ def _descend(tree: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
         at[moving] = np.where(left, tree["left"][here], tree["right"][here])
 
 
-def _matrix(values: pd.Series) -> np.ndarray:
-    return np.array(values.tolist(), dtype=float)
+def _matrix(values: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Equally long lists as a matrix, without touching single values."""
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _vectors(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(rows, dtype=float).ravel()))
+
+
+def _lists(owner: np.ndarray, owners: int, values: pa.Array) -> pa.ListArray:
+    """Values grouped by their (sorted) owner position."""
+    offsets = np.searchsorted(owner, np.arange(owners + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, values)
+
+
+def _ranks(keys: pa.ChunkedArray) -> np.ndarray:
+    """Position of every key in sorted order: settles ties between equal distances."""
+    order = pc.sort_indices(keys).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return rank
 
 
 def _closest(queries, refs, ref_order, k, bound, same: bool):
@@ -105,8 +128,7 @@ def _closest(queries, refs, ref_order, k, bound, same: bool):
         row, ref, exact = row[inside], ref[inside], exact[inside]
         order = np.lexsort((ref_order[ref], exact, row))
         row, ref, exact = row[order], ref[order], exact[order]
-        first = np.searchsorted(row, row, side="left")
-        kept = np.arange(len(row)) - first < k
+        kept = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
         out.append((row[kept] + start, ref[kept], exact[kept]))
     return tuple(np.concatenate(part) for part in zip(*out))
 
@@ -116,6 +138,7 @@ def nearest_in_class(
     group: str,
     key: str,
     vector: str,
+    width: int,
     k: int,
     counts: Mapping,
     asks: Column | None = None,
@@ -124,44 +147,48 @@ def nearest_in_class(
     query_rows: int = QUERY_ROWS,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """(key, group, vector, neighbours) for every row where ``asks`` holds.
+    """(key, group, vector, distances, keys, vectors) for every row where ``asks`` holds.
 
-    ``neighbours`` is an array of (distance2, key, vector), closest first, of the k nearest other
-    rows of the same class. ``counts`` holds the rows per class. Keys must be unique.
+    ``distances`` (squared), ``keys`` and ``vectors`` describe the k nearest other rows of the same
+    class, closest first; the ``width`` numbers of each neighbour follow one another in ``vectors``.
+    ``counts`` holds the rows per class. Keys must be unique strings.
     """
     spark = df.sparkSession
     asks = F.lit(True) if asks is None else asks
     rows = df.select(q(key).alias("k"), q(group).alias("g"), q(vector).alias("v"), asks.alias("asks"))
-    key_type, group_type = (rows.schema[c].dataType.simpleString() for c in ("k", "g"))
+    group_type = rows.schema["g"].dataType.simpleString()
 
     # trees from a bounded sample; the sample only places the cuts, every row takes part
     large = {g: n for g, n in counts.items() if n > block_rows}
     trees: dict = {}
     if large:
-        order = order_hash(F.col("k"), seed)
-        part = rows.where(F.col("g").isin(list(large)))
-        quotas = {g: min(n, sample_rows) for g, n in large.items()}
-        cuts = hash_cuts(part, F.col("g"), order, quotas, large)
-        sample = part.where(below_cut(F.col("g"), order, cuts)).select("g", "v").toPandas()
-        for g, sampled in sample.groupby("g"):
-            share = max(k + 1, 8, int(block_rows * quotas[g] / large[g]))
-            trees[g] = _grow(_matrix(sampled["v"]), share)
+        # the lowest order hashes: about ``sample_rows`` of each class, known without a counting pass
+        shares = {g: min(1.0, sample_rows / n) for g, n in large.items()}
+        cuts = {g: EVERYTHING if share == 1.0 else f"{int(share * 2**48):012x}" for g, share in shares.items()}
+        low_hashes = below_cut(F.col("g"), order_hash(F.col("k"), seed), cuts)
+        sample = rows.where(low_hashes).select("g", "v").toArrow()
+        sampled_groups = np.array(sample["g"].to_pylist(), dtype=object)
+        points = _matrix(sample["v"], width)
+        for g in large:
+            trees[g] = _grow(points[sampled_groups == g], max(k + 1, 8, int(block_rows * shares[g])))
     offsets, used = {}, 0
     for g in counts:
         offsets[g] = used
         used += len(trees[g]["column"]) if g in trees else 1
 
-    @F.pandas_udf("bigint")
-    def leaf_of(groups: pd.Series, vectors: pd.Series) -> pd.Series:
-        leaf = pd.Series(0, index=groups.index, dtype="int64")
-        for g, members in groups.groupby(groups):
-            leaf[members.index] = offsets[g]
+    @F.arrow_udf("bigint")
+    def leaf_of(groups: pa.Array, vectors: pa.Array) -> pa.Array:
+        leaf = np.zeros(len(groups), dtype=np.int64)
+        labels = groups.dictionary_encode()
+        codes, points = labels.indices.to_numpy(), _matrix(vectors, width)
+        for code, g in enumerate(labels.dictionary.to_pylist()):
+            members = np.flatnonzero(codes == code)
+            leaf[members] = offsets[g]
             if g in trees:
-                leaf[members.index] += _descend(trees[g], _matrix(vectors[members.index]))
-        return leaf
+                leaf[members] += _descend(trees[g], points[members])
+        return pa.array(leaf)
 
-    placed = materialize(rows.withColumn("leaf", leaf_of("g", "v")), "placed") if large else rows.withColumn("leaf", leaf_of("g", "v"))
-    width = len(placed.select("v").first()["v"]) if counts else 0
+    placed = materialize(rows.withColumn("leaf", leaf_of("g", "v")), "placed")
     boxes = (
         placed.groupBy("leaf")
         .agg(
@@ -173,13 +200,12 @@ def nearest_in_class(
         .orderBy("leaf")
         .toPandas()
     )  # one row per leaf; leaves are bounded by the sample
-    boxes["blocks"] = -(-boxes["n"] // block_rows)
-    boxes["first"] = boxes["blocks"].cumsum() - boxes["blocks"]
-    low = boxes[[f"lo{i}" for i in range(width)]].to_numpy()
-    high = boxes[[f"hi{i}" for i in range(width)]].to_numpy()
+    low = boxes[[f"lo{i}" for i in range(width)]].to_numpy(dtype=float)
+    high = boxes[[f"hi{i}" for i in range(width)]].to_numpy(dtype=float)
     leaf_groups = boxes["g"].to_numpy()
-    first, blocks = boxes["first"].to_numpy(), boxes["blocks"].to_numpy()
-    several = bool((boxes.groupby("g")["blocks"].sum() > 1).any())
+    blocks = -(-boxes["n"].to_numpy() // block_rows)
+    first = np.cumsum(blocks) - blocks
+    several = bool(pd.Series(blocks).groupby(boxes["g"]).sum().gt(1).any())
 
     leaf_table = small_table(
         spark,
@@ -190,57 +216,64 @@ def nearest_in_class(
         "k", "g", "v", "asks", (F.col("first") + F.pmod(F.xxhash64("k"), F.col("blocks"))).alias("block")
     )
 
-    neighbour = f"array<struct<d:double,k:{key_type},v:array<double>>>"
+    own_schema = (
+        f"k string, g {group_type}, v array<double>, bound double, "
+        "nd array<double>, nk array<string>, nv array<double>, targets array<bigint>"
+    )
 
-    def answer_own(frame: pd.DataFrame) -> pd.DataFrame:
-        matrix = _matrix(frame["v"])
-        keys = frame["k"].to_numpy()
-        rank = np.empty(len(keys), dtype=np.int64)
-        rank[np.argsort(keys)] = np.arange(len(keys))
-        asking = np.flatnonzero(frame["asks"].to_numpy())
+    def answer_own(table: pa.Table) -> pa.Table:
+        asking = np.flatnonzero(table["asks"].to_numpy())
+        rest = np.flatnonzero(~table["asks"].to_numpy())
         # asking rows first, so that a query's position is also its position among the refs
-        order = np.concatenate([asking, np.setdiff1d(np.arange(len(keys)), asking)])
-        refs, rank, ref_keys = matrix[order], rank[order], keys[order]
-        queries = matrix[asking]
-        lists, bound = [[] for _ in asking], np.full(len(asking), np.inf)
-        if len(asking) and len(refs) > 1:
-            row, ref, d = _closest(queries, refs, rank, k, bound.copy(), same=True)
-            for r, j, distance in zip(row, ref, d):
-                lists[r].append({"d": float(distance), "k": ref_keys[j], "v": refs[j]})
-            for r, found in enumerate(lists):
-                if len(found) == k:
-                    bound[r] = found[-1]["d"]
-        targets = [[] for _ in asking]
-        if several and len(asking):
-            own = int(frame["block"].iloc[0])
-            mine = np.flatnonzero(leaf_groups == frame["g"].iloc[0])
-            for start in range(0, len(asking), SLICE):
+        table = table.take(pa.array(np.concatenate([asking, rest])))
+        refs, count = _matrix(table["v"], width), len(asking)
+        queries, bound = refs[:count], np.full(count, np.inf)
+        row, ref, d = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if count and len(refs) > 1:
+            row, ref, d = _closest(queries, refs, _ranks(table["k"]), k, bound, same=True)
+            last = np.searchsorted(row, np.arange(count), side="right") - 1
+            full = np.bincount(row, minlength=count) == k
+            bound[full] = d[last[full]]
+        seekers, targets = [np.zeros(0, int)], [np.zeros(0, np.int64)]
+        if several and count:
+            own = table["block"][0].as_py()
+            mine = np.flatnonzero(leaf_groups == table["g"][0].as_py())
+            for start in range(0, count, SLICE):
                 x = queries[start : start + SLICE]
                 gap = np.zeros((len(x), len(mine)))
                 for column in range(width):
                     c = x[:, column][:, None]
                     gap += np.maximum(np.maximum(low[mine, column] - c, c - high[mine, column]), 0.0) ** 2
                 # a hair of slack keeps rounding from hiding a block
-                near = gap <= bound[start : start + SLICE, None] * (1 + 1e-12)
-                for r, leaf in zip(*np.nonzero(near)):
-                    at = mine[leaf]
-                    targets[start + r].extend(b for b in range(first[at], first[at] + blocks[at]) if b != own)
-        return pd.DataFrame(
+                seeker, at = np.nonzero(gap <= bound[start : start + SLICE, None] * (1 + 1e-12))
+                repeats = blocks[mine[at]]
+                inner = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+                block = np.repeat(first[mine[at]], repeats) + inner
+                other = block != own
+                seekers.append(np.repeat(seeker, repeats)[other] + start)
+                targets.append(block[other])
+        found = pa.array(ref)
+        ends = _lists(row, count, pa.array(d))
+        return pa.table(
             {
-                "k": keys[asking],
-                "g": frame["g"].to_numpy()[asking],
-                "v": list(queries),
-                "bound": bound,
-                "near": lists,
-                "targets": targets,
+                "k": table["k"].slice(0, count),
+                "g": table["g"].slice(0, count),
+                "v": _vectors(queries),
+                "bound": pa.array(bound),
+                "nd": ends,
+                "nk": _lists(row, count, table["k"].combine_chunks().take(found)),
+                "nv": pa.ListArray.from_arrays(
+                    pa.array(ends.offsets.to_numpy() * width, pa.int32()), pa.array(refs[ref].ravel())
+                ),
+                "targets": _lists(np.concatenate(seekers), count, pa.array(np.concatenate(targets))),
             }
         )
 
-    own_schema = f"k {key_type}, g {group_type}, v array<double>, bound double, near {neighbour}, targets array<bigint>"
-    own = in_block.groupBy("block").applyInPandas(answer_own, own_schema)
+    own = in_block.groupBy("block").applyInArrow(answer_own, own_schema)
     result = [F.col("k").alias(key), F.col("g").alias(group), F.col("v").alias(vector)]
+    told = [F.col("nd").alias("distances"), F.col("nk").alias("keys"), F.col("nv").alias("vectors")]
     if not several:
-        return own.select(*result, F.col("near").alias("neighbours"))
+        return own.select(*result, *told)
     own = materialize(own, "own")
 
     visits = own.select("k", "v", "bound", F.explode("targets").alias("block"))
@@ -254,35 +287,43 @@ def nearest_in_class(
         "k", "v", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
     )
 
-    def answer_visits(queries: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"k": [], "d": [], "nk": [], "nv": []})
-        if not len(queries) or not len(refs):
-            return empty
-        keys = refs["k"].to_numpy()
-        rank = np.empty(len(keys), dtype=np.int64)
-        rank[np.argsort(keys)] = np.arange(len(keys))
-        matrix = _matrix(refs["v"])
-        row, ref, d = _closest(
-            _matrix(queries["v"]), matrix, rank, k, queries["bound"].to_numpy(dtype=float), same=False
+    def answer_visits(queries: pa.Table, refs: pa.Table) -> pa.Table:
+        matrix = _matrix(refs["v"], width)
+        row, ref, d = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if len(queries) and len(refs):
+            bound = queries["bound"].to_numpy()
+            row, ref, d = _closest(_matrix(queries["v"], width), matrix, _ranks(refs["k"]), k, bound, same=False)
+        return pa.table(
+            {
+                "k": queries["k"].combine_chunks().take(pa.array(row)),
+                "d": pa.array(d),
+                "nk": refs["k"].combine_chunks().take(pa.array(ref)),
+                "nv": _vectors(matrix[ref]),
+            }
         )
-        return pd.DataFrame({"k": queries["k"].to_numpy()[row], "d": d, "nk": keys[ref], "nv": list(matrix[ref])})
 
     found = (
         asked.groupBy("block", "part")
         .cogroup(held.groupBy("block", "part"))
-        .applyInPandas(answer_visits, f"k {key_type}, d double, nk {key_type}, nv array<double>")
+        .applyInArrow(answer_visits, "k string, d double, nk string, nv array<double>")
     )
     visiting = own.where(F.size("targets") > 0)
-    local = visiting.select("k", F.inline("near").alias("d", "nk", "nv"))
+    local = visiting.select("k", "nv", F.posexplode(F.arrays_zip("nd", "nk")).alias("i", "n")).select(
+        "k", F.col("n.nd").alias("d"), F.col("n.nk").alias("nk"), F.slice("nv", F.col("i") * width + 1, F.lit(width)).alias("nv")
+    )
     best = W.partitionBy("k").orderBy("d", "nk")
     merged = (
         local.unionByName(found)
         .withColumn("r", F.row_number().over(best))
         .where(F.col("r") <= k)
         .groupBy("k")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("d", F.col("nk").alias("k"), F.col("nv").alias("v")))).alias("neighbours")
+        .agg(F.sort_array(F.collect_list(F.struct("d", "nk", "nv"))).alias("near"))
+        .select(
+            "k",
+            F.transform("near", lambda e: e["d"]).alias("nd"),
+            F.transform("near", lambda e: e["nk"]).alias("nk"),
+            F.flatten(F.transform("near", lambda e: e["nv"])).alias("nv"),
         )
     )
-    settled = own.where(F.size("targets") == 0).select(*result, F.col("near").alias("neighbours"))
-    return settled.unionByName(visiting.join(merged, "k").select(*result, "neighbours"))
+    settled = own.where(F.size("targets") == 0).select(*result, *told)
+    return settled.unionByName(visiting.drop("nd", "nk", "nv").join(merged, "k").select(*result, *told))

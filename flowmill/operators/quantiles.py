@@ -1,48 +1,39 @@
 """Exact quantiles of many columns without gathering a column in one task.
 
-Spark's own ``percentile`` keeps every distinct value of a column in one aggregation
-buffer. That is the quick way for small tables and is used behind a size check. Beyond it,
-a few passes narrow a bracket around the wanted rank: an approximate quantile proposes the
-bracket, exact counts prove on which side the rank lies, and only when the values strictly
-inside the bracket are few are they fetched.
+Spark's own exact ``percentile`` keeps every distinct value of a column in one aggregation
+buffer. Here each round counts the values of a bracket in equal-width bins, together with the
+smallest and largest value of each bin. The bin that holds the wanted rank becomes the next
+bracket, with exact bounds and an exact count of the values below it. Counts combine map-side,
+so a round shuffles a few thousand rows per task whatever the table size. Once a bracket holds
+few values they are fetched.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from flowmill.functions.columns import finite, q
+from flowmill.functions.columns import finite, q, small_table
 
-DIRECT_CELLS = 8_000_000
-GATHER_VALUES = 20_000
-ACCURACY = 10_000
+GATHER_VALUES = 10_000
+BINS = 4_096
 
 
 @dataclass
 class _Search:
-    """The hunt for the values at 0-based ``ranks`` of one column."""
+    """The hunt for the value at one 0-based rank of one column, known to lie in [low, high]."""
 
     column: str
-    p: float
-    ranks: set[int]
-    low: float = -math.inf
-    high: float = math.inf
-    below: int = 0  # values <= low
-    inside: int = 0  # values strictly between low and high
-    found: dict[int, float] = field(default_factory=dict)
-
-    def between(self):
-        c = F.col(self.column)
-        test = F.lit(True)
-        if self.low > -math.inf:
-            test = test & (c > F.lit(self.low))
-        if self.high < math.inf:
-            test = test & (c < F.lit(self.high))
-        return F.when(test, c)
+    rank: int
+    low: float
+    high: float
+    below: int = 0  # values under low
+    inside: int = 0  # values in [low, high]
+    value: float | None = None
 
 
 def exact_quantiles(
@@ -50,9 +41,8 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     *,
-    direct_cells: int = DIRECT_CELLS,
     gather_values: int = GATHER_VALUES,
-    accuracy: int = ACCURACY,
+    bins: int = BINS,
 ) -> dict[str, dict[float, float | None]]:
     """``{column: {p: value}}`` with linear interpolation, over the finite values only.
 
@@ -62,82 +52,93 @@ def exact_quantiles(
         return {}
     names = [f"c{i}" for i in range(len(columns))]
     values = df.select(*[finite(q(c)).alias(n) for c, n in zip(columns, names)])
-    counts = values.agg(*[F.count(n).alias(n) for n in names]).first()
-    if sum(counts[n] for n in names) <= direct_cells:
-        listed = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(F.col(n), listed).alias(n) for n in names]).first()
-        return {
-            c: dict(zip(probabilities, row[n] if row[n] is not None else [None] * len(probabilities)))
-            for c, n in zip(columns, names)
-        }
-
-    searches = []
+    facts = values.agg(
+        *[agg(F.col(n)).alias(f"{kind}{n}") for n in names for kind, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    ).first()
+    searches: dict[tuple[str, int], _Search] = {}
     for n in names:
-        for p in probabilities:
-            if counts[n]:
-                spot = p * (counts[n] - 1)
-                searches.append(_Search(n, p, {math.floor(spot), math.ceil(spot)}, inside=counts[n]))
-    open_ones = list(searches)
-    while open_ones:
-        few = [s for s in open_ones if s.inside <= gather_values]
-        many = [s for s in open_ones if s.inside > gather_values]
+        count = facts[f"n{n}"]
+        for p in probabilities if count else ():
+            spot = p * (count - 1)
+            for rank in (math.floor(spot), math.ceil(spot)):
+                found = _Search(n, rank, facts[f"lo{n}"] + 0.0, facts[f"hi{n}"] + 0.0, 0, count)
+                found.value = found.low if found.low == found.high else None
+                searches[n, rank] = found
+    while left := [s for s in searches.values() if s.value is None]:
+        few = [s for s in left if s.inside <= gather_values]
+        many = [s for s in left if s.inside > gather_values]
         if few:
             _gather(values, few)
         if many:
-            _narrow(values, many, accuracy)
-        open_ones = [s for s in many if s.ranks - s.found.keys()]
+            _narrow(values, many, bins)
 
-    result: dict[str, dict[float, float | None]] = {c: {p: None for p in probabilities} for c in columns}
-    for s in searches:
-        spot = s.p * (counts[s.column] - 1)
-        lower, upper = math.floor(spot), math.ceil(spot)
-        if lower == upper:
-            value = s.found[lower]
-        else:
-            value = (upper - spot) * s.found[lower] + (spot - lower) * s.found[upper]
-        result[columns[names.index(s.column)]][s.p] = value
+    result: dict[str, dict[float, float | None]] = {}
+    for c, n in zip(columns, names):
+        result[c] = {}
+        for p in probabilities:
+            if not facts[f"n{n}"]:
+                result[c][p] = None
+                continue
+            spot = p * (facts[f"n{n}"] - 1)
+            lower, upper = math.floor(spot), math.ceil(spot)
+            a, b = searches[n, lower].value, searches[n, upper].value
+            result[c][p] = a if lower == upper else (upper - spot) * a + (spot - lower) * b
     return result
 
 
+def _brackets(searches: list[_Search]) -> dict[tuple, list[_Search]]:
+    """Searches that share a bracket are served together."""
+    shared: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        shared.setdefault((s.column, s.low, s.high, s.below), []).append(s)
+    return shared
+
+
 def _gather(values: DataFrame, searches: list[_Search]) -> None:
-    """Fetch the few values inside each bracket (at most ``gather_values`` each)."""
-    row = values.agg(*[F.sort_array(F.collect_list(s.between())).alias(f"g{i}") for i, s in enumerate(searches)]).first()
-    for i, s in enumerate(searches):
-        for rank in s.ranks - s.found.keys():
-            s.found[rank] = row[f"g{i}"][rank - s.below]
-
-
-def _narrow(values: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    """One round: propose cut points inside the bracket, count exactly, keep the right part."""
-    proposals = []
-    for i, s in enumerate(searches):
-        wanted = sorted(s.ranks - s.found.keys())
-        slack = 2.0 * s.inside / accuracy + 1
-        lows = max(0.0, (wanted[0] - s.below - slack) / s.inside)
-        highs = min(1.0, (wanted[-1] - s.below + 1 + slack) / s.inside)
-        proposals.append(
-            F.percentile_approx(s.between(), F.array(F.lit(lows), F.lit(highs)), F.lit(accuracy)).alias(f"a{i}")
+    """Fetch the few values of each bracket (at most ``gather_values`` each)."""
+    shared = _brackets(searches)
+    held = [
+        F.sort_array(F.collect_list(F.when(F.col(c).between(low, high), F.col(c)))).alias(f"g{i}")
+        for i, (c, low, high, _) in enumerate(shared)
+    ]
+    row = values.agg(*held).first()
+    for i, members in enumerate(shared.values()):
+        for s in members:
+            s.value = row[f"g{i}"][s.rank - s.below]
+
+
+def _narrow(values: DataFrame, searches: list[_Search], bins: int) -> None:
+    """One round: count each bracket in bins and keep the bin that holds the rank."""
+    shared = _brackets(searches)
+    cells = []
+    for i, (c, low, high, _) in enumerate(shared):
+        # halves keep the width finite for any two doubles
+        step = (high / 2 - low / 2) / bins
+        spot = F.least(F.floor((F.col(c) / 2 - F.lit(low / 2)) / F.lit(step)), F.lit(bins - 1)) if step > 0 else (
+            F.when(F.col(c) > low, 1).otherwise(0)
         )
-    cuts = values.agg(*proposals).first()
-    counted = []
-    for i, s in enumerate(searches):
-        c = F.col(s.column)
-        for j, cut in enumerate(cuts[f"a{i}"]):
-            counted.append(F.count_if(c < F.lit(cut)).alias(f"lt{i}_{j}"))
-            counted.append(F.count_if(c <= F.lit(cut)).alias(f"le{i}_{j}"))
-    row = values.agg(*counted).first()
-    for i, s in enumerate(searches):
-        top = s.below + s.inside  # values < high
-        for j, cut in enumerate(cuts[f"a{i}"]):
-            less, upto = row[f"lt{i}_{j}"], row[f"le{i}_{j}"]
-            for rank in s.ranks - s.found.keys():
-                if less <= rank < upto:
-                    s.found[rank] = cut
-            left = s.ranks - s.found.keys()
-            if not left:
-                break
-            if min(left) >= upto and cut > s.low:
-                s.low, s.below = cut, upto
-            if max(left) < less and cut < s.high:
-                s.high, top = cut, less
-        s.inside = top - s.below
+        x = F.when(F.col(c).between(low, high), F.col(c))
+        cells.append(F.struct(F.lit(i).alias("b"), F.when(x.isNotNull(), spot.cast("int")).alias("bin"), x.alias("x")))
+    counted = (
+        values.select(F.inline(F.array(*cells)))
+        .where(F.col("x").isNotNull())
+        .groupBy("b", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    )
+    # from here on at most ``bins`` rows per bracket
+    upto = F.sum("n").over(W.partitionBy("b").orderBy("bin"))
+    wanted = [(i, j, s.rank - s.below) for i, members in enumerate(shared.values()) for j, s in enumerate(members)]
+    asked = F.broadcast(small_table(values.sparkSession, wanted, "b int, j int, want bigint"))
+    hits = (
+        counted.withColumn("upto", upto)
+        .join(asked, "b")
+        .where((F.col("want") < F.col("upto")) & (F.col("want") >= F.col("upto") - F.col("n")))
+        .collect()
+    )  # one row per search
+    groups = list(shared.values())
+    for r in hits:
+        s = groups[r["b"]][r["j"]]
+        s.below += r["upto"] - r["n"]
+        s.low, s.high, s.inside = r["low"], r["high"], r["n"]
+        if s.low == s.high:
+            s.value = s.low

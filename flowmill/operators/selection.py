@@ -18,8 +18,9 @@ from pyspark.sql import Window as W
 
 from flowmill.functions.columns import order_hash, q, small_table
 
-PREFIX_ROWS = 500_000
-EVERYTHING = "~"  # sorts after every hex digit
+RANKED_ROWS = 500_000
+FIRST_DIGITS = 2
+NOTHING, EVERYTHING = "", "~"  # sort before and after every hex digit
 
 
 def hash_of(df: DataFrame, key: str | Sequence[str] | None, seed: int) -> Column:
@@ -32,48 +33,81 @@ def hash_of(df: DataFrame, key: str | Sequence[str] | None, seed: int) -> Column
 def class_counts(df: DataFrame, target: str) -> dict:
     """Rows per class, on the driver: one entry per label. Rows without label are an error."""
     counts = {r["label"]: r["n"] for r in df.groupBy(q(target).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    _check_labelled(counts, target)
+    return dict(sorted(counts.items()))
+
+
+def _check_labelled(counts: Mapping, target: str) -> None:
     if None in counts:
         raise ValueError(f"{counts[None]} rows have no label in '{target}'")
-    return dict(sorted(counts.items()))
 
 
-def hash_cuts(
-    df: DataFrame,
-    group: Column,
-    order: Column,
-    quotas: Mapping,
-    counts: Mapping,
-    prefix_rows: int = PREFIX_ROWS,
-) -> dict:
+@dataclass(frozen=True)
+class HashCounts:
+    """Rows per class and leading hash digits: 16^digits numbers per class, from one pass."""
+
+    rows: DataFrame  # (g, h)
+    by_prefix: dict  # {class: {prefix: rows}}
+
+    @property
+    def totals(self) -> dict:
+        return {g: sum(held.values()) for g, held in self.by_prefix.items()}
+
+
+def hash_counts(df: DataFrame, group: Column, order: Column) -> HashCounts:
+    rows = df.select(group.alias("g"), order.alias("h"))
+    prefix = F.substring("h", 1, FIRST_DIGITS).alias("p")
+    by_prefix: dict = {}
+    for r in rows.groupBy("g", prefix).agg(F.count(F.lit(1)).alias("n")).collect():  # 256 per class
+        by_prefix.setdefault(r["g"], {})[r["p"]] = r["n"]
+    ordered = sorted(by_prefix, key=lambda g: (g is None, g if g is not None else ""))
+    return HashCounts(rows, {g: dict(sorted(by_prefix[g].items())) for g in ordered})
+
+
+def _step(held: Mapping[str, int], take: int) -> tuple[str, int, int]:
+    """(prefix, rows still to take inside it, rows it holds) where the running count reaches ``take``."""
+    for prefix in sorted(held):
+        if take <= held[prefix]:
+            return prefix, take, held[prefix]
+        take -= held[prefix]
+    raise AssertionError("a quota exceeds the rows counted")
+
+
+def hash_cuts(counted: HashCounts, quotas: Mapping, ranked_rows: int = RANKED_ROWS) -> dict:
     """``{group: cut}`` such that ``order <= cut`` holds for exactly ``quotas[group]`` rows.
 
     The order values must be unique inside a group around the cut; equal ones are an error
     because no cut could then hit the quota.
     """
-    cuts = {g: (EVERYTHING if quotas[g] >= counts[g] else "") for g in quotas}
-    open_groups = {g: n for g, n in quotas.items() if 0 < n < counts[g]}
-    if not open_groups:
+    totals, rows = counted.totals, counted.rows
+    cuts = {g: (EVERYTHING if n >= totals[g] else NOTHING) for g, n in quotas.items()}
+    edges = {g: _step(counted.by_prefix[g], n) for g, n in quotas.items() if 0 < n < totals[g]}
+    if not edges:
         return cuts
-    largest = max(counts[g] for g in open_groups)
-    digits = max(1, math.ceil(math.log(max(1.0, largest / prefix_rows), 16)))
-    spark = df.sparkSession
-    rows = df.select(group.alias("g"), order.alias("h")).where(F.col("g").isin(list(open_groups)))
-    rows = rows.select("g", "h", F.substring("h", 1, digits).alias("p"))
-    kind = df.select(group.alias("g")).schema["g"].dataType.simpleString()
-
-    wanted = F.broadcast(small_table(spark, list(open_groups.items()), f"g {kind}, want bigint"))
-    prefix_order = W.partitionBy("g").orderBy("p")
-    held = rows.groupBy("g", "p").agg(F.count(F.lit(1)).alias("n"))  # at most 16^digits rows per class
-    reached = held.select("g", "p", "n", F.sum("n").over(prefix_order).alias("upto")).join(wanted, "g")
-    border = reached.where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want")))
-    edges = [(r["g"], r["p"], r["want"] - (r["upto"] - r["n"])) for r in border.collect()]  # one per class
-
-    edge = F.broadcast(small_table(spark, edges, f"g {kind}, p string, take bigint"))
-    near = rows.join(edge, ["g", "p"])
-    ranked = near.select("g", "h", "take", F.row_number().over(W.partitionBy("g").orderBy("h")).alias("r"))
+    spark = rows.sparkSession
+    kind = rows.schema["g"].dataType.simpleString()
+
+    def near() -> DataFrame:
+        """The rows that share the prefix around their class's cut."""
+        table = small_table(spark, [(g, p, len(p), take) for g, (p, take, _) in edges.items()], f"g {kind}, p string, len int, take bigint")
+        return rows.join(F.broadcast(table), "g").where(F.startswith(F.col("h"), F.col("p")))  # one row per class
+
+    # a prefix still holding too many rows for one task is told apart by more digits
+    while (largest := max(n for _, _, n in edges.values())) > ranked_rows:
+        digits = math.ceil(math.log(largest / ranked_rows, 16))
+        longer = F.expr(f"substring(h, 1, len + {digits})").alias("p2")
+        held: dict = {}
+        for r in near().groupBy("g", longer).agg(F.count(F.lit(1)).alias("n")).collect():  # 16^digits per class
+            held.setdefault(r["g"], {})[r["p2"]] = r["n"]
+        finer = {g: _step(held[g], take) for g, (_, take, _) in edges.items()}
+        if any(len(p) >= 32 and n > ranked_rows for p, _, n in finer.values()):
+            raise ValueError("many rows share one key: no exact selection is possible")
+        edges = finer
+
+    ranked = near().select("g", "h", "take", F.row_number().over(W.partitionBy("g").orderBy("h")).alias("r"))
     picked = ranked.where(F.col("r").between(F.col("take"), F.col("take") + 1)).collect()  # two per class
     at = {(r["g"], r["r"] - r["take"]): r["h"] for r in picked}
-    for g in open_groups:
+    for g in edges:
         if at.get((g, 1)) == at[(g, 0)]:
             raise ValueError(f"the key is not unique in group {g!r}: no exact selection is possible")
         cuts[g] = at[(g, 0)]
@@ -81,9 +115,13 @@ def hash_cuts(
 
 
 def below_cut(group: Column, order: Column, cuts: Mapping) -> Column:
-    """True for the selected rows, as an expression that needs neither shuffle nor join."""
-    listed = [pair for g, cut in cuts.items() for pair in (F.lit(g), F.lit(cut))]
-    return order <= F.element_at(F.create_map(*listed), group)
+    """True for the selected rows: a plain filter on class and order value, one term per class."""
+    test = None
+    for g, cut in cuts.items():
+        if cut != NOTHING:
+            chosen = (group == F.lit(g)) if cut == EVERYTHING else (group == F.lit(g)) & (order <= F.lit(cut))
+            test = chosen if test is None else test | chosen
+    return F.lit(False) if test is None else test
 
 
 @dataclass(frozen=True)
@@ -91,15 +129,13 @@ class Split:
     """A fitted stratified split: which hash cut sends a class's rows to the test side."""
 
     target: str
-    key: str | tuple[str, ...]
-    seed: int
+    order: Column
     counts: dict
     test_quota: dict
     cuts: dict
 
     def is_test(self) -> Column:
-        key = q(self.key) if isinstance(self.key, str) else [q(c) for c in self.key]
-        return below_cut(q(self.target), order_hash(key, self.seed), self.cuts)
+        return below_cut(q(self.target), self.order, self.cuts)
 
     def test(self, df: DataFrame) -> DataFrame:
         return df.where(self.is_test())
@@ -131,15 +167,18 @@ def stratified_split(
     key: str | Sequence[str] | None = None,
     test_size: float = 0.2,
     seed: int = 42,
-    prefix_rows: int = PREFIX_ROWS,
+    hashed: str | None = None,
+    ranked_rows: int = RANKED_ROWS,
 ) -> Split:
-    """Fit an exact stratified split. ``key`` must be unique; the default is the whole row."""
-    key = key if isinstance(key, str) else tuple(key or df.columns)
-    counts = class_counts(df, target)
-    quota = split_quota(counts, test_size)
-    order = order_hash(q(key) if isinstance(key, str) else [q(c) for c in key], seed)
-    cuts = hash_cuts(df, q(target), order, quota, counts, prefix_rows)
-    return Split(target, key, seed, counts, quota, cuts)
+    """Fit an exact stratified split. ``key`` must be unique; the default is the whole row.
+
+    ``hashed`` names a column that already holds a seeded order hash.
+    """
+    order = q(hashed) if hashed else hash_of(df, key, seed)
+    counted = hash_counts(df, q(target), order)
+    _check_labelled(counted.totals, target)
+    quota = split_quota(counted.totals, test_size)
+    return Split(target, order, counted.totals, quota, hash_cuts(counted, quota, ranked_rows))
 
 
 def per_class_sample(
@@ -150,19 +189,18 @@ def per_class_sample(
     seed: int = 42,
     only: Sequence | None = None,
     classes: Sequence | None = None,
-    prefix_rows: int = PREFIX_ROWS,
+    ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
     """Up to ``n`` random rows of each class, in class order. Unknown names in ``only`` are an error."""
-    counts = class_counts(df, target)
-    known = list(classes) if classes is not None else list(counts)
+    order = hash_of(df, key, seed)
+    counted = hash_counts(df, q(target), order)
+    totals = {c: m for c, m in counted.totals.items() if c is not None}
+    known = list(classes) if classes is not None else list(totals)
     unknown = [c for c in (only or []) if c not in known]
     if unknown:
         raise ValueError(f"unknown class(es) {unknown}; choose from {known}")
-    quotas = {c: min(n, counts[c]) for c in known if c in counts and (not only or c in only)}
-    if not quotas:
-        return df.limit(0)
-    order = hash_of(df, key, seed)
-    cuts = hash_cuts(df, q(target), order, quotas, counts, prefix_rows)
+    quotas = {c: min(n, totals[c]) for c in known if c in totals and (not only or c in only)}
+    cuts = hash_cuts(counted, quotas, ranked_rows)
     return df.where(below_cut(q(target), order, cuts)).orderBy(q(target), order)
 
 
@@ -177,17 +215,16 @@ def subsample(
     max_rows: int | None,
     key: str | Sequence[str] | None = None,
     seed: int = 42,
-    prefix_rows: int = PREFIX_ROWS,
+    ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
     """Exactly ``max_rows`` random rows; the table itself when it is not larger."""
     if max_rows is None:
         return df
-    total = df.count()
-    if total <= max_rows:
+    order = hash_of(df, key, seed)
+    counted = hash_counts(df, F.lit(0), order)
+    if counted.totals.get(0, 0) <= max_rows:
         return df
-    order, whole = hash_of(df, key, seed), F.lit(0)
-    cuts = hash_cuts(df, whole, order, {0: max_rows}, {0: total}, prefix_rows)
-    return df.where(order <= F.lit(cuts[0]))
+    return df.where(order <= F.lit(hash_cuts(counted, {0: max_rows}, ranked_rows)[0]))
 
 
 def replay_order(

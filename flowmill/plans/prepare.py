@@ -157,7 +157,7 @@ def prepare(
     if materialized:
         unique = materialize(unique, "clean")
     rows_loaded, rows_kept = df.count(), None
-    split = stratified_split(unique, target, ROW_KEY, test_size, seed)
+    split = stratified_split(unique, target, test_size=test_size, hashed=ROW_KEY)  # the key is a seeded hash already
     rows_kept = sum(split.counts.values())
     features = [c for c in numeric_columns(unique, exclude=[target])]
     raw_train, raw_test = split.train(unique), split.test(unique)

@@ -65,7 +65,7 @@ def train_and_compare(
     check_order(train, state)
     judged = test
     if validation_share is not None:
-        split = stratified_split(train, state.target, ROW_KEY, validation_share, seed)
+        split = stratified_split(train, state.target, ROW_KEY, validation_share, seed + 1)
         train, judged = split.train(train), split.test(train)
     train = subsample(train, max_train_rows, ROW_KEY, seed)
     bundles, seconds, results, counts = {}, {}, {}, {}
