@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowmill.functions.columns import choose, order_hash, q
 from flowmill.operators.neighbours import nearest_in_class
-from flowmill.operators.selection import below_cut, class_counts, hash_counts, hash_cuts
+from flowmill.operators.selection import below_cut, check_labelled, class_counts, hash_counts, hash_cuts
 
 METHODS = ("smote", "class_weight", "none")
 COPIES_PER_ROW = 10_000
@@ -47,7 +47,10 @@ def synthetic_rows(
     rows that lacks m gives every row m // n copies, and one more to the first m % n rows in a
     seeded hash order.
     """
-    counts = class_counts(train, target)
+    order = order_hash(q(key), seed + 1)
+    counted = hash_counts(train, q(target), order)
+    check_labelled(counted.totals, target)
+    counts = counted.totals
     top = max(counts.values())
     smallest = min(counts, key=counts.get)
     if counts[smallest] < 2:
@@ -56,14 +59,13 @@ def synthetic_rows(
     if k != k_neighbors:
         warnings.warn(f"neighbours reduced from {k_neighbors} to {k}: class {smallest!r} is small", stacklevel=2)
     minority = {c: n for c, n in counts.items() if n < top}
+    each = {c: (top - n) // n for c, n in minority.items()}
+    cuts = hash_cuts(counted, {c: (top - n) % n for c, n in minority.items()})
     base = train.where(q(target).isin(list(minority))).select(
         q(key).cast("string").alias("base_key"), q(target), F.array(*[q(c).cast("double") for c in features]).alias("base")
     )
-    order = order_hash(F.col("base_key"), seed + 1)
-    extra = {c: (top - n) % n for c, n in minority.items()}
-    cuts = hash_cuts(hash_counts(base, q(target), order), extra) if minority else {}
-    each = {c: (top - n) // n for c, n in minority.items()}
-    copies = choose(q(target), each, F.lit(0)).cast("bigint") + below_cut(q(target), order, cuts).cast("bigint")
+    extra = below_cut(q(target), order_hash(q("base_key"), seed + 1), cuts)
+    copies = choose(q(target), each, F.lit(0)).cast("bigint") + extra.cast("bigint")
     near = nearest_in_class(
         base, target, "base_key", "base", len(features), k, minority, asks=copies > 0, seed=seed, **limits
     ).withColumn("copies", copies)
@@ -78,10 +80,16 @@ def synthetic_rows(
     copied = portion.withColumn("copy", F.explode(F.sequence(start, end)))
     slot = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed)), F.size("keys")).cast("int")
     share = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed + 7)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    chosen = F.slice("vectors", slot * len(features) + 1, F.lit(len(features)))
-    picked = copied.withColumn("neighbour", chosen).withColumn("u", share)
-    vector = F.zip_with("base", "neighbour", lambda a, b: a + F.col("u") * (b - a))
-    return picked.select("base_key", q(target), "copy", "base", "neighbour", "u", vector.alias("vector"))
+    width = len(features)
+    picked = copied.select("base_key", q(target), "copy", "base", "vectors", (slot * width).alias("at"), share.alias("u"))
+    # plain arithmetic per position stays in generated code, unlike a lambda over arrays
+    vector = [
+        F.col("base")[i] + F.col("u") * (F.col("vectors")[F.col("at") + i] - F.col("base")[i]) for i in range(width)
+    ]
+    neighbour = F.slice("vectors", F.col("at") + 1, F.lit(width))
+    return picked.select(
+        "base_key", q(target), "copy", "base", neighbour.alias("neighbour"), "u", F.array(*vector).alias("vector")
+    )
 
 
 def oversample(

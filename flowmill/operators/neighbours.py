@@ -25,9 +25,10 @@ from flowmill.session import materialize
 
 BLOCK_ROWS = 1_000
 QUERY_ROWS = 4_000
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 400_000
+SAMPLE_PER_BLOCK = 32
 BROADCAST_ROWS = 200_000
-SLICE = 256
+SLICE = 64  # rows per distance table: small enough for the processor's cache
 
 
 def _grow(sample: np.ndarray, leaf_rows: int) -> dict[str, list]:
@@ -104,23 +105,23 @@ def _closest(queries, refs, ref_order, k, bound, same: bool):
     centre = refs.mean(axis=0)
     y = refs - centre
     y_norm = (y * y).sum(axis=1)
+    y_twice = -2.0 * y.T
     out = []
     for start in range(0, len(queries), SLICE):
         raw = queries[start : start + SLICE]
         x = raw - centre
         x_norm = (x * x).sum(axis=1)
-        rough = x_norm[:, None] + y_norm[None, :] - 2.0 * (x @ y.T)
+        rough = x @ y_twice
+        rough += y_norm
+        rough += x_norm[:, None]
         if same:
             own = np.arange(start, start + len(raw))
             rough[np.arange(len(raw)), own] = np.inf
         limit = bound[start : start + SLICE].copy()
         if len(refs) - same >= k:
             limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1])
-        limit = limit + 1e-9 * (x_norm + y_norm.max() + 1.0)
-        hit = rough <= limit[:, None]
-        if same:
-            hit[np.arange(len(raw)), own] = False
-        row, ref = np.nonzero(hit)
+        limit = np.minimum(limit + 1e-9 * (x_norm + y_norm.max() + 1.0), np.finfo(float).max)  # never the row itself
+        row, ref = np.divmod(np.flatnonzero(rough <= limit[:, None]), len(refs))
         exact = np.zeros(len(row))
         for column in range(refs.shape[1]):
             exact += (raw[row, column] - refs[ref, column]) ** 2
@@ -162,8 +163,9 @@ def nearest_in_class(
     large = {g: n for g, n in counts.items() if n > block_rows}
     trees: dict = {}
     if large:
-        # the lowest order hashes: about ``sample_rows`` of each class, known without a counting pass
-        shares = {g: min(1.0, sample_rows / n) for g, n in large.items()}
+        # the lowest order hashes: some rows per block to come, within a budget for all classes
+        budget = sample_rows // len(large)
+        shares = {g: min(1.0, min(SAMPLE_PER_BLOCK * -(-n // block_rows), budget) / n) for g, n in large.items()}
         cuts = {g: EVERYTHING if share == 1.0 else f"{int(share * 2**48):012x}" for g, share in shares.items()}
         low_hashes = below_cut(F.col("g"), order_hash(F.col("k"), seed), cuts)
         sample = rows.where(low_hashes).select("g", "v").toArrow()
@@ -212,12 +214,13 @@ def nearest_in_class(
         list(zip(boxes["leaf"].tolist(), first.tolist(), blocks.tolist())),
         "leaf bigint, first bigint, blocks bigint",
     )
+    # (leaf, first block, blocks): bounded by the sample, like the boxes
     in_block = placed.join(F.broadcast(leaf_table), "leaf").select(
         "k", "g", "v", "asks", (F.col("first") + F.pmod(F.xxhash64("k"), F.col("blocks"))).alias("block")
     )
 
     own_schema = (
-        f"k string, g {group_type}, v array<double>, bound double, "
+        f"k string, g {group_type}, v array<double>, block bigint, bound double, "
         "nd array<double>, nk array<string>, nv array<double>, targets array<bigint>"
     )
 
@@ -236,22 +239,20 @@ def nearest_in_class(
             bound[full] = d[last[full]]
         seekers, targets = [np.zeros(0, int)], [np.zeros(0, np.int64)]
         if several and count:
-            own = table["block"][0].as_py()
             mine = np.flatnonzero(leaf_groups == table["g"][0].as_py())
+            own_leaf = np.searchsorted(first, table["block"][0].as_py(), side="right") - 1
+            mine = mine[(mine != own_leaf) | (blocks[mine] > 1)]
             for start in range(0, count, SLICE):
                 x = queries[start : start + SLICE]
                 gap = np.zeros((len(x), len(mine)))
                 for column in range(width):
                     c = x[:, column][:, None]
                     gap += np.maximum(np.maximum(low[mine, column] - c, c - high[mine, column]), 0.0) ** 2
-                # a hair of slack keeps rounding from hiding a block
-                seeker, at = np.nonzero(gap <= bound[start : start + SLICE, None] * (1 + 1e-12))
-                repeats = blocks[mine[at]]
-                inner = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)
-                block = np.repeat(first[mine[at]], repeats) + inner
-                other = block != own
-                seekers.append(np.repeat(seeker, repeats)[other] + start)
-                targets.append(block[other])
+                # Only strictly closer rows matter: k copies of a point settle it, however many
+                # more there are. A hair of slack keeps rounding from hiding a leaf.
+                seeker, at = np.nonzero(gap < bound[start : start + SLICE, None] * (1 + 1e-12))
+                seekers.append(seeker + start)
+                targets.append(mine[at])
         found = pa.array(ref)
         ends = _lists(row, count, pa.array(d))
         return pa.table(
@@ -259,6 +260,7 @@ def nearest_in_class(
                 "k": table["k"].slice(0, count),
                 "g": table["g"].slice(0, count),
                 "v": _vectors(queries),
+                "block": table["block"].slice(0, count),
                 "bound": pa.array(bound),
                 "nd": ends,
                 "nk": _lists(row, count, table["k"].combine_chunks().take(found)),
@@ -276,7 +278,16 @@ def nearest_in_class(
         return own.select(*result, *told)
     own = materialize(own, "own")
 
-    visits = own.select("k", "v", "bound", F.explode("targets").alias("block"))
+    # targets are positions in the leaf list, which a small table turns into blocks
+    leaf_blocks = F.broadcast(
+        small_table(spark, list(zip(range(len(first)), first.tolist(), (first + blocks - 1).tolist())), "at bigint, first bigint, last bigint")
+    )
+    visits = (
+        own.select("k", "v", "bound", F.col("block").alias("own"), F.explode("targets").alias("at"))
+        .join(leaf_blocks, "at")
+        .select("k", "v", "bound", "own", F.explode(F.sequence("first", "last")).alias("block"))
+        .where(F.col("block") != F.col("own"))
+    )
     load = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("bigint").alias("parts"))
     # one row per visited block: broadcast only while there are few blocks
     load = F.broadcast(load) if int(blocks.sum()) <= BROADCAST_ROWS else load

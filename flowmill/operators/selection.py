@@ -20,6 +20,8 @@ from flowmill.functions.columns import order_hash, q, small_table
 
 RANKED_ROWS = 500_000
 FIRST_DIGITS = 2
+GROUP_LIMIT = 1_000  # Spark's own threshold for limiting a ranking before the shuffle
+SALTS = 256
 NOTHING, EVERYTHING = "", "~"  # sort before and after every hex digit
 
 
@@ -33,11 +35,11 @@ def hash_of(df: DataFrame, key: str | Sequence[str] | None, seed: int) -> Column
 def class_counts(df: DataFrame, target: str) -> dict:
     """Rows per class, on the driver: one entry per label. Rows without label are an error."""
     counts = {r["label"]: r["n"] for r in df.groupBy(q(target).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    _check_labelled(counts, target)
+    check_labelled(counts, target)
     return dict(sorted(counts.items()))
 
 
-def _check_labelled(counts: Mapping, target: str) -> None:
+def check_labelled(counts: Mapping, target: str) -> None:
     if None in counts:
         raise ValueError(f"{counts[None]} rows have no label in '{target}'")
 
@@ -176,7 +178,7 @@ def stratified_split(
     """
     order = q(hashed) if hashed else hash_of(df, key, seed)
     counted = hash_counts(df, q(target), order)
-    _check_labelled(counted.totals, target)
+    check_labelled(counted.totals, target)
     quota = split_quota(counted.totals, test_size)
     return Split(target, order, counted.totals, quota, hash_cuts(counted, quota, ranked_rows))
 
@@ -205,9 +207,19 @@ def per_class_sample(
 
 
 def first_per_class(df: DataFrame, target: str, order: str, n: int) -> DataFrame:
-    """The first ``n`` rows of each class by an order column (a per-task limit runs before the shuffle)."""
-    rank = F.row_number().over(W.partitionBy(q(target)).orderBy(q(order)))
-    return df.withColumn("rank_in_class", rank).where(F.col("rank_in_class") <= n).drop("rank_in_class")
+    """The first ``n`` rows of each class by an order column.
+
+    For a small ``n`` Spark limits each task's rows before the shuffle. For a larger one the
+    classes are first cut down in salted parts, so that a large class never meets in one task.
+    """
+
+    def cut(rows: DataFrame, *within: Column) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*within).orderBy(q(order)))
+        return rows.withColumn("rank_in_class", rank).where(F.col("rank_in_class") <= n).drop("rank_in_class")
+
+    if n > GROUP_LIMIT:
+        df = cut(df, q(target), F.pmod(F.xxhash64(q(order)), F.lit(SALTS)))
+    return cut(df, q(target))
 
 
 def subsample(

@@ -146,7 +146,9 @@ def prepare(
     ``key`` names a unique column that decides the random order; without it the whole row does.
     """
     # one grouped count gives the rows loaded and what class removal takes away
-    kept, removed = cleaning.drop_classes(df, target, dropped_classes)
+    labels = cleaning.label_counts(df, target)
+    rows_loaded = sum(r["n"] for r in labels)
+    kept, removed = cleaning.drop_classes(df, target, dropped_classes, labels)
     ids = [c for c in cleaning.identifier_columns(df.columns) if c != target] if drop_identifiers else []
     if dedup_after_id_drop:
         kept = kept.select(*[q(c) for c in kept.columns if c not in ids])
@@ -156,7 +158,6 @@ def prepare(
     unique = unique.select(hashed.alias(ROW_KEY), *[q(c) for c in unique.columns if c not in ids])
     if materialized:
         unique = materialize(unique, "clean")
-    rows_loaded, rows_kept = df.count(), None
     split = stratified_split(unique, target, test_size=test_size, hashed=ROW_KEY)  # the key is a seeded hash already
     rows_kept = sum(split.counts.values())
     features = [c for c in numeric_columns(unique, exclude=[target])]

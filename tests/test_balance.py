@@ -31,11 +31,14 @@ def test_neighbours_equal_brute_force(spark, limits):
     for i, name in enumerate(keys):
         same = np.flatnonzero((g == g[i]) & (np.arange(len(x)) != i))
         d = ((x[same] - x[i]) ** 2).sum(axis=1)
-        best = np.lexsort((keys[same], np.round(d, 9)))[:5]
         row = got.loc[name]
-        assert np.allclose(row["distances"], d[best])
-        assert np.allclose(np.array(row["vectors"]).reshape(-1, 3)[0], x[same][np.argmin(d)]) or d.min() == row["distances"][0]
+        assert np.allclose(row["distances"], np.sort(d)[:5])
         assert name not in row["keys"] and len(set(row["keys"])) == 5
+        near = np.array(row["vectors"]).reshape(5, 3)
+        for neighbour, vector, distance in zip(row["keys"], near, row["distances"]):
+            at = int(neighbour[1:])
+            assert g[at] == g[i] and np.array_equal(x[at], vector)
+            assert ((vector - x[i]) ** 2).sum() == pytest.approx(distance)
 
 
 def test_only_asked_rows_are_answered(spark):
@@ -121,3 +124,17 @@ def test_class_weights(spark):
     assert {r["label"]: r["weight"] for r in balance.class_weights(df, "y").collect()} == {"a": 8 / 12, "b": 2.0}
     rows = balance.with_class_weight(df, "y").groupBy("y").agg(F.sum("class_weight").alias("w")).collect()
     assert all(r["w"] == pytest.approx(4.0) for r in rows)
+
+
+def test_a_point_held_by_most_rows_is_visited_once(spark):
+    """Copies of one point find each other in their own block and ask no other block."""
+    n = 1200
+    x = np.zeros((n, 2))
+    x[:60] = np.random.default_rng(2).normal(size=(60, 2)) + 5
+    df = spark.createDataFrame(pd.DataFrame({"key": [f"k{i:04d}" for i in range(n)], "g": "a", "v": list(x)}))
+    got = nearest_in_class(df, "g", "key", "v", 2, 3, {"a": n}, block_rows=100, query_rows=50).toPandas().set_index("key")
+    assert len(got) == n
+    assert all(sum(d) == 0 for d in got.loc[[f"k{i:04d}" for i in range(60, n)], "distances"])
+    for i in range(60):
+        d = np.sort(((x - x[i]) ** 2).sum(axis=1))[1:4]
+        assert np.allclose(got.loc[f"k{i:04d}", "distances"], d)

@@ -143,6 +143,12 @@ def test_first_rows_per_class(spark):
     assert got == [(0, 0), (1, 1), (2, 2), (3, 0), (4, 1), (5, 2)]
 
 
+def test_many_first_rows_per_class(spark, monkeypatch):
+    monkeypatch.setattr(selection, "GROUP_LIMIT", 3)
+    df = spark.range(400).select("id", (F.col("id") % 2).alias("y")).repartition(5)
+    assert sorted(r["id"] for r in selection.first_per_class(df, "y", "id", 50).collect()) == list(range(100))
+
+
 def test_subsample_is_exact_or_nothing(spark):
     df = spark.range(500)
     for n in (None, 500, 900):
