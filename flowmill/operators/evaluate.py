@@ -56,50 +56,41 @@ def normalised_confusion(df: DataFrame, label: str, prediction: str, classes: Se
 
 
 def metrics_from_counts(counts: DataFrame, classes: Sequence) -> DataFrame:
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    """Sums and scores per class. Classes outside the list keep a null code."""
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).cast("bigint")
+    none = F.lit(0).cast("bigint")
     # a cell counts as support for its label and as a prediction for its predicted class
-    sides = counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("label").alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"), hit.cast("bigint").alias("hits")),
-                F.struct(F.col("prediction").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("hits")),
-            )
-        )
-    )
+    as_label = F.struct(F.col("label").alias("label"), F.col("n").alias("support"), none.alias("predicted"), hit.alias("hits"))
+    as_guess = F.struct(F.col("prediction").alias("label"), none.alias("support"), F.col("n").alias("predicted"), none.alias("hits"))
+    sides = counts.select(F.inline(F.array(as_label, as_guess)))
     sums = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
-    known = _class_table(counts, classes).join(sums, "label", "left").fillna(0, ["support", "predicted", "hits"])
+    every = _class_table(counts, classes).join(sums, "label", "full_outer").fillna(0, ["support", "predicted", "hits"])
     zero = F.lit(0.0)
-    return known.select(
+    return every.select(
         "code",
         "label",
         F.coalesce(F.try_divide(F.col("hits"), F.col("predicted")), zero).alias("precision"),
         F.coalesce(F.try_divide(F.col("hits"), F.col("support")), zero).alias("recall"),
         F.coalesce(F.try_divide(2 * F.col("hits"), F.col("predicted") + F.col("support")), zero).alias("f1"),
-        F.col("support").cast("bigint").alias("support"),
-        F.col("hits").cast("bigint").alias("hits"),
+        "support",
+        "hits",
     )
 
 
 def per_class_metrics(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
     """Precision, recall, F1 and support of every known class; nothing to divide by gives 0."""
     metrics = metrics_from_counts(outcome_counts(df, label, prediction), classes)
-    return metrics.orderBy("code").select("label", "precision", "recall", "f1", "support")
+    return metrics.where(F.col("code").isNotNull()).orderBy("code").select("label", "precision", "recall", "f1", "support")
 
 
 def overall_from_counts(counts: DataFrame, classes: Sequence) -> DataFrame:
-    total = counts.agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"),
-    )
-    averages = metrics_from_counts(counts, classes).agg(
-        F.avg("f1").alias("macro_f1"),
-        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"),
-    )
-    # two one-row tables side by side
-    return (
-        total.withColumn("one", F.lit(1))
-        .join(averages.withColumn("one", F.lit(1)), "one")
-        .select(F.try_divide(F.col("hits"), F.col("rows")).alias("accuracy"), "macro_f1", "weighted_f1")
+    known = F.when(F.col("code").isNotNull(), F.col("f1"))
+    return metrics_from_counts(counts, classes).agg(
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
+        F.avg(known).alias("macro_f1"),
+        F.try_divide(F.sum(known * F.col("support")), F.sum(F.when(F.col("code").isNotNull(), F.col("support")))).alias(
+            "weighted_f1"
+        ),
     )
 
 

@@ -41,30 +41,38 @@ def dtype_counts(df: DataFrame) -> dict[str, int]:
     return counts
 
 
-def _long_counts(df: DataFrame, counted: dict, out: str) -> DataFrame:
-    """One aggregation row over all columns, turned into (column, count, rows)."""
-    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(test).alias(f"c{i}") for i, test in enumerate(counted.values())])
-    pairs = [
-        F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias(out)) for i, name in enumerate(counted)
+def cell_counts(df: DataFrame) -> DataFrame:
+    """(column_name, rows, missing_count, infinite_count) for every column, in one scan."""
+    bad = []
+    for i, f in enumerate(df.schema.fields):
+        bad.append(F.count_if(is_missing(df, f.name)).alias(f"m{i}"))
+        bad.append((F.count_if(is_infinite(q(f.name))) if is_floating(f.dataType) else F.count_if(F.lit(False))).alias(f"i{i}"))
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *bad)
+    long = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("missing_count"), F.col(f"i{i}").alias("infinite_count"))
+        for i, c in enumerate(df.columns)
     ]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], f"rows bigint, column_name string, {out} bigint")
-    return wide.select("rows", F.inline(F.array(*pairs))).where(F.col(out) > 0)
+    return wide.select("rows", F.inline(F.array(*long)))
 
 
 def missing_report(df: DataFrame) -> DataFrame:
     """Columns with null or NaN cells: count and percentage (infinity is not missing)."""
-    counted = _long_counts(df, {c: is_missing(df, c) for c in df.columns}, "missing_count")
-    return counted.select(
-        "column_name", "missing_count", F.round(F.col("missing_count") / F.col("rows") * 100, 3).alias("missing_pct")
-    ).orderBy(F.desc("missing_count"), "column_name")
+    share = F.round(F.col("missing_count") / F.col("rows") * 100, 3)
+    return (
+        cell_counts(df)
+        .where(F.col("missing_count") > 0)
+        .select("column_name", "missing_count", share.alias("missing_pct"))
+        .orderBy(F.desc("missing_count"), "column_name")
+    )
 
 
 def infinite_report(df: DataFrame) -> DataFrame:
     """Numeric columns holding +-infinity, and how many cells."""
     floats = [f.name for f in df.schema.fields if is_floating(f.dataType)]
-    counted = _long_counts(df, {c: is_infinite(q(c)) for c in floats}, "infinite_count")
-    return counted.select("column_name", "infinite_count").orderBy(F.desc("infinite_count"), "column_name")
+    if not floats:
+        return df.sparkSession.createDataFrame([], "column_name string, infinite_count bigint")
+    held = cell_counts(df.select(*[q(c) for c in floats])).where(F.col("infinite_count") > 0)
+    return held.select("column_name", "infinite_count").orderBy(F.desc("infinite_count"), "column_name")
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

@@ -17,20 +17,20 @@ def profile_summary(
     ``high_correlation_pair_count`` is capped by ``top_n`` as in the report list;
     ``all_correlated_pairs`` is the real number. Each part is a report of at most one row per column.
     """
-    shape = profile.table_shape(df).first()
-    missing = [r["column_name"] for r in profile.missing_report(df).collect()]
-    infinite = [r["column_name"] for r in profile.infinite_report(df).collect()]
+    cells = profile.cell_counts(df).collect()  # one row per column
+    missing = sorted((r for r in cells if r["missing_count"]), key=lambda r: (-r["missing_count"], r["column_name"]))
+    infinite = sorted((r for r in cells if r["infinite_count"]), key=lambda r: (-r["infinite_count"], r["column_name"]))
     duplicates = profile.duplicate_report(df).first()
     classes = profile.class_distribution(df, target).collect()
     pairs = correlated_pairs(df, target, threshold, top_n=None).count() if len(numeric_columns(df)) > 1 else 0
     row = (
         name,
-        shape["row_count"],
-        shape["column_count"],
+        cells[0]["rows"],
+        len(df.columns),
         target,
         {str(r["label"]): r["count"] for r in classes},
-        missing,
-        infinite,
+        [r["column_name"] for r in missing],
+        [r["column_name"] for r in infinite],
         duplicates["duplicate_count"],
         duplicates["duplicate_pct"],
         identifier_columns(df.columns),
