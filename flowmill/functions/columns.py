@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MANY_KEYS = 50  # beyond this, nested expressions give way to a literal map
 BLANKS = " \t\n\r\f\x0b"
 
 # Name parts that mark a column as an identifier, matched in lower case.
@@ -110,11 +111,15 @@ def is_attack(predicted: Column, benign: str = "BENIGN") -> Column:
 
 
 def choose(value: Column, mapping: Mapping, default: Column | None = None) -> Column:
-    """A value-to-literal lookup as one CASE expression; for a handful of keys."""
+    """A value-to-literal lookup without a join: a CASE for a few keys, a literal map for many."""
+    if len(mapping) > MANY_KEYS:
+        listed = [F.lit(part) for pair in mapping.items() for part in pair]
+        found = F.try_element_at(F.create_map(*listed), value)
+        return found if default is None else F.coalesce(found, default)
     picked = default
     for known, out in mapping.items():
-        out = F.lit(out) if not isinstance(out, Column) else out
-        picked = F.when(value == F.lit(known), out) if picked is None else F.when(value == F.lit(known), out).otherwise(picked)
+        case = F.when(value == F.lit(known), F.lit(out))
+        picked = case if picked is None else case.otherwise(picked)
     return picked if picked is not None else F.lit(None)
 
 

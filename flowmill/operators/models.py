@@ -26,7 +26,7 @@ FEATURES, LABEL, WEIGHT = "features", "label", "class_weight"
 MAX_DEPTH = 30  # Spark's own limit; stands for "no limit"
 
 # The defaults of the two models.
-FOREST_DEFAULTS = {"trees": 100, "max_depth": None, "max_bins": 32}
+FOREST_DEFAULTS = {"trees": 100, "max_depth": None, "max_bins": 32, "memory_mb": 512}
 BOOSTED_DEFAULTS = {"rounds": 100, "max_depth": 8, "rate": 0.1, "max_bins": 32}
 
 
@@ -55,6 +55,7 @@ def train_random_forest(data: DataFrame, params: Mapping, seed: int = 42, weight
         numTrees=options["trees"],
         maxDepth=options["max_depth"] or MAX_DEPTH,
         maxBins=options["max_bins"],
+        maxMemoryInMB=options["memory_mb"],  # more memory per task means fewer passes for deep trees
         featureSubsetStrategy="sqrt",
         seed=seed,
     )

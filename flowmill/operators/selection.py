@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from flowmill.functions.columns import order_hash, q, small_table
+from flowmill.functions.columns import MANY_KEYS, choose, order_hash, q
 
 RANKED_ROWS = 500_000
 FIRST_DIGITS = 2
@@ -86,18 +87,19 @@ def hash_cuts(counted: HashCounts, quotas: Mapping, ranked_rows: int = RANKED_RO
     edges = {g: _step(counted.by_prefix[g], n) for g, n in quotas.items() if 0 < n < totals[g]}
     if not edges:
         return cuts
-    spark = rows.sparkSession
-    kind = rows.schema["g"].dataType.simpleString()
 
     def near() -> DataFrame:
-        """The rows that share the prefix around their class's cut."""
-        table = small_table(spark, [(g, p, len(p), take) for g, (p, take, _) in edges.items()], f"g {kind}, p string, len int, take bigint")
-        return rows.join(F.broadcast(table), "g").where(F.startswith(F.col("h"), F.col("p")))  # one row per class
+        """The rows that share the prefix around their class's cut, by lookup on the class."""
+        prefix = choose(F.col("g"), {g: p for g, (p, _, _) in edges.items()})
+        take = choose(F.col("g"), {g: take for g, (_, take, _) in edges.items()})
+        return rows.select("g", "h", prefix.alias("p"), take.cast("bigint").alias("take")).where(
+            F.startswith(F.col("h"), F.col("p"))
+        )
 
     # a prefix still holding too many rows for one task is told apart by more digits
     while (largest := max(n for _, _, n in edges.values())) > ranked_rows:
         digits = math.ceil(math.log(largest / ranked_rows, 16))
-        longer = F.expr(f"substring(h, 1, len + {digits})").alias("p2")
+        longer = F.expr(f"substring(h, 1, length(p) + {digits})").alias("p2")
         held: dict = {}
         for r in near().groupBy("g", longer).agg(F.count(F.lit(1)).alias("n")).collect():  # 16^digits per class
             held.setdefault(r["g"], {})[r["p2"]] = r["n"]
@@ -117,13 +119,16 @@ def hash_cuts(counted: HashCounts, quotas: Mapping, ranked_rows: int = RANKED_RO
 
 
 def below_cut(group: Column, order: Column, cuts: Mapping) -> Column:
-    """True for the selected rows: a plain filter on class and order value, one term per class."""
-    test = None
-    for g, cut in cuts.items():
-        if cut != NOTHING:
-            chosen = (group == F.lit(g)) if cut == EVERYTHING else (group == F.lit(g)) & (order <= F.lit(cut))
-            test = chosen if test is None else test | chosen
-    return F.lit(False) if test is None else test
+    """True for the selected rows: a plain filter that reaches the scan while classes are few."""
+    cuts = {g: cut for g, cut in cuts.items() if cut != NOTHING}
+    if not cuts:
+        return F.lit(False)
+    if len(cuts) > MANY_KEYS:
+        return F.coalesce(order <= choose(group, cuts), F.lit(False))
+    terms = [
+        (group == F.lit(g)) if cut == EVERYTHING else (group == F.lit(g)) & (order <= F.lit(cut)) for g, cut in cuts.items()
+    ]
+    return reduce(lambda a, b: a | b, terms)
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from flowmill.functions.columns import NUMBER_PATTERN, find_target, q
 from flowmill.sources import files
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
+HEADER_READERS = 16
 
 # Cell texts that mean "missing" in the CSV dialect this reader follows.
 MISSING_TOKENS = (
@@ -67,9 +69,11 @@ def read_text_columns(spark: SparkSession, folder: str) -> DataFrame:
     latin = {_local_name(p) for p in _not_utf8(spark, paths)}
     groups: dict[tuple, list[str]] = {}
     expected: list[str] | None = None
-    for path in paths:
-        encoding = LATIN1 if _local_name(path) in latin else UTF8
-        names = header_names(files.first_line(spark, path, encoding))
+    encodings = [LATIN1 if _local_name(p) in latin else UTF8 for p in paths]
+    with ThreadPoolExecutor(HEADER_READERS) as pool:  # one line per file, bound by storage latency
+        lines = list(pool.map(lambda at: files.first_line(spark, *at), zip(paths, encodings)))
+    for path, encoding, line in zip(paths, encodings, lines):
+        names = header_names(line)
         if expected is None:
             expected = names
         elif set(names) != set(expected):

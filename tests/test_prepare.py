@@ -217,3 +217,11 @@ def test_dedup_after_identifiers_removes_more(spark):
     df = spark.createDataFrame(pd.concat([pdf, twin], ignore_index=True))
     assert prepare(df, dropped_classes=None, balancing="none").rows_after_dedup == 61
     assert prepare(df, dropped_classes=None, balancing="none", dedup_after_id_drop=True).rows_after_dedup == 60
+
+
+def test_many_classes(spark):
+    df = spark.range(1200).select(F.col("id"), F.format_string("c%03d", F.col("id") % 120).alias("Label"))
+    split = selection.stratified_split(df, "Label", "id")
+    sizes = {r["Label"]: r["count"] for r in split.test(df).groupBy("Label").count().collect()}
+    assert len(sizes) == 120 and set(sizes.values()) == {2}
+    assert split.train(df).count() == 960
