@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import encoding, token_counts, url_filter
+from flowmill.llm import encoding, license_scan, secrets, token_counts, url_filter
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_PAIRS))
 
@@ -29,13 +33,19 @@ def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_PAIRS))
 
 
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": secret_scan,
         "op2_token_counts": token_count,
         "op3_url_filter": url_rules,
         "op4_byte_pairs": byte_pairs,
+        "op10_license_scan": licenses,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": url_filter.oracle()}
+    return {"op3_url_filter": url_filter.oracle(), "op10_license_scan": license_scan.oracle()}
