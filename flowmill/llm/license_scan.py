@@ -2,13 +2,16 @@
 
 A text is compared as a whole, by paragraph and by line. A unit of a distinct bigrams and a template of b agree by
 the Dice coefficient 2 * common / (a + b). With a threshold of 0.8 that needs 3a >= 2b and 3b >= 2a, so most units are
-left out by their number of words before any bigram is made, and most templates before any comparison.
+left out by their number of words before any bigram is made, and most templates before any comparison. Before that,
+texts without any of the words that every such unit needs are left out by one pass of a pattern.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,24 +103,54 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
-def units(text: Column) -> Column:
-    """The distinct lines, paragraphs (between lines without a letter or digit) and the whole text, normalised."""
-    lines = F.transform(
-        F.split(text, "\n", -1), lambda x: F.trim(F.lower(F.regexp_replace(x, "[^A-Za-z0-9]+", " ")))
-    )
-    paragraphs = F.transform(
-        F.split(F.array_join(lines, "\n"), "\n\n+", -1), lambda x: F.trim(F.translate(x, "\n", " "))
-    )
-    whole = F.array(F.array_join(F.filter(lines, lambda x: x != ""), " "))
-    return F.array_distinct(F.concat(lines, paragraphs, whole))
+# Words too common to tell a licence from other texts.
+_COMMON = frozenset("a and any by for in is of or that the this to under with".split())
+
+
+def telling_words(grams: Sequence[str]) -> list[str]:
+    """Words of which every unit that reaches the threshold for these bigrams has at least one.
+
+    Such a unit lacks at most ``spare`` of the bigrams, so it has one of any ``spare + 1``; the rarest-looking words that
+    cover so many are taken.
+    """
+    p, d = DICE
+    b = len(grams)
+    least = -(-p * b // (2 * d - p))
+    spare = b - -(-p * (least + b) // (2 * d))
+    pairs = [g.split(" ") for g in grams]
+    found, open_pairs = [], set(range(b))
+    words = {w: {i for i, pair in enumerate(pairs) if w in pair} for pair in pairs for w in pair}
+    while b - len(open_pairs) <= spare:
+        word = min(words, key=lambda w: (w in _COMMON, len(w) < 5, -len(words[w] & open_pairs), -len(w), w))
+        found.append(word)
+        open_pairs -= words.pop(word)
+    return found
+
 
+def _any_of(words: Sequence[str]) -> str:
+    """A pattern for any of the words, in either case, that looks at few alternatives in each place."""
+    by_first: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        by_first.setdefault(word[0], []).append(word[1:])
+    branches = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+    return f"(?i)(?<![A-Za-z0-9])(?:{branches})(?![A-Za-z0-9])"
 
-def _bounds(sizes: Sequence[int]) -> tuple[int, int]:
-    """The least and the most distinct bigrams with which a unit can reach the threshold for some template."""
-    p, d = DICE  # 2 * min(a, b) / (a + b) >= p / d
-    least = min(-(-p * b // (2 * d - p)) for b in sizes)
-    most = max((2 * d - p) * b // p for b in sizes)
-    return least, most
+
+def _words(line: Column) -> Column:
+    return F.filter(F.split(line, "[^A-Za-z0-9]+", -1), lambda w: w != "")
+
+
+def _paragraphs(lines: Column) -> Column:
+    """Words between lines without words; nothing if there is no such line."""
+    text = F.array_join(F.transform(lines, lambda x: F.array_join(x, " ")), "\n")
+    parts = F.transform(F.split(text, "\n\n+", -1), lambda x: F.filter(F.split(x, "[ \n]", -1), lambda w: w != ""))
+    return F.when(F.exists(lines, lambda x: F.size(x) == 0), parts).otherwise(F.array().cast(_LINES))
+
+
+def _units(lines: Column) -> Column:
+    """The words of every line, of every paragraph and of the whole text, if they differ from each other."""
+    whole = F.when(F.size(lines) > 1, F.array(F.flatten(lines))).otherwise(F.array().cast(_LINES))
+    return F.concat(lines, _paragraphs(lines), whole)
 
 
 def scan(
@@ -131,13 +164,14 @@ def scan(
     way.
     """
     grams = {name: template_bigrams(t) for name, t in templates.items()}
-    least, most = _bounds([len(g) for g in grams.values()])
-    p, d = DICE
+    sizes = sorted({len(g) for g in grams.values()})
+    p, d = DICE  # 2 * min(a, b) / (a + b) >= p / d is needed
 
     def in_size(words: Column) -> Column:
-        enough = F.size(words) > least
-        # a unit of w distinct words has at least w - 1 distinct bigrams
-        return F.when(enough, F.size(F.array_distinct(words)) - 1 <= most).otherwise(False)
+        # a unit of w words, v of them distinct, has at least v - 1 and at most w - 1 distinct bigrams
+        high, low = F.size(words) - 1, F.size(F.array_distinct(words)) - 1
+        fits = [((2 * d - p) * high >= p * b) & (p * low <= (2 * d - p) * b) for b in sizes]
+        return F.when((2 * d - p) * high >= p * sizes[0], reduce(or_, fits)).otherwise(False)
 
     def bigrams(words: Column) -> Column:
         n = F.size(words)
@@ -151,17 +185,27 @@ def scan(
         for place, (name, own) in enumerate(grams.items()):
             b = len(own)
             near = ((2 * d - p) * a >= p * b) & (F.lit((2 * d - p) * b) >= p * a)
-            common = F.size(F.array_intersect(unit, F.array(*map(F.lit, own))))
+            common = F.size(F.array_intersect(unit, F.split(F.lit("|".join(own)), "[|]")))
             score = F.when(near, F.when(d * 2 * common >= p * (a + b), 2.0 * common / (a + b)))
-            scored.append(F.when(score.isNotNull(), F.struct(score.alias("score"), F.lit(-place).alias("place"), F.lit(name).alias("name"))))
+            hit = F.struct(score.alias("score"), F.lit(-place).alias("place"), F.lit(name).alias("name"))
+            scored.append(F.when(score.isNotNull(), hit))
         return F.array_max(F.array(*scored))
 
     names = ["license", "score", "licenses", "n_licenses"]
     kept = [c for c in dict.fromkeys(keep) if c not in names]
     source = docs.select(*(q(c).alias(f"k{i}") for i, c in enumerate(kept)), q(text).cast("string").alias("text"))
-    words = F.filter(F.transform(units(F.col("text")), lambda u: F.split(u, " ", -1)), in_size)
-    hits = F.filter(F.transform(F.transform(words, bigrams), best), lambda x: x.isNotNull())
-    found = source.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), F.coalesce(hits, F.array().cast(_HITS)).alias("_hits"))
+    # one column after the other, so that no step is computed twice
+    ids = [F.col(f"k{i}") for i in range(len(kept))]
+    telling = _any_of([w for g in grams.values() for w in telling_words(g)])
+    lines = F.transform(F.split("text", "\n", -1), _words)
+    found = source.select(*ids, F.when(F.col("text").rlike(telling), lines).otherwise(F.array().cast(_LINES)).alias("lines"))
+    found = found.select(*ids, F.transform(_units(F.col("lines")), lambda u: F.transform(u, F.lower)).alias("units"))
+    grams_of = F.transform(F.filter("units", in_size), bigrams)
+    hits = F.filter(F.transform(grams_of, best), lambda x: x.isNotNull())
+    found = found.select(
+        *(c.alias(name) for c, name in zip(ids, kept, strict=True)),
+        F.coalesce(hits, F.array().cast(_HITS)).alias("_hits"),
+    )
     top = F.array_max("_hits")
     licenses = F.array_sort(F.array_distinct(F.transform("_hits", lambda x: x["name"])))
     return found.select(
@@ -173,6 +217,7 @@ def scan(
     )
 
 
+_LINES = "array<array<string>>"
 _HITS = "array<struct<score:double,place:int,name:string>>"
 
 
