@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import encoding, language, license_scan, secrets, token_counts, url_filter
+from flowmill.llm import encoding, language, license_scan, main_text, secrets, token_counts, url_filter
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 
@@ -33,6 +33,10 @@ def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_PAIRS))
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
     model = language.fit(docs.filter(~F.col("held_out")))
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": token_count,
         "op3_url_filter": url_rules,
         "op4_byte_pairs": byte_pairs,
+        "op5_main_text": page_text,
         "op6_language": languages,
         "op10_license_scan": licenses,
     }
