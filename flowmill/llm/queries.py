@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import encoding, language, license_scan, main_text, secrets, token_counts, url_filter
+from flowmill.llm import decontamination, encoding, language, license_scan, main_text, secrets, token_counts, url_filter
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 
@@ -43,6 +43,19 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0), lambda total, x: total + x["to"] - x["from"]).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_pairs": byte_pairs,
         "op5_main_text": page_text,
         "op6_language": languages,
+        "op8_benchmark_hits": benchmark_hits,
         "op10_license_scan": licenses,
     }
 
