@@ -8,11 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import decontamination, encoding, language, license_scan, main_text, secrets, token_counts, url_filter
+from flowmill.llm import decontamination, encoding, language, license_scan, main_text, nearest, secrets, token_counts, url_filter
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 
 
+TOP_SQL = """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e, row_number() OVER () AS r
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+      SELECT a.r, a.vec_id AS query_id, b.vec_id, b.r AS other,
+        list_inner_product(a.e::DOUBLE[], b.e::DOUBLE[])::BIGINT AS score
+      FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE a.vec_id % 20 = 0)
+    SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM pairs
+    WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id, other)
+    QUALIFY row_number() OVER w <= 20"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,6 +70,10 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def top_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -69,9 +87,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_main_text": page_text,
         "op6_language": languages,
         "op8_benchmark_hits": benchmark_hits,
+        "op9_top_neighbours": top_neighbours,
         "op10_license_scan": licenses,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": url_filter.oracle(), "op10_license_scan": license_scan.oracle()}
+    return {"op3_url_filter": url_filter.oracle(), "op9_top_neighbours": TOP_SQL, "op10_license_scan": license_scan.oracle()}
