@@ -7,11 +7,34 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowmill.llm import encoding
+from flowmill.llm import decontamination, encoding, language, ngram_join, secrets
 from flowmill.session import shared_dir
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned from the labelled ones; texts without a letter go."""
+    learned_from = docs.filter(~language.held_out(F.col("doc_id")))
+    return language.known_language(docs, language.fit(learned_from))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.one_per_component(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every credential; ``n_chars`` follows the text."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of every text, checked by decoding them again."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +42,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
     ("encode", encode),
 ]
 

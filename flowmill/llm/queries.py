@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import decontamination, encoding, language, license_scan, main_text, nearest, secrets, token_counts, url_filter
+from flowmill.llm import decontamination, encoding, language, license_scan, main_text, nearest, ngram_join, secrets, token_counts, url_filter
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 
@@ -70,6 +70,10 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(_table(spark, sf_dir, "documents"))
+
+
 def top_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_pairs": byte_pairs,
         "op5_main_text": page_text,
         "op6_language": languages,
+        "op7_ngram_join": near_duplicates,
         "op8_benchmark_hits": benchmark_hits,
         "op9_top_neighbours": top_neighbours,
         "op10_license_scan": licenses,
