@@ -267,6 +267,7 @@ def oracle_sql() -> dict[str, str]:
         + union(f"SELECT '{n}' AS k FROM flows WHERE isinf({c(n)}) GROUP BY 1" for n in FLOATS)
         + ")) AS infinite_value_columns, "
         "((SELECT count(*) FROM flows) - (SELECT count(*) FROM (SELECT DISTINCT * FROM flows)))::bigint AS duplicate_count, "
+        "round(100.0::double * ((SELECT count(*) FROM flows) - (SELECT count(*) FROM (SELECT DISTINCT * FROM flows))) / (SELECT count(*) FROM flows), 3) AS duplicate_pct, "
         "'Flow ID,Source IP' AS identifier_columns, "
         "(SELECT least(count(*), 25) FROM r WHERE NOT isnan(r) AND r >= 0.9)::bigint AS high_correlation_pair_count, "
         "(SELECT count(*) FROM r WHERE NOT isnan(r) AND r >= 0.9)::bigint AS all_correlated_pairs",
@@ -296,7 +297,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["scaler_state"] = with_flows(
         union(
-            f"SELECT '{n}' AS feature, round({c('m ' + n)}, 5) AS mean, round({c('s ' + n)}, 5) AS scale FROM scaler" for n in KEPT
+            f"SELECT '{n}' AS feature, round({c('m ' + n)}, 8) AS mean, round({c('s ' + n)}, 8) AS scale FROM scaler" for n in KEPT
         ),
         UNIQUE, MEDIANS, SCALER,
     )
@@ -304,14 +305,14 @@ def oracle_sql() -> dict[str, str]:
         f'SELECT row_key, {join(f"round({c(n)}, 8) AS {c(n)}" for n in FEATURES)} FROM filled WHERE is_test', UNIQUE, MEDIANS
     )
     sql["scaled_test"] = with_flows(
-        f'SELECT row_key, "Label", {rounded(KEPT, 4)} FROM scaled WHERE is_test', UNIQUE, MEDIANS, SCALER
+        f'SELECT row_key, "Label", {rounded(KEPT, 8)} FROM scaled WHERE is_test', UNIQUE, MEDIANS, SCALER
     )
     sql["prepared_train"] = with_flows(
-        f'SELECT row_key, "Label", {CODE} AS label_code, {rounded(KEPT, 4)} FROM scaled WHERE NOT is_test',
+        f'SELECT row_key, "Label", {CODE} AS label_code, {rounded(KEPT, 8)} FROM scaled WHERE NOT is_test',
         UNIQUE, MEDIANS, SCALER,
     )
     sql["unscaled"] = with_flows(
-        f'SELECT row_key, {join(f"round({c(n)}, 7) + 0.0 AS {c(n)}" for n in ("Total Fwd Packets", "Fwd IAT Mean", "Active Mean"))} '
+        f'SELECT row_key, {join(f"round({c(n)}, 7) + 0.0 AS {c(n)}" for n in KEPT)} '
         "FROM filled WHERE is_test",
         UNIQUE, MEDIANS,
     )
@@ -401,7 +402,9 @@ def oracle_sql() -> dict[str, str]:
         )
         sql[part + "overall_metrics"] = (
             f"{tables} SELECT round(sum(hits)::double / sum(support), 10) AS accuracy, round(avg(f), 10) AS macro_f1, "
-            "round(sum(f * support) / sum(support), 10) AS weighted_f1 FROM scores"
+            "round(sum(f * support) / sum(support), 10) AS weighted_f1, "
+            f"(SELECT count(*) FROM {source} WHERE label IS NOT NULL AND prediction IS NULL) AS unscored, "
+            f"(SELECT count(*) FROM {source} WHERE label IS NULL) AS unlabelled FROM scores"
         )
     sql["low_support"] = f"WITH {FLOWS}{RULED},{metrics_sql('ruled', SIX)} SELECT label, support FROM scores WHERE support > 0 AND support < 30"
     # models: invariants that hold for any right model
@@ -428,7 +431,7 @@ def oracle_sql() -> dict[str, str]:
     sql["log_totals"] = (
         "SELECT count(*) AS total, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM "
         "(SELECT event_type AS k, count(*) AS n FROM events GROUP BY 1)) AS per_class, "
-        "count(*) FILTER (event_type <> 'view') AS attacks FROM events"
+        "count(*) FILTER (event_type <> 'view') AS attacks, count(*) FILTER (event_type <> 'view') AS flagged FROM events"
     )
     truth = "CASE WHEN value < 250 THEN event_type ELSE 'view' END"
     sql["session_summary"] = (
@@ -441,10 +444,7 @@ def oracle_sql() -> dict[str, str]:
     sql["attack_flags"] = "SELECT event_id, lower(event_type) <> 'view' AS is_attack FROM events"
     sql["outcome_flags"] = f"SELECT event_id, event_type = {truth} AS is_correct, event_type <> {truth} AS is_missed FROM events"
     # sources and sinks
-    sql["csv_load"] = with_flows(
-        'SELECT "Label" AS label, count(*) AS n, count(*) FILTER ("Flow Bytes/s" IS NULL) AS missing_rates, '
-        'count(*) FILTER (isinf("Flow Bytes/s")) AS infinite_rates, round(sum("Flow Duration"), 2) AS duration FROM flows GROUP BY 1'
-    )
+    sql["csv_load"] = with_flows(f"SELECT {join(c(n) for n in ALL_COLUMNS)} FROM flows")
     sql["prepared_round_trip"] = with_flows(
         "SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS rows, 5::bigint AS classes, "
         "7::bigint AS features, 3::bigint AS dropped FROM placed GROUP BY 1, 3, 4",
@@ -456,14 +456,20 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {TEST_ROWS} AS flows, {TEST_ROWS} AS matching, 0::bigint AS differing", UNIQUE
     )
     sql["stream_class_counts"] = sql["log_stats"]
-    sql["stream_log_rows"] = (
+    logged = (
         "SELECT event_id::varchar AS seq, event_type AS predicted_class, round(value / 500, 8) AS confidence, "
-        "event_type <> 'view' AS is_attack, props AS features_json FROM events"
-    )
-    sql["stream_session_summary"] = (
-        f"SELECT count(*) AS total_flows, count(*) FILTER (event_type <> 'view') AS attacks_detected, "
-        f"count(*) FILTER (event_type = {truth}) AS correct_predictions, "
-        f"round(count(*) FILTER (event_type = {truth})::double / count(*), 4) AS accuracy_vs_true_label FROM events"
+        "event_type <> 'view' AS is_attack, props AS features_json, '{}' AS run FROM events WHERE {}"
+    )
+    runs = (("run", "TRUE"), ("run-2", "event_type <> 'view'"))
+    sql["stream_log_rows"] = union(logged.format(run, which) for run, which in runs)
+    hit = f"event_id % 7 <> 0 AND event_type = {truth}"
+    sql["stream_session_summary"] = union(
+        f"SELECT '{run}' AS run, count(*) AS total_flows, count(*) FILTER (event_type <> 'view') AS attacks_detected, "
+        f"count(*) FILTER ({hit}) AS correct_predictions, "
+        f"round(count(*) FILTER ({hit})::double / count(*), 4) AS accuracy_vs_true_label, "
+        f"(SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT event_type AS k, count(*) AS n FROM events WHERE {which} GROUP BY 1)) AS predicted_class_counts, "
+        f"TRUE AS timed, TRUE AS rated FROM events WHERE {which}"
+        for run, which in runs
     )
     # explanations
     sql["explain_additivity"] = with_flows(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANY_KEYS = 50  # beyond this, nested expressions give way to a literal map
 BLANKS = " \t\n\r\f\x0b"
 
 # Name parts that mark a column as an identifier, matched in lower case.
@@ -40,20 +40,24 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]
 
 
+_IDENTIFIER = re.compile("|".join(map(re.escape, IDENTIFIER_HINTS)), re.IGNORECASE)
+
+
 def identifier_columns(columns: Sequence[str]) -> list[str]:
-    """Columns whose name marks them as an identifier."""
-    return [c for c in columns if any(hint in c.lower() for hint in IDENTIFIER_HINTS)]
+    """Columns whose name marks them as an identifier, in any case."""
+    return list(filter(_IDENTIFIER.search, columns))
 
 
 def find_target(columns: Sequence[str], configured: str = "Label") -> str:
-    """The label column: by exact name, else ignoring case and surrounding blanks."""
-    if configured in columns:
-        return configured
-    folded = {c.strip().lower(): c for c in columns}
-    found = folded.get(configured.strip().lower())
-    if found is None:
-        raise ValueError(f"no target column '{configured}' among {list(columns)}")
-    return found
+    """The label column. Several spellings may fit but for case and blanks: the given one wins, then the last."""
+
+    def bare(name: str) -> str:
+        return name.strip().casefold()
+
+    spellings = [c for c in columns if bare(c) == bare(configured)]
+    if not spellings:
+        raise ValueError(f"none of the {len(columns)} columns is the label {configured!r}: {', '.join(columns)}")
+    return max(spellings, key=lambda c: (c == configured, spellings.index(c)))
 
 
 def strip(c: Column) -> Column:
@@ -111,16 +115,14 @@ def is_attack(predicted: Column, benign: str = "BENIGN") -> Column:
 
 
 def choose(value: Column, mapping: Mapping, default: Column | None = None) -> Column:
-    """A value-to-literal lookup without a join: a CASE for a few keys, a literal map for many."""
-    if len(mapping) > MANY_KEYS:
-        listed = [F.lit(part) for pair in mapping.items() for part in pair]
-        found = F.try_element_at(F.create_map(*listed), value)
-        return found if default is None else F.coalesce(found, default)
-    picked = default
+    """A value-to-literal lookup without a join: one flat CASE, whatever the number of keys. Null finds the default."""
+    cases: Column | None = None
     for known, out in mapping.items():
-        case = F.when(value == F.lit(known), F.lit(out))
-        picked = case if picked is None else case.otherwise(picked)
-    return picked if picked is not None else F.lit(None)
+        hit = value == F.lit(known)
+        cases = F.when(hit, F.lit(out)) if cases is None else cases.when(hit, F.lit(out))
+    if cases is None:
+        return F.lit(None) if default is None else default
+    return cases if default is None else cases.otherwise(default)
 
 
 def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:

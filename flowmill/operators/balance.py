@@ -73,8 +73,7 @@ def synthetic_rows(
     # a row of a tiny class may owe billions of copies: hand them out in portions
     portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW))
     portion = near.withColumn("portion", F.explode(portions))
-    if max(each.values(), default=0) >= COPIES_PER_ROW:
-        portion = portion.repartition("base_key", "portion")
+    portion = portion.repartition("base_key", "portion")
     start = F.col("portion") * COPIES_PER_ROW
     end = F.least(start + COPIES_PER_ROW, F.col("copies")) - 1
     copied = portion.withColumn("copy", F.explode(F.sequence(start, end)))
@@ -92,6 +91,21 @@ def synthetic_rows(
     )
 
 
+def class_constants(df: DataFrame, target: str, columns: Sequence[str]) -> dict[str, dict]:
+    """For each column the classes in which all rows have the same value, with that value (the label code is one)."""
+    if not columns:
+        return {}
+    facts = [
+        F.when(
+            (F.count(q(c)) == F.count(F.lit(1))) & (F.min(q(c)) == F.max(q(c))),
+            F.min(q(c)),
+        ).alias(f"c{i}")
+        for i, c in enumerate(columns)
+    ]
+    rows = df.groupBy(q(target).alias("label")).agg(*facts).collect()  # one row per class
+    return {c: {r["label"]: r[f"c{i}"] for r in rows if r[f"c{i}"] is not None} for i, c in enumerate(columns)}
+
+
 def oversample(
     train: DataFrame,
     target: str,
@@ -102,18 +116,17 @@ def oversample(
     on_singleton: str = "error",
     **limits,
 ) -> DataFrame:
-    """Train rows plus synthetic rows; every class ends at the size of the largest."""
+    """Train rows plus synthetic rows; every class ends at the size of the largest.
+
+    A column that is no feature has a value in synthetic rows only where all rows of the class agree on it.
+    """
     if on_singleton == "skip" and min(class_counts(train, target).values()) < 2:
         warnings.warn("a class has a single row: balancing skipped", stacklevel=2)
         return train
     made = synthetic_rows(train, target, features, key, k_neighbors, seed, **limits)
     place = {c: i for i, c in enumerate(features)}
     carried = [c for c in train.columns if c not in place and c not in (key, target)]
-    codes = {}
-    if carried:
-        # other columns (the label code) depend on the class alone
-        per_class = train.groupBy(q(target).alias("label")).agg(*[F.first(q(c)).alias(c) for c in carried]).collect()
-        codes = {c: {r["label"]: r[c] for r in per_class} for c in carried}
+    codes = class_constants(train, target, carried)
     columns = []
     for c in train.columns:
         kind = train.schema[c].dataType
@@ -124,7 +137,7 @@ def oversample(
         elif c in place:
             value = F.col("vector")[place[c]]
         else:
-            value = choose(q(target), codes[c])
+            value = choose(q(target), codes[c])  # null where rows of a class differ
         columns.append(value.cast(kind).alias(c))
     return train.unionByName(made.select(*columns))
 

@@ -17,13 +17,9 @@ LOW_SUPPORT = 30
 
 
 def outcome_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(label, prediction, n); rows without either are left out."""
-    return (
-        df.select(q(label).alias("label"), q(prediction).alias("prediction"))
-        .where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
-        .groupBy("label", "prediction")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(label, prediction, n), also for rows without label or prediction."""
+    both = df.select(q(label).alias("label"), q(prediction).alias("prediction"))
+    return both.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _class_table(counts: DataFrame, classes: Sequence) -> DataFrame:
@@ -56,14 +52,19 @@ def normalised_confusion(df: DataFrame, label: str, prediction: str, classes: Se
 
 
 def metrics_from_counts(counts: DataFrame, classes: Sequence) -> DataFrame:
-    """Sums and scores per class. Classes outside the list keep a null code."""
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).cast("bigint")
+    """Sums and scores per class. Classes outside the list keep a null code.
+
+    A row without a prediction counts for its label and is no hit. Rows without a label can't be judged and count for
+    nothing here; ``overall_from_counts`` tells how many there are of both.
+    """
+    counts = counts.where(F.col("label").isNotNull())
+    hit = F.when(F.col("label").eqNullSafe(F.col("prediction")), F.col("n")).otherwise(0).cast("bigint")
     none = F.lit(0).cast("bigint")
     # a cell counts as support for its label and as a prediction for its predicted class
     as_label = F.struct(F.col("label").alias("label"), F.col("n").alias("support"), none.alias("predicted"), hit.alias("hits"))
     as_guess = F.struct(F.col("prediction").alias("label"), none.alias("support"), F.col("n").alias("predicted"), none.alias("hits"))
     sides = counts.select(F.inline(F.array(as_label, as_guess)))
-    sums = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
+    sums = sides.where(F.col("label").isNotNull()).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     every = _class_table(counts, classes).join(sums, "label", "full_outer").fillna(0, ["support", "predicted", "hits"])
     zero = F.lit(0.0)
     return every.select(
@@ -85,17 +86,28 @@ def per_class_metrics(df: DataFrame, label: str, prediction: str, classes: Seque
 
 def overall_from_counts(counts: DataFrame, classes: Sequence) -> DataFrame:
     known = F.when(F.col("code").isNotNull(), F.col("f1"))
-    return metrics_from_counts(counts, classes).agg(
+    none = F.lit(0).cast("bigint")
+    left_out = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("label").isNotNull() & F.col("prediction").isNull(), F.col("n"))), none).alias("unscored"),
+        F.coalesce(F.sum(F.when(F.col("label").isNull(), F.col("n"))), none).alias("unlabelled"),
+    )
+    facts = metrics_from_counts(counts, classes).unionByName(left_out, allowMissingColumns=True)
+    return facts.agg(
         F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
         F.avg(known).alias("macro_f1"),
         F.try_divide(F.sum(known * F.col("support")), F.sum(F.when(F.col("code").isNotNull(), F.col("support")))).alias(
             "weighted_f1"
         ),
+        F.max("unscored").alias("unscored"),
+        F.max("unlabelled").alias("unlabelled"),
     )
 
 
 def overall_metrics(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
-    """Accuracy, macro F1 over all known classes and support-weighted F1, as one row (unrounded)."""
+    """Accuracy, macro F1 over all known classes and support-weighted F1, as one row (unrounded).
+
+    ``unscored`` rows have a label and no prediction: they count as wrong. ``unlabelled`` rows are not judged.
+    """
     return overall_from_counts(outcome_counts(df, label, prediction), classes)
 
 

@@ -107,16 +107,19 @@ def model_name(model) -> str:
 
 
 def probabilities(model, scored: DataFrame) -> Column:
-    """Class probabilities as an array in class order.
+    """Class probabilities as an array in class order; they always sum to 1.
 
-    One-per-class boosted models give a margin m per class; 1 / (1 + exp(-2 m)) is each one's
-    own probability, and the shares of those sum to 1.
+    One-per-class boosted models give a margin m per class; 1 / (1 + exp(-2 m)) is each one's own probability. Their
+    shares are formed from the logarithms with the largest subtracted, so that no margin is too large or too small.
     """
     if "probability" in scored.columns:
         return vector_to_array("probability")
-    alone = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-    total = F.aggregate(alone, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(alone, lambda p: F.coalesce(F.try_divide(p, total), F.lit(0.0)))
+    own = F.transform(
+        vector_to_array("rawPrediction"), lambda m: F.least(2.0 * m, F.lit(0.0)) - F.log1p(F.exp(-F.abs(2.0 * m)))
+    )
+    weights = F.transform(own, lambda x: F.exp(x - F.array_max(own)))
+    total = F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)
+    return F.transform(weights, lambda w: w / total)
 
 
 def feature_importances(model, features: Sequence[str], spark: SparkSession, top_n: int | None = 15) -> DataFrame:

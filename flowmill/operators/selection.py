@@ -12,17 +12,18 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from flowmill.functions.columns import MANY_KEYS, choose, order_hash, q
+from flowmill.functions.columns import choose, order_hash, q
 
 RANKED_ROWS = 500_000
 FIRST_DIGITS = 2
-GROUP_LIMIT = 1_000  # Spark's own threshold for limiting a ranking before the shuffle
-SALTS = 256
+MAX_CLASSES = 10_000  # labels that a class-wise operation takes: each becomes a term of the plan
+SALTS = (4096, 64)  # parts in which the first rows of a class are found before they meet
 NOTHING, EVERYTHING = "", "~"  # sort before and after every hex digit
 
 
@@ -35,11 +36,19 @@ def hash_of(df: DataFrame, key: str | Sequence[str] | None, seed: int) -> Column
 
 def class_counts(df: DataFrame, target: str) -> dict:
     """Rows per class, on the driver: one entry per label. Rows without label are an error."""
-    counts = {r["label"]: r["n"] for r in df.groupBy(q(target).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = df.groupBy(q(target).alias("label")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    counts = {r["label"]: r["n"] for r in counted}
+    check_class_count(len(counts), target)
     check_labelled(counts, target)
     return dict(sorted(counts.items()))
 
 
+def check_class_count(n: int, target: str, most: int | None = None) -> None:
+    most = MAX_CLASSES if most is None else most
+    if n > most:
+        raise ValueError(f"'{target}' has more than {most} different values: too many for classes")
+
+
 def check_labelled(counts: Mapping, target: str) -> None:
     if None in counts:
         raise ValueError(f"{counts[None]} rows have no label in '{target}'")
@@ -61,6 +70,8 @@ def hash_counts(df: DataFrame, group: Column, order: Column) -> HashCounts:
     rows = df.select(group.alias("g"), order.alias("h"))
     prefix = F.substring("h", 1, FIRST_DIGITS).alias("p")
     by_prefix: dict = {}
+    groups = rows.select("g").distinct().limit(MAX_CLASSES + 1).count()
+    check_class_count(groups, "the grouping column")
     for r in rows.groupBy("g", prefix).agg(F.count(F.lit(1)).alias("n")).collect():  # 256 per class
         by_prefix.setdefault(r["g"], {})[r["p"]] = r["n"]
     ordered = sorted(by_prefix, key=lambda g: (g is None, g if g is not None else ""))
@@ -119,16 +130,15 @@ def hash_cuts(counted: HashCounts, quotas: Mapping, ranked_rows: int = RANKED_RO
 
 
 def below_cut(group: Column, order: Column, cuts: Mapping) -> Column:
-    """True for the selected rows: a plain filter that reaches the scan while classes are few."""
-    cuts = {g: cut for g, cut in cuts.items() if cut != NOTHING}
-    if not cuts:
-        return F.lit(False)
-    if len(cuts) > MANY_KEYS:
-        return F.coalesce(order <= choose(group, cuts), F.lit(False))
+    """True for the selected rows, false for all others, those without a group too: a plain filter that reaches the scan."""
     terms = [
-        (group == F.lit(g)) if cut == EVERYTHING else (group == F.lit(g)) & (order <= F.lit(cut)) for g, cut in cuts.items()
+        group.eqNullSafe(F.lit(g)) if cut == EVERYTHING else group.eqNullSafe(F.lit(g)) & (order <= F.lit(cut))
+        for g, cut in cuts.items()
+        if cut != NOTHING
     ]
-    return reduce(lambda a, b: a | b, terms)
+    while len(terms) > 1:  # in pairs, so that the expression stays flat
+        terms = [reduce(or_, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0] if terms else F.lit(False)
 
 
 @dataclass(frozen=True)
@@ -214,16 +224,16 @@ def per_class_sample(
 def first_per_class(df: DataFrame, target: str, order: str, n: int) -> DataFrame:
     """The first ``n`` rows of each class by an order column.
 
-    For a small ``n`` Spark limits each task's rows before the shuffle. For a larger one the
-    classes are first cut down in salted parts, so that a large class never meets in one task.
+    They are found in many salted parts of a class, then in fewer, and then in the class, so that a task gets at most
+    ``n`` rows from each of 64 parts, however large the class is.
     """
 
     def cut(rows: DataFrame, *within: Column) -> DataFrame:
         rank = F.row_number().over(W.partitionBy(*within).orderBy(q(order)))
         return rows.withColumn("rank_in_class", rank).where(F.col("rank_in_class") <= n).drop("rank_in_class")
 
-    if n > GROUP_LIMIT:
-        df = cut(df, q(target), F.pmod(F.xxhash64(q(order)), F.lit(SALTS)))
+    for salts in SALTS:
+        df = cut(df, q(target), F.pmod(F.xxhash64(q(order)), F.lit(salts)))
     return cut(df, q(target))
 
 

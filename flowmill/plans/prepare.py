@@ -1,7 +1,6 @@
-"""Preparation of a raw flow table into train and test tables.
+"""From a raw flow table to train and test tables, and the state that turns later rows into model inputs.
 
-Whatever learns a statistic (medians, correlated columns, scaler, balancing) is fitted on
-the train rows only and then applied to both sides.
+The split comes before anything is learned: no number that a test row could move is part of the state.
 """
 
 from __future__ import annotations

@@ -37,10 +37,9 @@ def test_counts(df: DataFrame, bundle: models.Bundle) -> DataFrame:
     """Outcome counts by class name, brought to the driver and back: at most classes^2 rows."""
     spark = df.sparkSession
     rows = evaluate.outcome_counts(predicted_codes(df, bundle), "truth", "predicted").collect()
-    names = bundle.class_names
-    return small_table(
-        spark, [(names[r["label"]], names[r["prediction"]], r["n"]) for r in rows], "label string, prediction string, n bigint"
-    )
+    name = dict(enumerate(bundle.class_names)).get  # no name for rows without label or prediction
+    told = [(name(r["label"]), name(r["prediction"]), r["n"]) for r in rows]
+    return small_table(spark, told, "label string, prediction string, n bigint")
 
 
 def train_and_compare(

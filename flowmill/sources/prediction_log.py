@@ -1,15 +1,16 @@
-"""The prediction log: an append-only parquet table with one folder per logged batch.
+"""The prediction log: an append-only parquet table with one folder per date and logged batch.
 
 A batch writes (or, when repeated after a failure, rewrites) its own folder, so every
-prediction is stored once. Order is (logged_at, batch_id, seq).
+prediction is stored once. Order is (logged_at, batch_id, seq). Dates are partitions, so readers
+of the newest rows leave older folders alone.
 """
 
 from __future__ import annotations
 
+import datetime
 import uuid
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,14 +26,23 @@ SCHEMA = T.StructType(
         T.StructField("confidence", T.DoubleType()),
         T.StructField("is_attack", T.BooleanType()),
         T.StructField("features_json", T.StringType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("log_date", T.DateType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+TIMES = T.StructType(
+    [
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.StringType()),
     ]
 )
 
 
-def features_json(features: Sequence[str]):
-    """The raw features of a row as JSON, nulls included."""
-    return F.to_json(F.struct(*[q(f).alias(f) for f in features]), {"ignoreNullFields": "false"})
+def row_json(df: DataFrame) -> Column:
+    """A row as it came, all its columns as JSON, nulls included."""
+    return F.to_json(F.struct(*[q(c).alias(c) for c in df.columns]), {"ignoreNullFields": "false"})
 
 
 def log_rows(scored: DataFrame, seq: str, features: str = "features_json") -> DataFrame:
@@ -47,13 +57,22 @@ def log_rows(scored: DataFrame, seq: str, features: str = "features_json") -> Da
     )
 
 
-def append(rows: DataFrame, path: str, batch: str | None = None) -> str:
-    """Store one batch; repeating a batch id replaces that batch. Returns the id."""
-    batch = batch or f"batch-{uuid.uuid4().hex}"
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+def append(rows: DataFrame, path: str, batch: str | None = None, run: str | None = None) -> str:
+    """Store one batch of a run; repeating a batch id replaces that batch, on whatever date. Returns the id."""
+    spark, batch = rows.sparkSession, batch or f"batch-{uuid.uuid4().hex}"
+    files.delete(spark, f"{path}/log_date=*/batch_id={batch}")
+    today = datetime.datetime.now(datetime.timezone.utc).date()
+    rows = rows.withColumn("run", F.lit(run).cast("string"))
+    rows.write.mode("overwrite").parquet(f"{path}/log_date={today}/batch_id={batch}")
     return batch
 
 
+def add_time(spark: SparkSession, path: str, batch: str, run: str, seconds: float) -> None:
+    """How long a batch of a run took, kept beside the log; a repeated batch replaces its time."""
+    row = small_table(spark, [(seconds, run)], "seconds double, run string")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}_times/batch_id={batch}")
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The whole log; an absent log reads as empty and is not created."""
     if not files.exists(spark, path):
@@ -61,13 +80,39 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).option("basePath", path).parquet(path)
 
 
-def recent(log: DataFrame, limit: int = DEFAULT_RECENT) -> DataFrame:
-    """The newest predictions first, without their features; the limit is clamped to 1..500."""
-    limit = max(1, min(limit, MAX_RECENT))
+def read_times(spark: SparkSession, path: str) -> DataFrame:
+    """(seconds, run, batch_id) of the batches of a log."""
+    at = f"{path}_times"
+    if not files.exists(spark, at):
+        return small_table(spark, [], TIMES)
+    return spark.read.schema(TIMES).option("basePath", at).parquet(at)
+
+
+def recent(log: DataFrame, limit: int = DEFAULT_RECENT, max_limit: int | None = None) -> DataFrame:
+    """The newest predictions first, without their features.
+
+    At least one; ``max_limit`` (``MAX_RECENT`` for requests from outside) bounds what a caller may ask for.
+    """
+    limit = max(1, limit if max_limit is None else min(limit, max_limit))
     newest = log.orderBy(F.desc("logged_at"), F.desc("batch_id"), F.desc("seq")).limit(limit)
     return newest.select("logged_at", "batch_id", "seq", "predicted_class", "confidence", "is_attack")
 
 
+def recent_of(
+    spark: SparkSession, path: str, limit: int = DEFAULT_RECENT, max_limit: int | None = None
+) -> DataFrame:
+    """``recent`` for a stored log, reading no older dates than it needs."""
+    log, held = read_log(spark, path), 0
+    wanted = max(1, limit if max_limit is None else min(limit, max_limit))
+    dates = [name.removeprefix("log_date=") for name in files.folders(spark, f"{path}/log_date=*")]
+    for date in reversed(dates):
+        oldest = F.lit(date).cast("date")
+        held += log.where(F.col("log_date") == oldest).count()
+        if held >= wanted:
+            return recent(log.where(F.col("log_date") >= oldest), limit, max_limit)
+    return recent(log, limit, max_limit)
+
+
 def class_counts(log: DataFrame) -> DataFrame:
     """(predicted_class, n, attacks)."""
     return log.groupBy("predicted_class").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_attack").alias("attacks"))

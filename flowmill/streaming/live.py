@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,40 +10,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from flowmill.functions.columns import q
+from flowmill.functions.columns import q, small_table
 from flowmill.operators.models import Bundle
 from flowmill.operators.scoring import score, session_summary
 from flowmill.operators.selection import hash_of, subsample
 from flowmill.plans.prepare import PrepState
-from flowmill.sources import prediction_log
+from flowmill.sources import files, prediction_log
+
+REPLAY_ORDER = "replay_order"
+ROWS_PER_FILE = 100_000
 
 
 def write_replay(
     df: DataFrame,
     path: str,
-    files: int = 8,
+    rows_per_file: int = ROWS_PER_FILE,
     count: int | None = None,
     key: str | None = None,
     seed: int = 42,
     shuffle: bool = True,
 ) -> None:
-    """Store the rows to replay in order, cut into ``files`` pieces for a file stream."""
+    """Store the rows to replay in pieces of about ``rows_per_file`` rows for a file stream.
+
+    Each row carries its place as ``replay_order``: a hash, or the key for an unshuffled replay. A piece holds a range of
+    it, sorted. The pieces are written in parallel and a file stream takes them by their age, so a batch is in order and
+    the batches are not; who needs the whole order sorts by ``replay_order``.
+    """
     chosen = subsample(df, count, key, seed) if shuffle else df
     order = hash_of(chosen, key, seed) if shuffle else q(key)
-    chosen.withColumn("replay_order", order).repartitionByRange(files, "replay_order").sortWithinPartitions(
-        "replay_order"
-    ).drop("replay_order").write.mode("overwrite").parquet(path)
+    placed = chosen.withColumn(REPLAY_ORDER, order)
+    pieces = max(-(-placed.count() // rows_per_file), 1)
+    placed.repartitionByRange(pieces, REPLAY_ORDER).sortWithinPartitions(REPLAY_ORDER).write.mode("overwrite").parquet(path)
 
 
 def replay_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
+    """The stored rows as a stream; ``replay_order`` only if the schema names it."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def score_stream(
     stream: DataFrame, bundle: Bundle, state: PrepState, keep: Sequence[str], benign: str = "BENIGN"
 ) -> DataFrame:
-    """The batch scorer on a stream, with the raw features as JSON. Stateless: any rate, any order."""
-    told = stream.withColumn("features_json", prediction_log.features_json(state.feature_columns))
+    """The batch scorer on a stream, with the row as received as JSON. Stateless: any rate, any order."""
+    told = stream.withColumn("features_json", prediction_log.row_json(stream))
     return score(told, bundle, state, [*keep, "features_json"], benign)
 
 
@@ -56,10 +66,15 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None
 def log_stream(
     scored: DataFrame, log_path: str, run: str, checkpoint: str, seq: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Append a scored stream to the log. A repeated micro-batch rewrites its own folder."""
+    """Append a scored stream to the log, and the seconds of each batch beside it.
+
+    A repeated micro-batch rewrites its own folder and its own time.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        prediction_log.append(prediction_log.log_rows(batch, seq), log_path, f"{run}-{batch_id:012d}")
+        began, name = time.perf_counter(), f"{run}-{batch_id:012d}"
+        prediction_log.append(prediction_log.log_rows(batch, seq), log_path, name, run)
+        prediction_log.add_time(batch.sparkSession, log_path, name, run, time.perf_counter() - began)
 
     return start(scored.writeStream.foreachBatch(store), checkpoint, interval)
 
@@ -72,23 +87,42 @@ def running_counts(scored: DataFrame) -> DataFrame:
 
 
 def counts_to_table(counts: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Keep the current counts in a small table that any reader can query."""
+    """Keep the current counts in small tables, one folder per batch, of which ``current_counts`` reads the newest.
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+    The two newest stay, so that a reader that has just chosen one finds it.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        for old in files.folders(spark, f"{path}/batch=*")[:-2]:
+            files.delete(spark, f"{path}/{old}")
 
     return start(counts.writeStream.outputMode("complete").foreachBatch(store), checkpoint, interval)
 
 
-def query_seconds(query: StreamingQuery) -> float:
-    """Processing time of a finished query, from its progress reports."""
-    return sum(p["durationMs"].get("triggerExecution", 0) for p in query.recentProgress) / 1000.0
+def current_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete counts; none before the first batch."""
+    complete = [p.rsplit("/", 2)[-2] for p in files.glob(spark, f"{path}/batch=*/_SUCCESS")]
+    if not complete:
+        return small_table(spark, [], "predicted_class string, n bigint, attacks bigint")
+    return spark.read.parquet(f"{path}/{max(complete)}")
+
+
+def run_seconds(spark: SparkSession, log_path: str, run: str) -> float:
+    """Seconds that all batches of a run took, over every restart."""
+    times = prediction_log.read_times(spark, log_path).where(F.col("run") == run)
+    return times.agg(F.coalesce(F.sum("seconds"), F.lit(0.0))).first()[0]
 
 
 def stream_session_summary(
     log: DataFrame, truth: DataFrame, key: str, label: str, seconds: float | None, run: str | None = None
 ) -> DataFrame:
-    """Session totals of one run: its log rows matched with the known labels by key."""
-    told = log if run is None else log.where(F.col("batch_id").startswith(f"{run}-"))
-    known = truth.select(q(key).cast("string").alias("seq"), q(label).alias("true_class"))
-    return session_summary(told.join(known, "seq"), "true_class", "predicted_class", "is_attack", seconds)
+    """Session totals of one run. Every logged flow counts; those without a known class are not correct.
+
+    Keys that the truth has several times count as known only if they agree on the class.
+    """
+    told = log if run is None else log.where(F.col("run") == run)
+    known = truth.groupBy(q(key).cast("string").alias("seq")).agg(F.min(q(label)).alias("low"), F.max(q(label)).alias("high"))
+    known = known.select("seq", F.when(F.col("low") == F.col("high"), F.col("low")).alias("true_class"))
+    return session_summary(told.join(known, "seq", "left"), "true_class", "predicted_class", "is_attack", seconds)

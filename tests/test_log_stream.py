@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from flowmill.operators import models, scoring
+from flowmill.operators import models, scoring, selection
 from flowmill.plans.prepare import CODE, ROW_KEY, prepare
 from flowmill.sources import prediction_log
 from flowmill.streaming import live
@@ -66,18 +66,40 @@ def test_recent_is_newest_first_and_clamped(spark, folder):
     top = prediction_log.recent(log, 3).collect()
     assert [(r["batch_id"], r["seq"]) for r in top] == [("b2", "0299"), ("b2", "0298"), ("b2", "0297")]
     assert "features_json" not in top[0].asDict()
-    assert [prediction_log.recent(log, n).count() for n in (-5, 0, 50, 9999)] == [1, 1, 50, 500]
+    assert [prediction_log.recent(log, n).count() for n in (-5, 0, 50, 9999)] == [1, 1, 50, 600]
+    assert [prediction_log.recent(log, n, prediction_log.MAX_RECENT).count() for n in (0, 9999)] == [1, 500]
 
 
-def test_features_json_keeps_nulls(spark):
-    df = spark.createDataFrame([(1.5, None)], "`a b` double, c double")
-    assert df.select(prediction_log.features_json(["a b", "c"])).first()[0] == '{"a b":1.5,"c":null}'
+def test_recent_of_a_stored_log_leaves_old_dates_alone(spark, folder):
+    path = folder + "/log"
+    for i, date in enumerate(("2024-01-01", "2024-01-02", "2024-01-03")):
+        rows = prediction_log.log_rows(scored_rows(spark, 10), "key").withColumn("run", F.lit("r"))
+        rows.withColumn("logged_at", F.lit(date).cast("timestamp")).write.parquet(f"{path}/log_date={date}/batch_id=b{i}")
+    newest = prediction_log.recent_of(spark, path, 15)
+    assert [r["batch_id"] for r in newest.collect()] == ["b2"] * 10 + ["b1"] * 5
+    plan = newest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan and "log_date" in plan
+    assert prediction_log.recent_of(spark, path, 99).count() == 30
+    assert prediction_log.recent_of(spark, folder + "/none", 5).count() == 0
+
+
+def test_a_batch_repeated_on_a_later_date_is_stored_once(spark, folder):
+    path = folder + "/log"
+    rows = prediction_log.log_rows(scored_rows(spark, 10), "key")
+    rows.withColumn("run", F.lit("r")).write.parquet(f"{path}/log_date=2024-01-01/batch_id=b1")
+    prediction_log.append(rows, path, "b1", "r")
+    assert prediction_log.read_log(spark, path).count() == 10
+
+
+def test_row_json_keeps_nulls_and_extra_columns(spark):
+    df = spark.createDataFrame([(1.5, None, "more")], "`a b` double, c double, extra string")
+    assert df.select(prediction_log.row_json(df)).first()[0] == '{"a b":1.5,"c":null,"extra":"more"}'
 
 
 def test_stream_scores_equal_batch_scores_and_restart_is_safe(spark, ready, folder):
     p, bundle = ready
     raw = p.split.test(p.clean)
-    live.write_replay(raw, folder + "/in", files=3, key=ROW_KEY)
+    live.write_replay(raw, folder + "/in", rows_per_file=15, key=ROW_KEY)
     for _ in range(2):  # the second run finds nothing new
         stream = live.replay_stream(spark, folder + "/in", raw.schema)
         scored = live.score_stream(stream, bundle, p.state, [ROW_KEY])
@@ -89,6 +111,7 @@ def test_stream_scores_equal_batch_scores_and_restart_is_safe(spark, ready, fold
     wrong = batch.withColumn("predicted_class", F.lit("DoS"))
     differing = scoring.parity_counts(scoring.score_parity(wrong, batch, ROW_KEY)).first()["differing"]
     assert differing == batch.where("predicted_class <> 'DoS'").count() > 0
+    assert all('"Label":' in r["features_json"] for r in log.collect())  # the row as it came, not the model's part of it
     summary = live.stream_session_summary(log, p.test, ROW_KEY, "Label", 2.0, "run").first()
     assert summary["total_flows"] == raw.count() and summary["accuracy_vs_true_label"] > 0.9
     assert live.stream_session_summary(log, p.test, ROW_KEY, "Label", 2.0, "other").first()["total_flows"] == 0
@@ -96,21 +119,51 @@ def test_stream_scores_equal_batch_scores_and_restart_is_safe(spark, ready, fold
 
 def test_running_counts_and_seconds(spark, folder):
     rows = scored_rows(spark, 90)
-    live.write_replay(rows, folder + "/in", files=3, key="key")
+    live.write_replay(rows, folder + "/in", rows_per_file=30, key="key")
     stream = live.replay_stream(spark, folder + "/in", rows.schema)
-    query = live.counts_to_table(live.running_counts(stream), folder + "/counts", folder + "/check")
-    query.awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(folder + "/counts").collect())
+    assert live.current_counts(spark, folder + "/counts").count() == 0
+    live.counts_to_table(live.running_counts(stream), folder + "/counts", folder + "/check").awaitTermination()
+    got = sorted(tuple(r) for r in live.current_counts(spark, folder + "/counts").collect())
     assert got == [("BENIGN", 60, 0), ("DoS", 30, 30)]
-    assert live.query_seconds(query) > 0
-
-
-def test_replay_keeps_count_and_order(spark, folder):
+    assert len(os.listdir(folder + "/counts")) == 2  # three batches, the two newest kept
+    os.makedirs(folder + "/counts/batch=999999999999")  # a batch that is being written
+    assert sorted(tuple(r) for r in live.current_counts(spark, folder + "/counts").collect()) == got
+
+
+def test_session_of_more_than_a_hundred_batches(spark, folder):
+    rows = scored_rows(spark, 220)
+    live.write_replay(rows, folder + "/in", rows_per_file=2, key="key")
+    pieces = len([f for f in os.listdir(folder + "/in") if f.endswith(".parquet")])
+    assert pieces > 100
+    for run, kept in (("run", "true"), ("run-2", "is_attack")):
+        stream = live.replay_stream(spark, folder + "/in", rows.schema, 1 if run == "run" else 300).where(kept)
+        live.log_stream(stream, folder + "/log", run, f"{folder}/check-{run}", "key").awaitTermination()
+    log = prediction_log.read_log(spark, folder + "/log")
+    times = prediction_log.read_times(spark, folder + "/log")
+    assert times.where("run = 'run'").count() == pieces  # every batch is timed, not only the last hundred
+    seconds = live.run_seconds(spark, folder + "/log", "run")
+    assert seconds == pytest.approx(sum(r["seconds"] for r in times.where("run = 'run'").collect())) and seconds > 0
+    truth = rows.where("key < '0100'").select("key", F.col("predicted_class").alias("Label"))
+    truth = truth.union(truth.limit(3)).union(spark.createDataFrame([("0000", "other")], "key string, Label string"))
+    got = live.stream_session_summary(log, truth, "key", "Label", seconds, "run").first()
+    assert got["total_flows"] == 220 and got["attacks_detected"] == 74
+    assert got["correct_predictions"] == 99  # 100 known, of which one is told twice and differently
+    assert live.stream_session_summary(log, truth, "key", "Label", 1.0, "run-2").first()["total_flows"] == 74
+
+
+def test_replay_keeps_count_and_tells_the_order(spark, folder):
     rows = scored_rows(spark, 50)
-    live.write_replay(rows, folder + "/some", files=2, count=20, key="key")
-    assert spark.read.parquet(folder + "/some").count() == 20
-    live.write_replay(rows, folder + "/all", files=2, key="key", shuffle=False)
-    assert spark.read.parquet(folder + "/all").count() == 50
+    live.write_replay(rows, folder + "/some", rows_per_file=7, count=20, key="key")
+    some = spark.read.parquet(folder + "/some")
+    wanted = [r["key"] for r in selection.replay_order(rows, 20, "key").collect()]
+    assert [r["key"] for r in some.orderBy(live.REPLAY_ORDER).collect()] == wanted
+    live.write_replay(rows, folder + "/all", rows_per_file=20, key="key", shuffle=False)
+    everything = spark.read.parquet(folder + "/all")
+    assert [r["key"] for r in everything.orderBy(live.REPLAY_ORDER).collect()] == [f"{i:04d}" for i in range(50)]
+    for name in sorted(os.listdir(folder + "/all")):
+        if name.endswith(".parquet"):  # in order within a piece
+            keys = [r["key"] for r in spark.read.parquet(f"{folder}/all/{name}").collect()]
+            assert keys == sorted(keys)
 
 
 def test_a_job_on_a_cluster_needs_the_shared_folder(spark, monkeypatch):

@@ -1,8 +1,10 @@
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
@@ -101,6 +103,10 @@ def test_metrics_with_an_absent_class(spark):
     total = evaluate.overall_metrics(outcomes(spark), "label", "prediction", ["a", "b", "c"]).first()
     assert total["accuracy"] == pytest.approx(13 / 16)
     assert total["macro_f1"] == pytest.approx((rows["a"]["f1"] + rows["b"]["f1"]) / 3)
+    assert (total["unscored"], total["unlabelled"]) == (0, 1)
+    silent = outcomes(spark).union(spark.createDataFrame([("a", None)] * 4, "label string, prediction string"))
+    told = evaluate.overall_metrics(silent, "label", "prediction", ["a", "b", "c"]).first()
+    assert told["accuracy"] == pytest.approx(13 / 20) and told["unscored"] == 4
     assert total["weighted_f1"] == pytest.approx((rows["a"]["f1"] * 10 + rows["b"]["f1"] * 6) / 16)
 
 
@@ -155,9 +161,17 @@ def test_benign_label_ignores_case(spark, trained):
 
 
 def test_a_feature_absent_from_all_rows_is_an_error(spark, trained):
-    with pytest.raises(scoring.MissingFeatures, match=r"Missing 1 required feature\(s\): f/2"):
+    with pytest.raises(scoring.MissingFeatures, match="without the model's feature 'f/2'"):
         scoring.score(requests(spark).drop("f/2"), trained.best, STATE)
-    assert "(+2 more)" in str(scoring.MissingFeatures([f"f{i}" for i in range(12)]))
+    assert len(str(scoring.MissingFeatures([f"f{i}" for i in range(1200)]))) < 120
+    maps = spark.createDataFrame([({"f 1": "1"},), ({"f 1": "2"},)], "m map<string,string>")
+    with pytest.raises(scoring.MissingFeatures) as told:
+        scoring.from_maps(maps, "m", STATE)
+    assert "f/2" in told.value.missing and "f 1" not in told.value.missing
+    texts = spark.createDataFrame([('{"f 1": 1}',), ("no object",)], "j string")
+    with pytest.raises(scoring.MissingFeatures):
+        scoring.from_json(texts, "j", STATE)
+    assert scoring.from_json(texts, "j", STATE, checked=False).count() == 2
 
 
 def test_maps_and_json_rows(spark, trained):
@@ -192,9 +206,18 @@ def test_text_numbers(spark):
     assert got[5:] == [None, None, None, None, 0.5, 5.0, None]
 
 
-def test_first_of_equal_probabilities_wins(spark):
-    df = spark.createDataFrame([([0.4, 0.4, 0.2],)], f"`{scoring.SHARES}` array<double>")
-    assert df.select(scoring.decode(scoring.best_code(), CLASSES)).first()[0] == "BENIGN"
+def test_saturated_margins_keep_their_order(spark):
+    class OnePerClass:
+        pass
+
+    margins = [[20.0, 25.0, 1.0], [-400.0, -500.0, -600.0], [0.3, 0.1, -2.0], [900.0, 900.0, -900.0]]
+    df = spark.createDataFrame([(m, float(m.index(max(m)))) for m in margins], "raw array<double>, prediction double")
+    scored = df.withColumn("rawPrediction", array_to_vector("raw"))
+    rows = scored.select(models.probabilities(OnePerClass(), scored).alias("p"), scoring.best_code().alias("code")).collect()
+    assert [r["code"] for r in rows] == [1, 0, 0, 0]
+    assert all(sum(r["p"]) == pytest.approx(1) and max(r["p"]) == r["p"][r["code"]] for r in rows)
+    plain = [1 / (1 + math.exp(-2 * m)) for m in margins[2]]
+    assert rows[2]["p"] == pytest.approx([x / sum(plain) for x in plain])
 
 
 def test_session_totals(spark):

@@ -10,20 +10,18 @@ from flowmill.operators import cleaning, selection
 from flowmill.plans.prepare import CODE, ROW_KEY, fit_state, preparation_summary, prepare
 
 
-def raw(n=60):
-    rng = np.random.default_rng(0)
-    pdf = pd.DataFrame(
-        {
-            "Flow ID": [f"id{i}" for i in range(n)],
-            "Source IP": "10.0.0.1",
-            "feat_a": rng.normal(size=n),
-            "feat_b": rng.normal(size=n),
-            "Label": ["BENIGN"] * (n // 2) + ["DoS"] * (n - n // 2),
-        }
-    )
-    pdf["feat_c"] = pdf["feat_a"] * 1.0001
-    pdf.loc[0, "feat_b"], pdf.loc[1, "feat_b"] = np.inf, np.nan
-    return pd.concat([pdf, pdf.iloc[[2]]], ignore_index=True)
+def flow_table(flows=60):
+    """Flows with two identifier columns, one number given in two units, a hole, an infinity and one row twice."""
+    rows = []
+    for i in range(flows):
+        pace, span = (i * i * 7 + 3 * i) % 53 / 4, float((i * 29) % 47)
+        if i == 11:
+            span = float("inf")
+        elif i == 20:
+            span = float("nan")
+        rows.append((f"flow-{i:04d}", f"10.0.{i % 5}.7", pace, span, "DoS" if i % 2 else "BENIGN", pace * 1000 + 5))
+    rows.append(rows[flows // 3 + 5])
+    return pd.DataFrame(rows, columns=["Flow ID", "Source IP", "pace", "span", "Label", "pace in ms"])
 
 
 def labelled(spark, counts, noise=""):
@@ -39,12 +37,12 @@ def test_drop_classes_trims_and_folds(spark):
 
 def test_drop_classes_edge_cases(spark):
     df = labelled(spark, {"A": 6, "B": 3, "C": 1})
-    with pytest.warns(UserWarning, match="not in the data"):
+    with pytest.warns(UserWarning, match="no rows of class Z"):
         kept, removed = cleaning.drop_classes(df, "Label", ["Z"])
     assert kept.count() == 10 and removed == {}
     for nothing in ([], None):
         assert cleaning.drop_classes(df, "Label", nothing) == (df, {})
-    with pytest.raises(ValueError, match="fewer than 2 classes"):
+    with pytest.raises(ValueError, match="two are needed"):
         cleaning.drop_classes(df, "Label", ["B", "C"])
 
 
@@ -57,13 +55,13 @@ def test_null_label_reads_as_nan_text(spark):
 
 
 def test_dedup_and_identifiers(spark):
-    df = spark.createDataFrame(raw())
+    df = spark.createDataFrame(flow_table())
     unique = cleaning.deduplicate(df)
     assert unique.count() == 60
     rest, dropped = cleaning.drop_identifier_columns(unique, "Label")
     assert dropped == ["Flow ID", "Source IP"] and "Flow ID" not in rest.columns
-    kept, none = cleaning.drop_identifier_columns(df.select("Flow ID", "feat_a"), "Flow ID")
-    assert none == [] and kept.columns == ["Flow ID", "feat_a"]
+    kept, none = cleaning.drop_identifier_columns(df.select("Flow ID", "pace"), "Flow ID")
+    assert none == [] and kept.columns == ["Flow ID", "pace"]
 
 
 def test_medians_and_imputation(spark):
@@ -144,7 +142,7 @@ def test_first_rows_per_class(spark):
 
 
 def test_many_first_rows_per_class(spark, monkeypatch):
-    monkeypatch.setattr(selection, "GROUP_LIMIT", 3)
+    monkeypatch.setattr(selection, "SALTS", (7, 3))
     df = spark.range(400).select("id", (F.col("id") % 2).alias("y")).repartition(5)
     assert sorted(r["id"] for r in selection.first_per_class(df, "y", "id", 50).collect()) == list(range(100))
 
@@ -168,15 +166,15 @@ def test_replay_order(spark):
 
 
 def test_whole_chain(spark):
-    p = prepare(spark.createDataFrame(raw()), dropped_classes=None, balancing="none")
+    p = prepare(spark.createDataFrame(flow_table()), dropped_classes=None, balancing="none")
     assert p.state.dropped_identifiers == ("Flow ID", "Source IP")
-    assert p.state.dropped_correlated == ("feat_a",)
-    assert p.state.feature_columns == ["feat_b", "feat_c"]
+    assert p.state.dropped_correlated == ("pace",)
+    assert p.state.feature_columns == ["span", "pace in ms"]
     assert p.duplicates_removed == 1 and p.rows_after_dedup == 60
     train, test = p.train.toPandas(), p.test.toPandas()
     assert len(train) == 48 and len(test) == 12
     assert not set(train[ROW_KEY]) & set(test[ROW_KEY])
-    values = train[["feat_b", "feat_c"]].to_numpy()
+    values = train[["span", "pace in ms"]].to_numpy()
     assert np.allclose(values.mean(axis=0), 0) and np.allclose(values.std(axis=0), 1)
     assert set(zip(train["Label"], train[CODE])) == {("BENIGN", 0), ("DoS", 1)}
     s = preparation_summary(p).first()
@@ -192,7 +190,7 @@ def test_constant_column_scales_by_one(spark):
 
 
 def test_state_learns_nothing_from_the_test_side(spark):
-    df = spark.createDataFrame(raw(200).drop_duplicates())
+    df = spark.createDataFrame(flow_table(200).drop_duplicates())
     p = prepare(df, dropped_classes=None, balancing="none", key="Flow ID")
     names = numeric_columns(p.clean)
     spoiled = p.clean.select(
@@ -205,20 +203,39 @@ def test_state_learns_nothing_from_the_test_side(spark):
 
 
 def test_scaling_is_undone(spark):
-    p = prepare(spark.createDataFrame(raw()), dropped_classes=None, balancing="none", key="Flow ID")
-    back = {r[ROW_KEY]: r["feat_c"] for r in p.test.select(ROW_KEY, *p.state.unscaled_columns()).collect()}
+    p = prepare(spark.createDataFrame(flow_table()), dropped_classes=None, balancing="none", key="Flow ID")
+    back = {r[ROW_KEY]: r["pace in ms"] for r in p.test.select(ROW_KEY, *p.state.unscaled_columns()).collect()}
     for r in p.split.test(p.clean).collect():
-        assert back[r[ROW_KEY]] == pytest.approx(r["feat_c"])
+        assert back[r[ROW_KEY]] == pytest.approx(r["pace in ms"])
 
 
 def test_dedup_after_identifiers_removes_more(spark):
-    pdf = raw()
+    pdf = flow_table()
     twin = pdf.iloc[[5]].assign(**{"Flow ID": "other"})
     df = spark.createDataFrame(pd.concat([pdf, twin], ignore_index=True))
     assert prepare(df, dropped_classes=None, balancing="none").rows_after_dedup == 61
     assert prepare(df, dropped_classes=None, balancing="none", dedup_after_id_drop=True).rows_after_dedup == 60
 
 
+def test_one_form_of_lookup_for_few_and_many_classes(spark):
+    df = spark.createDataFrame([(i % 130 if i < 260 else None, f"{i:03d}") for i in range(270)], "g int, h string")
+    for many in (3, 130):
+        cuts = {g: selection.EVERYTHING for g in range(many)}
+        assert df.where(selection.below_cut(F.col("g"), F.col("h"), cuts)).count() == 2 * many
+        assert df.where(~selection.below_cut(F.col("g"), F.col("h"), cuts)).count() == 270 - 2 * many
+    plan = df.where(selection.below_cut(F.col("g"), F.col("h"), {1: "100"}))
+    assert plan.count() == 1
+
+
+def test_a_column_with_too_many_values_has_no_classes(spark, monkeypatch):
+    monkeypatch.setattr(selection, "MAX_CLASSES", 5)
+    df = spark.range(20).select("id", F.col("id").cast("string").alias("y"))
+    with pytest.raises(ValueError, match="too many for classes"):
+        selection.class_counts(df, "y")
+    with pytest.raises(ValueError, match="too many for classes"):
+        cleaning.label_counts(df, "y", 5)
+
+
 def test_many_classes(spark):
     df = spark.range(1200).select(F.col("id"), F.format_string("c%03d", F.col("id") % 120).alias("Label"))
     split = selection.stratified_split(df, "Label", "id")

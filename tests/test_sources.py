@@ -1,7 +1,10 @@
+import io
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowmill.functions.columns import find_target, q
 from flowmill.plans.prepare import Feature, PrepState, prepare
@@ -10,14 +13,14 @@ from flowmill.sources import prepared as stored
 
 
 def put(folder, name, text, encoding="utf-8"):
-    with open(os.path.join(folder, name), "w", encoding=encoding) as f:
+    with open(os.path.join(folder, name), "w", encoding=encoding, newline="") as f:
         f.write(text)
 
 
 def test_target_exact_folded_and_missing():
     assert find_target(["a", "Label"]) == "Label"
     assert find_target(["a", " label "], "Label") == " label "
-    with pytest.raises(ValueError, match="no target column"):
+    with pytest.raises(ValueError, match="none of the 2 columns"):
         find_target(["a", "b"], "Label")
 
 
@@ -63,6 +66,52 @@ def test_text_column_stays_text_and_declared_numbers_are_coerced(spark, folder):
     assert [r["b"] for r in forced.orderBy("a").collect()] == [None, 7.0]
 
 
+QUOTED = (
+    'n, name ,n,Label\r\n1,"a ""b"", c",2.5,BENIGN\r\n2,"two\nlines, ""quoted""\n\nend",,DoS\r\n3,,7,"Web, Attack"\r\n'
+    '4,plain,NaN,"say ""x"""\r\n'
+)
+
+
+def test_quoted_cells_as_another_reader_sees_them(spark, folder):
+    put(folder, "one.csv", QUOTED)
+    want = pd.read_csv(io.StringIO(QUOTED.replace("\r\n", "\n")))
+    want.columns = [c.strip() for c in want.columns]
+    got = csv_flows.load_flows(spark, folder).orderBy("n").toPandas()
+    assert list(got.columns) == list(want.columns)
+    for c in want.columns:
+        for a, b in zip(got[c], want[c], strict=True):
+            assert (pd.isna(a) and pd.isna(b)) or (a == b), (c, a, b)
+
+
+def test_short_rows_end_in_nulls_and_long_ones_are_an_error(spark, folder):
+    put(folder, "one.csv", "a,b,Label\n1,2,x\n3\n")
+    assert sorted(map(tuple, csv_flows.load_flows(spark, folder, numeric=["a", "b"]).collect())) == [
+        (1.0, 2.0, "x"), (3.0, None, None)
+    ]
+    for surplus in ("5,6,y,7", "5,6,y,", "5,6,y,7,8"):
+        put(folder, "two.csv", f"a,b,Label\n{surplus}\n")
+        with pytest.raises(Exception, match="more than the header's 3 cells.*two.csv"):
+            csv_flows.load_flows(spark, folder, numeric=["a", "b"]).select("a").collect()
+
+
+def test_one_pass_tells_header_encoding_and_line_breaks(spark, folder):
+    put(folder, "a.csv", 'x,Caf\u00e9\n1,"b\nc"\n', encoding="latin-1")
+    put(folder, "b b.csv", "\ufeffx,y\n1,\u00e9\n")
+    put(folder, "c.csv", "")
+    seen = csv_flows.look_at(spark, csv_flows.find_csv_files(spark, folder))
+    assert [(f.encoding, f.names, f.multiline) for f in seen] == [
+        ("ISO-8859-1", ("x", "Caf\u00e9"), True), ("UTF-8", ("x", "y"), False), ("UTF-8", (), False)
+    ]
+    assert {f.encoding for f in csv_flows.look_at(spark, [f.path for f in seen], "UTF-8")} == {"UTF-8"}
+
+
+def test_an_absent_report_is_empty(spark, folder):
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    assert files.read_json(spark, folder + "/none", schema).count() == 0
+    files.write_json(spark.createDataFrame([(4,)], schema), folder + "/some")
+    assert files.read_json(spark, folder + "/some", schema).first()["a"] == 4
+
+
 def frame(spark, n=60):
     return spark.range(n).select(
         F.concat(F.lit("f"), F.col("id").cast("string")).alias("Flow ID"),
