@@ -6,8 +6,9 @@ candidates if a fragment agrees, which frequent shingles alone hardly bring abou
 are counted in each coarse fragment separately and summed per pair.
 
 Equal sets are one class from the start. Classes that share a fragment form a bucket, however many they are; a bucket
-is compared with one of its members at a time, and members already connected are not compared again. What is still apart
-after a few rounds is compared in full, so that no link is lost. Sizes of links and buckets never reach the driver.
+is compared with two of its members at a time, and members already connected are not compared again. What is still apart
+after a few rounds is compared in full, so that no link is lost; sizes and bit sketches, which bound the difference of
+two sets from below, leave most of these pairs out inside the join. Neither links nor buckets reach the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
@@ -27,10 +28,10 @@ from flowmill.session import materialize
 SHINGLE = 4
 #: Linked if 100 * common >= 85 * union.
 THRESHOLD = (85, 100)
-#: Comparisons with one member per bucket before what is still apart is compared in full.
-STAR_ROUNDS = 3
-#: Coarse fragments in which common shingles are counted.
-COUNTED_FRAGMENTS = 4
+#: Rounds of comparing with two members per bucket before what is still apart is compared in full.
+STAR_ROUNDS = 2
+#: Coarse fragments in which common shingles are counted; 64-bit words of a set's sketch.
+COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 8
 #: Ids (8 bytes each) that may be broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
@@ -231,63 +232,108 @@ def _buckets(sets: DataFrame) -> DataFrame:
 
 
 def _fragments(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cls, frag, n, shingles) of the wanted classes, each from the first document that has it."""
+    """(cls, n, s0 ..., f0 ...) of the wanted classes, each from the first document that has it.
+
+    f0 ... are the set's shingles by coarse fragment, s0 ... its sketch: one bit per group of shingles, telling whether
+    their number is odd. Two sets differ in at least as many shingles as their sketches differ in bits.
+    """
     few = wanted.count() <= BROADCAST_IDS
     picked = wanted.select("id").distinct()
     docs = texts.join(F.broadcast(picked) if few else picked, "id", "left_semi")
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    names = ["hi", "lo", "n", *_SKETCH, *_PARTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 shingles, offsets = shingle_sets(piece.column("text"), size)
                 hi, lo = set_ids(shingles, offsets)
-                frag = ((shingles >> np.uint64(32)) * np.uint64(COUNTED_FRAGMENTS) >> np.uint64(32)).astype(np.int64)
-                owner = np.repeat(np.arange(len(lo)), np.diff(offsets))
-                starts = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(frag) != 0))) if len(owner) else owner
-                ends = np.append(starts, len(owner)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64)))
-                who = owner[starts]
-                columns = [hi[who], lo[who], np.diff(offsets)[who].astype(np.int32), frag[starts].astype(np.int32), lists]
-                arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "n", "frag", "shingles"])
-
-    found = docs.mapInArrow(run, "hi long, lo long, n int, frag int, shingles array<long>")
+                columns = [pa.array(x) for x in (hi, lo, np.diff(offsets).astype(np.int32), *sketches(shingles, offsets))]
+                for k in range(COUNTED_FRAGMENTS):
+                    inside = (shingles >> np.uint64(32)) * np.uint64(COUNTED_FRAGMENTS) >> np.uint64(32) == k
+                    ends = np.append(0, np.cumsum(inside))[offsets].astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles[inside].view(np.int64))))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    kinds = ["hi long", "lo long", "n int", *(f"{c} long" for c in _SKETCH), *(f"{c} array<long>" for c in _PARTS)]
+    found = docs.mapInArrow(run, ", ".join(kinds))
     classes = wanted.select("hi", "lo")
     found = found.join(F.broadcast(classes) if few else classes, ["hi", "lo"], "left_semi")
     found = materialize(found.withColumnRenamed("lo", "cls"), "fragments")
-    if found.groupBy("cls", "frag").count().filter("count > 1").isEmpty():
-        return found
-    return materialize(found.dropDuplicates(["hi", "cls", "frag"]), "fragments")  # ids that several texts have
+    if found.groupBy("cls", "hi").count().filter("count > 1").isEmpty():
+        return found.drop("hi")
+    return materialize(found.dropDuplicates(["hi", "cls"]), "fragments").drop("hi")  # ids that several texts have
+
+
+_SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+_PARTS = [f"f{k}" for k in range(COUNTED_FRAGMENTS)]
+
+
+def sketches(shingles: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """For every set, bits that tell for each group of shingles whether their number is odd; 64 bits per array."""
+    mixed = mix(shingles ^ np.uint64(0x2545F4914F6CDD1D))
+    word, bit = mixed >> np.uint64(32), np.uint64(1) << (mixed & np.uint64(63))
+    found = []
+    for k in range(SKETCH_WORDS):
+        own = np.where(word % np.uint64(SKETCH_WORDS) == k, bit, np.uint64(0))
+        sums = np.bitwise_xor.accumulate(np.append(np.uint64(0), own))
+        found.append((sums[offsets[1:]] ^ sums[offsets[:-1]]).view(np.int64))
+    return found
+
+
+def _maybe(left: str, right: str, threshold: tuple[int, int]) -> Column:
+    """False for pairs that their sizes or sketches show to be too different."""
+    p, d = threshold
+    a, b = F.col(f"{left}n"), F.col(f"{right}n")
+    apart = sum((F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in _SKETCH), F.lit(0))
+    return (a * d >= b * p) & (b * d >= a * p) & (apart * (d + p) <= (a + b) * (d - p))
+
+
+def _side(fragments: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    return fragments.select(F.col("cls").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns))
 
 
 def _linked(pairs: DataFrame, fragments: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that reach the threshold: common shingles counted by fragment and summed."""
     p, d = threshold
-    left = fragments.select(F.col("cls").alias("a"), "frag", F.col("n").alias("n_a"), F.col("shingles").alias("of_a"))
-    right = fragments.select(F.col("cls").alias("b"), "frag", F.col("n").alias("n_b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, "a").join(right, ["b", "frag"])
-    near = (F.col("n_a") * d >= F.col("n_b") * p) & (F.col("n_b") * d >= F.col("n_a") * p)
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    summed = both.filter(near).select("a", "b", "n_a", "n_b", common.alias("part")).groupBy("a", "b", "n_a", "n_b")
-    total = summed.agg(F.sum("part").alias("common"))
-    return total.filter(d * F.col("common") >= p * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    every = ["n", *_SKETCH, *_PARTS]
+    both = pairs.join(_side(fragments, "a", every), "a").join(_side(fragments, "b", every), "b")
+    common = sum((F.size(F.array_intersect(f"a_{c}", f"b_{c}")) for c in _PARTS), F.lit(0))
+    near = both.filter(_maybe("a_", "b_", threshold)).select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), common.alias("common"))
+    return near.filter(d * F.col("common") >= p * (F.col("n") - F.col("common"))).select("a", "b")
+
+
+def _mark(labels: DataFrame) -> int:
+    """A number that changes with the labels."""
+    return labels.agg(F.bit_xor(F.xxhash64("cls", "label"))).first()[0]
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(cls, label) with the least label that links (a, b) connect; ``labels`` may already join some."""
+    """(cls, label) with the least label that links (a, b) connect; ``labels`` may already join some.
+
+    Classes take the least label beside them; from the fourth step on also the label of their label, so that long chains
+    shorten by half each time.
+    """
     ways = links.select("a", "b").union(links.select("b", "a")).toDF("cls", "other")
+    # classes that already share a label hand it on through the class the label names
+    ways = materialize(ways.union(labels.filter("cls <> label").select("cls", "label")).union(
+        labels.filter("cls <> label").select("label", "cls")
+    ), "ways")
+    step, before = 0, _mark(labels)
     while True:
-        beside = ways.join(labels.select(F.col("cls").alias("other"), "label"), "other")
-        least = beside.groupBy("cls").agg(F.min("label").alias("near"))
-        # a label's own class passes on what it has met, so that long chains shorten by half each time
-        step = labels.join(least, "cls", "left")
-        step = step.select("cls", "label", F.least("label", F.coalesce("near", "label")).alias("near"))
-        roots = step.groupBy("label").agg(F.min("near").alias("root"))
-        after = materialize(step.join(roots, "label").select("cls", "label", F.least("near", "root").alias("new")), "labels")
-        labels = after.select("cls", F.col("new").alias("label"))
-        if after.filter("new <> label").isEmpty():
+        beside = ways.join(labels.withColumnRenamed("cls", "other"), "other").select("cls", "label")
+        if step >= 3:
+            jump = labels.select("cls", F.col("label").alias("other")).join(labels.withColumnRenamed("cls", "other"), "other")
+            beside = beside.union(jump.select("cls", "label"))
+        labels = materialize(labels.union(beside).groupBy("cls").agg(F.min("label").alias("label")), "labels")
+        step, after = step + 1, _mark(labels)
+        if after == before:
             return labels
+        before = after
+
+
+def _turn(step: int) -> Column:
+    """An order of the classes, another one for every step."""
+    return (F.xxhash64("cls", F.lit(step)) if step else F.col("cls")).alias("turn")
 
 
 def link_components(
@@ -316,28 +362,33 @@ def link_components(
     wanted = materialize(classes.join(mine, "lo", "left_semi"), "classes")
     fragments = _fragments(texts, wanted, size)
     labels = wanted.select(F.col("lo").alias("cls"), F.col("lo").alias("label")).distinct()
-    tested: DataFrame | None = None
     for step in range(STAR_ROUNDS + 1):
         members = buckets.join(labels, "cls")
-        turn = F.xxhash64("cls", F.lit(step)) if step else F.col("cls")
-        centre = F.min(F.struct(turn.alias("turn"), F.col("cls").alias("cls"), F.col("label").alias("label")))
-        apart = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre.alias("c"))
-        apart = apart.filter("low <> high")
+        apart = members.groupBy("key").agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            *(F.min(F.struct(_turn(2 * step + k), "cls", "label")).alias(f"c{k}") for k in (0, 1)),
+        )
+        apart = materialize(apart.filter("low <> high"), "apart")
+        if apart.isEmpty():
+            break
         if step < STAR_ROUNDS:
-            others = apart.select("key", F.col("c.cls").alias("other"), F.col("c.label").alias("other_label"))
+            centres = apart.select("key", F.explode(F.array_distinct(F.array("c0", "c1"))).alias("c"))
+            others = centres.select("key", F.col("c.cls").alias("other"), F.col("c.label").alias("other_label"))
+            pairs = members.join(others, "key").filter("label <> other_label")
         else:
-            open_keys = members.join(apart.select("key"), "key", "left_semi")
-            others = open_keys.select("key", F.col("cls").alias("other"), F.col("label").alias("other_label"))
-        pairs = members.join(others, "key").filter("label <> other_label")
+            # members outside a bucket's first component against all others
+            told = _side(fragments, "cls", ["n", *_SKETCH])
+            rest = members.join(apart.select("key", "low"), "key").join(told, "cls")
+            small = rest.filter("label <> low")
+            small = small.select("key", *(F.col(c).alias(f"o_{c}") for c in small.columns if c != "key"))
+            pairs = rest.join(small, "key").filter(
+                (F.col("label") != F.col("o_label"))
+                & ((F.col("label") == F.col("low")) | (F.col("cls") < F.col("o_cls")))
+                & _maybe("cls_", "o_cls_", threshold)
+            )
+            pairs = pairs.withColumnRenamed("o_cls", "other")
         pairs = pairs.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            if apart.isEmpty():
-                break
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
         links = materialize(_linked(pairs, fragments, threshold), "links")
         if not links.isEmpty():
             labels = components(labels, links)
