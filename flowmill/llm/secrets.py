@@ -230,5 +230,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
         return compute
 
-    clean = per_text(docs, text, [c for c in docs.columns if c != text], "redacted string", start)
-    return clean.withColumnRenamed("redacted", text).select(*(q(c) for c in docs.columns))
+    # the result has the name of the text, which it replaces
+    clean = per_text(docs, text, docs.columns, "`" + text.replace("`", "``") + "` string", start)
+    return clean.select(*(q(c) for c in docs.columns))
