@@ -295,11 +295,14 @@ def _side(fragments: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
 def _linked(pairs: DataFrame, fragments: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that reach the threshold: common shingles counted by fragment and summed."""
     p, d = threshold
-    every = ["n", *_SKETCH, *_PARTS]
-    both = pairs.join(_side(fragments, "a", every), "a").join(_side(fragments, "b", every), "b")
+    # sizes and sketches first: shingles are moved for the pairs that are left
+    told = ["n", *_SKETCH]
+    maybe = pairs.join(_side(fragments, "a", told), "a").join(_side(fragments, "b", told), "b")
+    maybe = maybe.filter(_maybe("a_", "b_", threshold)).select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"))
+    both = maybe.join(_side(fragments, "a", _PARTS), "a").join(_side(fragments, "b", _PARTS), "b")
     common = sum((F.size(F.array_intersect(f"a_{c}", f"b_{c}")) for c in _PARTS), F.lit(0))
-    near = both.filter(_maybe("a_", "b_", threshold)).select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), common.alias("common"))
-    return near.filter(d * F.col("common") >= p * (F.col("n") - F.col("common"))).select("a", "b")
+    counted = both.select("a", "b", "n", common.alias("common"))
+    return counted.filter(d * F.col("common") >= p * (F.col("n") - F.col("common"))).select("a", "b")
 
 
 def _mark(labels: DataFrame) -> int:
