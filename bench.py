@@ -41,7 +41,7 @@ def main() -> None:
     shown = selection.per_class_sample(test_raw, TARGET, 200, ROW_KEY)
 
     queries = {
-        "missing_and_infinite": lambda: (drain(profile.missing_report(raw)), drain(profile.infinite_report(raw))),
+        "missing_and_infinite": lambda: [drain(report) for report in profile.bad_cell_reports(raw)],
         "duplicate_report": lambda: drain(profile.duplicate_report(raw)),
         "class_distribution": lambda: drain(profile.class_distribution(raw)),
         "correlated_pairs": lambda: drain(correlation.correlated_pairs(raw)),

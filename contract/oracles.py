@@ -412,13 +412,31 @@ def oracle_sql() -> dict[str, str]:
     sql["rf_score_invariants"] = with_flows(rows_ok, UNIQUE)
     sql["gbt_score_invariants"] = with_flows(rows_ok, UNIQUE)
     sql["weighted_rf_invariants"] = with_flows(rows_ok, UNIQUE)
-    sql["rf_importances"] = "SELECT 7::bigint AS features, TRUE AS sums_to_one, TRUE AS sorted, 'Packet Length Variance' AS top_feature"
-    sql["model_comparison"] = "SELECT 'random_forest' AS model, TRUE AS valid UNION ALL SELECT 'boosted_trees', TRUE"
-    sql["best_model"] = "SELECT 2::bigint AS candidates, TRUE AS is_best"
-    sql["model_info"] = (
-        f"SELECT 'random_forest' AS model_name, '{','.join(CLASSES)}' AS classes, 'BENIGN' AS benign_label, "
-        f"7::bigint AS feature_count, '{','.join(KEPT)}' AS feature_columns"
+    # the feature whose class means differ most, for its spread, is the one a forest leans on
+    spread = union(
+        f"SELECT '{n}' AS k, (SELECT sum(n * (m - mean) ** 2) / nullif(sum(n) * any_value(spread), 0) FROM "
+        f'(SELECT count(*) AS n, avg({c(n)}) AS m FROM filled WHERE NOT is_test GROUP BY "Label"), '
+        f"(SELECT avg({c(n)}) AS mean, var_pop({c(n)}) AS spread FROM filled WHERE NOT is_test)) AS eta"
+        for n in KEPT
+    )
+    sql["rf_importances"] = with_flows(
+        "SELECT count(*) AS features, TRUE AS sums_to_one, TRUE AS sorted, max_by(k, coalesce(eta, 0)) AS top_feature FROM etas",
+        UNIQUE, MEDIANS, f",\netas AS ({spread})",
+    )
+    sql["model_comparison"] = with_flows(
+        union(
+            f"SELECT '{m}' AS model, {TEST_ROWS} AS rows, TRUE AS accuracy_agrees, TRUE AS macro_f1_agrees, TRUE AS valid"
+            for m in ("random_forest", "boosted_trees")
+        ),
+        UNIQUE,
     )
+    sql["best_model"] = with_flows(f"SELECT 2::bigint AS candidates, {TEST_ROWS} AS rows, TRUE AS is_best", UNIQUE)
+    sql["model_info"] = with_flows(
+        "SELECT 'random_forest' AS model_name, (SELECT string_agg(DISTINCT \"Label\", ',' ORDER BY \"Label\") FROM uniq) AS classes, "
+        f"'BENIGN' AS benign_label, {len(FEATURES)} - (SELECT count(DISTINCT feature_1) FROM r WHERE NOT isnan(r) AND r >= 0.9) "
+        f"AS feature_count, '{','.join(KEPT)}' AS feature_columns",
+        UNIQUE, MEDIANS, f",\nr AS ({pair_corr('filled', 'NOT is_test')})",
+    )
     sql["decoded_labels"] = with_flows('SELECT row_key, "Label" AS decoded FROM placed WHERE is_test', UNIQUE)
     sql["bundle_round_trip"] = with_flows(f"SELECT {TEST_ROWS} AS flows, {TEST_ROWS} AS matching, 0::bigint AS differing", UNIQUE)
     # log and sessions on events

@@ -407,19 +407,36 @@ def rf_importances(spark, sf_dir):
     )
 
 
+def _rescored(spark, sf_dir) -> DataFrame:
+    """(model, rows, accuracy, macro_f1) from the scored test rows, without the library's metrics."""
+    parts = None
+    for name, bundle in _trained(spark, sf_dir).bundles.items():
+        scored = scoring.score(_raw_test(spark, sf_dir), bundle, _prepared(spark, sf_dir).state, [TARGET])
+        told = scored.select(F.lit(name).alias("model"), q(TARGET).alias("truth"), F.col("predicted_class").alias("guess"))
+        parts = told if parts is None else parts.unionByName(told)
+    pairs = parts.groupBy("model", "truth", "guess").agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("truth") == F.col("guess"), F.col("n")).otherwise(0)
+    guessed = pairs.groupBy("model", F.col("guess").alias("truth")).agg(F.sum("n").alias("guessed"))
+    classes = pairs.groupBy("model", "truth").agg(F.sum("n").alias("held"), F.sum(hit).alias("hits"))
+    f1 = 2 * F.col("hits") / (F.col("held") + F.coalesce("guessed", F.lit(0)))
+    return classes.join(guessed, ["model", "truth"], "left").groupBy("model").agg(
+        F.sum("held").alias("rows"), (F.sum("hits") / F.sum("held")).alias("accuracy"), F.avg(f1).alias("macro_f1")
+    )
+
+
 def model_comparison(spark, sf_dir):
     compared = _trained(spark, sf_dir).comparison
-    valid = F.lit(True)
-    for c in ("accuracy", "macro_f1", "weighted_f1"):
-        valid = valid & F.col(c).between(0.0, 1.0)
-    return compared.select("model", valid.alias("valid"))
+    again = _rescored(spark, sf_dir).select("model", "rows", *[F.col(c).alias(f"own_{c}") for c in ("accuracy", "macro_f1")])
+    agrees = [(F.abs(F.col(c) - F.col(f"own_{c}")) < 1e-9).alias(f"{c}_agrees") for c in ("accuracy", "macro_f1")]
+    return compared.join(again, "model").select("model", "rows", *agrees, F.col("weighted_f1").between(0.0, 1.0).alias("valid"))
 
 
 def best_model(spark, sf_dir):
     trained = _trained(spark, sf_dir)
-    chosen = F.max(F.when(F.col("model") == trained.best.name, F.round("macro_f1", 4)))
-    return trained.comparison.agg(
-        F.count(F.lit(1)).alias("candidates"), (chosen == F.max(F.round("macro_f1", 4))).alias("is_best")
+    own = F.round("macro_f1", 4)
+    chosen = F.max(F.when(F.col("model") == trained.best.name, own))
+    return _rescored(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("candidates"), F.max("rows").alias("rows"), (chosen == F.max(own)).alias("is_best")
     )
 
 

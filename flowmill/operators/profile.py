@@ -34,6 +34,11 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(df: DataFrame, n: int = 3, key: str | None = None) -> DataFrame:
+    """A few rows to look at: the first by ``key``, without one any."""
+    return (df.orderBy(q(key)) if key else df).limit(n)
+
+
 def dtype_counts(df: DataFrame) -> dict[str, int]:
     counts: dict[str, int] = {}
     for _, kind in df.dtypes:
@@ -75,6 +80,19 @@ def infinite_report(df: DataFrame) -> DataFrame:
     return held.select("column_name", "infinite_count").orderBy(F.desc("infinite_count"), "column_name")
 
 
+def bad_cell_reports(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``missing_report`` and ``infinite_report`` from one scan."""
+    spark = df.sparkSession
+    counted = cell_counts(df).collect()  # one row per column
+    held = small_table(
+        spark, [tuple(r) for r in counted], "rows bigint, column_name string, missing_count bigint, infinite_count bigint"
+    )
+    share = F.round(F.col("missing_count") / F.col("rows") * 100, 3).alias("missing_pct")
+    missing = held.where("missing_count > 0").select("column_name", "missing_count", share)
+    infinite = held.where("infinite_count > 0").select("column_name", "infinite_count")
+    return missing.orderBy(F.desc("missing_count"), "column_name"), infinite.orderBy(F.desc("infinite_count"), "column_name")
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows beyond the first of every group of identical rows; NaN equals NaN and null."""
     rows = without_nan(df)

@@ -6,7 +6,7 @@ The split comes before anything is learned: no number that a test row could move
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ class PrepState:
     features: tuple[Feature, ...]
     dropped_identifiers: tuple[str, ...] = ()
     dropped_correlated: tuple[str, ...] = ()
+    balancing: str = "none"  # how the train rows were balanced; "class_weight" is left to the fit
 
     @property
     def feature_columns(self) -> list[str]:
@@ -137,11 +138,13 @@ def prepare(
     key: str | None = None,
     dedup_after_id_drop: bool = False,
     materialized: bool = True,
+    on_singleton: str = "error",
     **limits,
 ) -> Prepared:
     """The whole chain from raw rows to model inputs.
 
-    The deduplicated rows are written once, because every fitted statistic reads them again.
+    The deduplicated rows are written once, because every fitted statistic reads them again, and so are oversampled
+    train rows, because every job of every fit does.
     ``key`` names a unique column that decides the random order; without it the whole row does.
     """
     # one grouped count gives the rows loaded and what class removal takes away
@@ -164,7 +167,11 @@ def prepare(
     state = fit_state(raw_train, target, list(split.counts), features, correlation_threshold, ids, **limits)
     carried = [q(ROW_KEY), q(target), state.code(q(target)).alias(CODE)]
     train, test = state.apply(raw_train, carried), state.apply(raw_test, carried)
-    balanced = balance(train, target, balancing, state.feature_columns, ROW_KEY, k_neighbors, seed)
+    state = replace(state, balancing=balancing)
+    options = {"on_singleton": on_singleton} if balancing == "smote" else {}
+    balanced = balance(train, target, balancing, state.feature_columns, ROW_KEY, k_neighbors, seed, **options)
+    if materialized and balancing == "smote":
+        balanced = materialize(balanced, "balanced")
     return Prepared(
         balanced,
         test,
@@ -184,10 +191,7 @@ def preparation_summary(prepared: Prepared) -> DataFrame:
     """Row counts of every stage and the columns that were kept or dropped, as one row."""
     state, spark = prepared.state, prepared.train.sparkSession
     before = sum(prepared.split.counts.values()) - sum(prepared.split.test_quota.values())
-    after = before
-    if prepared.balancing == "smote":
-        sizes = [n - prepared.split.test_quota[c] for c, n in prepared.split.counts.items()]
-        after = max(sizes) * len(sizes)
+    after = prepared.train.count() if prepared.balancing == "smote" else before
     row = (
         prepared.rows_loaded,
         dict(prepared.removed_classes),

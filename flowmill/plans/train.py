@@ -23,6 +23,8 @@ class Trained:
     comparison: DataFrame
     counts: dict[str, DataFrame]
     selection_metric: str
+    train_rows: int = 0
+    class_weight: bool = False
 
 
 def predicted_codes(df: DataFrame, bundle: models.Bundle) -> DataFrame:
@@ -51,13 +53,16 @@ def train_and_compare(
     selection_metric: str = "macro_f1",
     seed: int = 42,
     max_train_rows: int | None = None,
-    class_weight: bool = False,
+    class_weight: bool | None = None,
     validation_share: float | None = None,
 ) -> Trained:
     """Fit the named models one after the other on the same rows and pick the best.
 
-    The choice is made on the test rows, or on a share of the train rows set aside for it.
+    The choice is made on the test rows, or on a share of the train rows set aside for it. Without a word on
+    ``class_weight`` the fits are weighted if the rows were prepared with balancing "class_weight".
     """
+    if class_weight is None:
+        class_weight = state.balancing == "class_weight"
     unknown = [n for n in names if n not in models.TRAINERS]
     if unknown:
         raise ValueError(f"unknown model '{unknown[0]}'; choose from {list(models.TRAINERS)}")
@@ -67,6 +72,7 @@ def train_and_compare(
         split = stratified_split(train, state.target, ROW_KEY, validation_share, seed + 1)
         train, judged = split.train(train), split.test(train)
     train = subsample(train, max_train_rows, ROW_KEY, seed)
+    rows = train.count()
     bundles, seconds, results, counts = {}, {}, {}, {}
     for name in names:
         model, took = models.train_model(
@@ -80,5 +86,30 @@ def train_and_compare(
     best = evaluate.best_model(comparison, selection_metric)
     if validation_share is not None:
         counts = {n: test_counts(test, b) for n, b in bundles.items()}
-    return Trained(bundles[best], bundles, seconds, comparison, counts, selection_metric)
+    return Trained(bundles[best], bundles, seconds, comparison, counts, selection_metric, rows, class_weight)
+
+
+def training_summary(trained: Trained, top_n: int = 15) -> DataFrame:
+    """One row per model: metrics on the test rows, rows and seconds of the fit, whether it was chosen and by what, and
+    its most important features. ``files.write_json`` stores it."""
+    spark, parts = trained.comparison.sparkSession, None
+    for name, bundle in trained.bundles.items():
+        overall = evaluate.overall_from_counts(trained.counts[name], bundle.class_names)
+        ranked = models.feature_importances(bundle.model, bundle.feature_columns, spark, top_n).collect()
+        told = [F.struct(F.lit(r["feature"]).alias("feature"), F.lit(r["importance"]).alias("importance")) for r in ranked]
+        part = overall.select(
+            F.lit(name).alias("model"),
+            F.lit(bundle is trained.best).alias("is_best"),
+            F.lit(trained.selection_metric).alias("selection_metric"),
+            F.lit(trained.train_rows).cast("bigint").alias("train_rows"),
+            F.lit(trained.class_weight).alias("class_weight"),
+            F.lit(round(trained.seconds[name], 3)).alias("seconds"),
+            "accuracy",
+            "macro_f1",
+            "weighted_f1",
+            "unscored",
+            F.array(*told).alias("top_features"),
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +20,14 @@ DEFAULTS = {
 }
 
 
-def local_session(cores: str | int = "*", app: str = "flowmill", memory: str = "16g") -> SparkSession:
+def _half_of_memory() -> str:
+    """Leaves the other half to the Python workers and the system."""
+    return f"{os.sysconf('SC_PAGE_SIZE') * os.sysconf('SC_PHYS_PAGES') >> 21}m"
+
+
+def local_session(cores: str | int = "*", app: str = "flowmill", memory: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
+    memory = memory or _half_of_memory()
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for name, value in DEFAULTS.items():
         builder = builder.config(name, value)
@@ -45,7 +54,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for held in _scopes:
+        held.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the intermediate tables that were written within it; results that read them are gone then."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -46,6 +46,7 @@ def save_state(spark: SparkSession, state: PrepState, folder: str) -> None:
     put([(i, c, state.target) for i, c in enumerate(state.classes)], "code int, name string, target string", "labels")
     dropped = [(c, "identifier") for c in state.dropped_identifiers] + [(c, "correlated") for c in state.dropped_correlated]
     put([(i, c, why) for i, (c, why) in enumerate(dropped)], "pos int, name string, reason string", "dropped")
+    put([(state.balancing,)], "balancing string", "facts")
 
 
 def load_state(spark: SparkSession, folder: str) -> PrepState:
@@ -61,6 +62,7 @@ def load_state(spark: SparkSession, folder: str) -> PrepState:
         tuple(Feature(r["name"], r["median"], r["mean"], r["scale"]) for r in features),
         tuple(r["name"] for r in dropped if r["reason"] == "identifier"),
         tuple(r["name"] for r in dropped if r["reason"] == "correlated"),
+        spark.read.parquet(f"{folder}/facts").first()["balancing"] if files.exists(spark, f"{folder}/facts") else "none",
     )
 
 

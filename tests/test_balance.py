@@ -106,6 +106,15 @@ def test_single_row_class_is_an_error_unless_skipped(spark):
         assert balance.balance(df, "y", "smote", names, "key", on_singleton="skip").count() == 21
 
 
+def test_other_columns_are_filled_only_where_a_class_agrees(spark):
+    df, names = matrix(spark, {"a": 30, "b": 8})
+    df = df.withColumn("code", F.when(F.col("y") == "a", 0).otherwise(1)).withColumn("port", F.col("key"))
+    df = df.withColumn("gap", F.when(F.substring("key", -1, 1) == "1", F.lit(None)).otherwise("x"))
+    made = balance.oversample(df, "y", names, "key").join(df.select("key"), "key", "left_anti")
+    assert made.count() == 22
+    assert [tuple(r) for r in made.select("code", "port", "gap").distinct().collect()] == [(1, None, None)]
+
+
 def test_even_classes_stay_as_they_are(spark):
     df, names = matrix(spark, {"a": 12, "b": 12})
     assert balance.balance(df, "y", "smote", names, "key").count() == 24

@@ -1,5 +1,6 @@
 import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from flowmill.functions.columns import q
 from flowmill.operators import evaluate, explain, models, scoring
 from flowmill.plans.prepare import CODE, ROW_KEY, Feature, PrepState
-from flowmill.plans.train import train_and_compare
+from flowmill.plans.explain_examples import explained_examples
+from flowmill.plans.train import train_and_compare, training_summary
+from flowmill.sources import files
 
 CLASSES = ("BENIGN", "DoS A", "DoS B")
 NAMES = ["f 1", "f/2", "f.3"]
@@ -65,6 +68,54 @@ def test_validation_share_and_row_limit(spark):
     assert got.comparison.first()["accuracy"] > 0.8
 
 
+def test_class_weights_follow_from_the_preparation(spark):
+    weighted = replace(STATE, balancing="class_weight")
+    got = train_and_compare(separable(spark, 60), separable(spark, 30, seed=1), weighted, [models.FOREST], PARAMS)
+    assert got.class_weight and got.train_rows == 60
+    assert not train_and_compare(separable(spark, 60), separable(spark, 30, seed=1), weighted, [models.FOREST], PARAMS, class_weight=False).class_weight
+
+
+def test_training_summary(spark, trained, folder):
+    table = training_summary(trained, 2)
+    rows = {r["model"]: r for r in table.collect()}
+    best = [m for m, r in rows.items() if r["is_best"]]
+    assert set(rows) == set(trained.bundles) and best == [trained.best.name]
+    for name, r in rows.items():
+        want = next(x for x in trained.comparison.collect() if x["model"] == name)
+        assert r["macro_f1"] == want["macro_f1"] and r["train_rows"] == 300 and r["seconds"] > 0
+        assert r["top_features"][0]["feature"] == "f 1" and len(r["top_features"]) == 2
+    files.write_json(table, folder + "/summary")
+    assert files.read_json(spark, folder + "/summary", table.schema).count() == 2
+
+
+def test_examples_are_explained_with_their_class(spark, trained):
+    test = separable(spark, 60, seed=2)
+    told = explained_examples(test, trained.best, STATE, per_class=2, top_k=2).collect()
+    assert [r["true_class"] for r in told] == sorted([*CLASSES] * 2)
+    raw = {r[ROW_KEY]: r for r in test.select(ROW_KEY, *STATE.unscaled_columns()).collect()}
+    for r in told:
+        assert len(r["top_features"]) == 2
+        for f in r["top_features"]:
+            assert f["raw_value"] == pytest.approx(raw[r[ROW_KEY]][f["feature"]])
+    assert {r["true_class"] for r in explained_examples(test, trained.best, STATE, only=["DoS A"]).collect()} == {"DoS A"}
+
+
+def test_large_models_are_explained_in_slices(spark, trained, monkeypatch):
+    test = separable(spark, 20, seed=5)
+    for bundle in trained.bundles.values():
+        whole = {r[ROW_KEY]: r for r in explain.attributions(test, bundle, [ROW_KEY]).collect()}
+        sets, _ = explain.model_leaves(spark, bundle.model)
+        third = sum(a.nbytes for leaves in sets for arrays in leaves for a in arrays) // 3
+        parts = explain.sliced(sets, third)
+        assert len(parts) > 2
+        for place, leaves in enumerate(sets):
+            assert sum(len(a[0]) for a in leaves) == sum(len(a[0]) for part in parts for a in part[place])
+        with monkeypatch.context() as m:
+            m.setattr(explain, "SLICE_BYTES", third)
+            for r in explain.attributions(test, bundle, [ROW_KEY]).collect():
+                assert np.allclose(r["contributions"], whole[r[ROW_KEY]]["contributions"])
+
+
 def test_importances(spark, trained):
     for bundle in trained.bundles.values():
         table = models.feature_importances(bundle.model, NAMES, spark).collect()

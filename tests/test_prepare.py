@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import numeric_columns, q
+from flowmill import session
 from flowmill.operators import cleaning, selection
 from flowmill.plans.prepare import CODE, ROW_KEY, fit_state, preparation_summary, prepare
+from flowmill.sources import files
 
 
 def flow_table(flows=60):
@@ -181,6 +183,34 @@ def test_whole_chain(spark):
     assert s["train_rows_before_balancing"] == 48 and s["test_rows"] == 12 and s["total_feature_count"] == 3
 
 
+def test_balanced_rows_are_counted_and_written_once(spark, folder):
+    df = spark.createDataFrame(flow_table(80)).withColumn("Label", F.when(q("Flow ID") < "flow-0020", "DoS").otherwise("BENIGN"))
+    p = prepare(df, dropped_classes=None, balancing="smote")
+    s = preparation_summary(p).first()
+    assert s["train_rows_after_balancing"] == p.train.count() == 2 * 48 > s["train_rows_before_balancing"]
+    assert "FileScan" in p.train._jdf.queryExecution().toString() and "CoGroup" not in p.train._jdf.queryExecution().toString()
+    one = df.where((q("Label") == "BENIGN") | (q("Flow ID") < "flow-0002"))
+    with pytest.warns(UserWarning, match="skipped"):
+        alone = prepare(one, dropped_classes=None, balancing="smote", on_singleton="skip", test_size=0.4)
+    assert preparation_summary(alone).first()["train_rows_after_balancing"] == alone.unbalanced_train.count()
+    weighted = prepare(df, dropped_classes=None, balancing="class_weight")
+    assert weighted.state.balancing == "class_weight"
+
+
+def test_intermediate_tables_go_with_their_scope(spark):
+    with session.scratch(spark):
+        path = session.new_path(spark, "probe")
+        spark.range(3).write.parquet(path)
+        assert files.exists(spark, path)
+    assert not files.exists(spark, path)
+    kept = session.new_path(spark, "probe")
+    with session.scratch(spark):
+        pass
+    spark.range(3).write.parquet(kept)
+    assert files.exists(spark, kept)
+    files.delete(spark, kept)
+
+
 def test_constant_column_scales_by_one(spark):
     df = spark.createDataFrame([(0.1, float(i), "A") for i in range(9)], "k double, x double, Label string")
     state = fit_state(df, "Label", ["A"], ["k", "x"])

@@ -174,3 +174,12 @@ def test_reports_do_not_depend_on_partitions(spark):
             )
         )
     assert results[0] == results[1]
+
+
+def test_both_bad_cell_reports_from_one_scan(spark):
+    rows = [(1.0, None, "x"), (float("inf"), float("nan"), None), (None, None, "y")]
+    df = spark.createDataFrame(rows, "a double, b double, c string")
+    missing, infinite = profile.bad_cell_reports(df)
+    assert missing.collect() == profile.missing_report(df).collect()
+    assert infinite.collect() == profile.infinite_report(df).collect()
+    assert [r["c"] for r in profile.first_rows(df, 2, "c").collect()] == [None, "x"] and profile.first_rows(df).count() == 3

@@ -122,7 +122,7 @@ def frame(spark, n=60):
 
 
 def test_prepared_tables_and_state_round_trip(spark, folder):
-    p = prepare(frame(spark), key="Flow ID", balancing="none")
+    p = prepare(frame(spark), key="Flow ID", balancing="class_weight")
     stored.save_prepared(p, folder)
     train, test, state = stored.load_prepared(spark, folder)
     assert state == p.state
