@@ -31,7 +31,7 @@ THRESHOLD = (85, 100)
 #: Rounds of comparing with two members per bucket before what is still apart is compared in full.
 STAR_ROUNDS = 2
 #: Coarse fragments in which common shingles are counted; 64-bit words of a set's sketch.
-COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 8
+COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 16
 #: Ids (8 bytes each) that may be broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
@@ -299,6 +299,10 @@ def _linked(pairs: DataFrame, fragments: DataFrame, threshold: tuple[int, int])
     told = ["n", *_SKETCH]
     maybe = pairs.join(_side(fragments, "a", told), "a").join(_side(fragments, "b", told), "b")
     maybe = maybe.filter(_maybe("a_", "b_", threshold)).select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"))
+    maybe = materialize(maybe, "candidates")
+    wanted = maybe.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    few = wanted.count() <= BROADCAST_IDS
+    fragments = fragments.join(F.broadcast(wanted) if few else wanted, "cls", "left_semi")
     both = maybe.join(_side(fragments, "a", _PARTS), "a").join(_side(fragments, "b", _PARTS), "b")
     common = sum((F.size(F.array_intersect(f"a_{c}", f"b_{c}")) for c in _PARTS), F.lit(0))
     counted = both.select("a", "b", "n", common.alias("common"))
