@@ -147,12 +147,17 @@ def nearest_in_class(
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
     sample_rows: int = SAMPLE_ROWS,
+    probes: int | None = None,
 ) -> DataFrame:
     """(key, group, vector, distances, keys, vectors) for every row where ``asks`` holds.
 
     ``distances`` (squared), ``keys`` and ``vectors`` describe the k nearest other rows of the same
     class, closest first; the ``width`` numbers of each neighbour follow one another in ``vectors``.
     ``counts`` holds the rows per class. Keys must be unique strings.
+
+    The neighbours are exact unless ``probes`` says how many other leaves a row may visit at most, the nearest boxes
+    first. With many independent features nearly every box is near enough to be visited, so exact answers then cost as
+    much as comparing all pairs of a class; a few probes cost the same per row at any size and find most neighbours.
     """
     spark = df.sparkSession
     asks = F.lit(True) if asks is None else asks
@@ -250,7 +255,14 @@ def nearest_in_class(
                     gap += np.maximum(np.maximum(low[mine, column] - c, c - high[mine, column]), 0.0) ** 2
                 # Only strictly closer rows matter: k copies of a point settle it, however many
                 # more there are. A hair of slack keeps rounding from hiding a leaf.
-                seeker, at = np.nonzero(gap < bound[start : start + SLICE, None] * (1 + 1e-12))
+                near = gap < bound[start : start + SLICE, None] * (1 + 1e-12)
+                if probes is not None and probes < near.shape[1]:
+                    gap[~near] = np.inf
+                    chosen = np.argsort(gap, axis=1, kind="stable")[:, :probes]
+                    few = np.zeros_like(near)
+                    np.put_along_axis(few, chosen, True, axis=1)
+                    near &= few
+                seeker, at = np.nonzero(near)
                 seekers.append(seeker + start)
                 targets.append(mine[at])
         found = pa.array(ref)

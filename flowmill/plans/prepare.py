@@ -139,12 +139,14 @@ def prepare(
     dedup_after_id_drop: bool = False,
     materialized: bool = True,
     on_singleton: str = "error",
+    neighbour_probes: int | None = None,
     **limits,
 ) -> Prepared:
     """The whole chain from raw rows to model inputs.
 
     The deduplicated rows are written once, because every fitted statistic reads them again, and so are oversampled
     train rows, because every job of every fit does.
+    Oversampling uses exact neighbours unless ``neighbour_probes`` bounds the leaves a row visits (see ``neighbours``).
     ``key`` names a unique column that decides the random order; without it the whole row does.
     """
     # one grouped count gives the rows loaded and what class removal takes away
@@ -168,7 +170,7 @@ def prepare(
     carried = [q(ROW_KEY), q(target), state.code(q(target)).alias(CODE)]
     train, test = state.apply(raw_train, carried), state.apply(raw_test, carried)
     state = replace(state, balancing=balancing)
-    options = {"on_singleton": on_singleton} if balancing == "smote" else {}
+    options = {"on_singleton": on_singleton, "probes": neighbour_probes} if balancing == "smote" else {}
     balanced = balance(train, target, balancing, state.feature_columns, ROW_KEY, k_neighbors, seed, **options)
     if materialized and balancing == "smote":
         balanced = materialize(balanced, "balanced")

@@ -147,3 +147,19 @@ def test_a_point_held_by_most_rows_is_visited_once(spark):
     for i in range(60):
         d = np.sort(((x - x[i]) ** 2).sum(axis=1))[1:4]
         assert np.allclose(got.loc[f"k{i:04d}", "distances"], d)
+
+
+def test_probes_bound_the_visits_and_find_most_neighbours(spark):
+    n, width, k = 1500, 46, 5
+    draw = np.random.default_rng(7)
+    x = draw.normal(size=(n, 6)) @ draw.normal(size=(6, width)) + 0.1 * draw.normal(size=(n, width))
+    df = spark.createDataFrame(pd.DataFrame({"key": [f"k{i:04d}" for i in range(n)], "g": "a", "v": list(x)}))
+    near = np.argsort(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) + np.diag(np.full(n, np.inf)), axis=1)[:, :k]
+    found = {}
+    for probes in (None, 8, 2, 0):
+        got = nearest_in_class(df, "g", "key", "v", width, k, {"a": n}, block_rows=60, query_rows=500, probes=probes)
+        rows = got.select("key", "keys").collect()
+        assert len(rows) == n
+        hits = sum(len({f"k{j:04d}" for j in near[int(r["key"][1:])]} & set(r["keys"])) for r in rows)
+        found[probes] = hits / (n * k)
+    assert found[None] == 1.0 and 1.0 > found[8] > found[2] > found[0] and found[8] > 0.6, found
