@@ -35,7 +35,7 @@ COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 16
 #: Ids (8 bytes each) that may be broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
-PART_BYTES, CHUNK_KEYS = 16 << 20, 3_000_000
+PART_BYTES, CHUNK_KEYS = 16 << 20, 1_000_000
 _KEY_BITS = 40
 _NO_ID = (1 << 63) - 1
 
