@@ -23,7 +23,7 @@ UNKNOWN = "und"
 #: Distinct labelled texts that a fit may gather on the driver, over all languages; and the languages it may learn.
 TRAIN_ROWS, MAX_LANGUAGES = 2_000, 200
 #: Share of rightly recognised calibration texts that rejection may cost, and the highest score that is rejected.
-LOST, REJECTED = 0.002, 0.4
+LOST, REJECTED = 0.002, 0.36
 
 _SIZES = (2, 3, 4)
 _BUCKETS = 1 << 14
