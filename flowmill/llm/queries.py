@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmill.llm import decontamination, encoding, language, license_scan, main_text, nearest, ngram_join, secrets, token_counts, url_filter
+from flowmill.llm import (
+    decontamination,
+    encoding,
+    language,
+    license_scan,
+    main_text,
+    nearest,
+    ngram_join,
+    secrets,
+    token_counts,
+    url_filter,
+)
 
 BYTE_PAIRS = "byte_bpe_50k.json"
 

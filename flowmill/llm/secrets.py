@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
 from flowmill.llm.automata import Automaton, learn
