@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flowmill.functions.columns import choose, order_hash, numeric_columns, q, small_table
 from flowmill.operators import cleaning
