@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from flowmill.functions.columns import numeric_columns, q
 from flowmill import session
-from flowmill.operators import cleaning, selection
+from flowmill.operators import cleaning, models, selection
 from flowmill.plans.prepare import CODE, ROW_KEY, fit_state, preparation_summary, prepare
+from flowmill.plans import summaries
+from flowmill.plans.train import train_and_compare
 from flowmill.sources import files
 
 
@@ -272,3 +274,15 @@ def test_many_classes(spark):
     sizes = {r["Label"]: r["count"] for r in split.test(df).groupBy("Label").count().collect()}
     assert len(sizes) == 120 and set(sizes.values()) == {2}
     assert split.train(df).count() == 960
+
+
+def test_reports_of_a_run(spark, folder):
+    df = spark.createDataFrame(flow_table(120)).withColumn("span", q("span") + F.when(q("Label") == "DoS", 90.0).otherwise(0.0))
+    p = prepare(df, dropped_classes=None, balancing="none", key="Flow ID")
+    trained = train_and_compare(p.train, p.test, p.state, [models.FOREST], {models.FOREST: {"trees": 4, "max_depth": 3}})
+    summaries.write_reports(summaries.run_reports(p, trained, per_class=2), folder)
+    got = {name: summaries.read_report(spark, folder, name) for name in summaries.NAMES}
+    assert got["preparation"].first()["test_rows"] == 24 and got["training"].first()["model"] == models.FOREST
+    assert {r["label"]: r["support"] for r in got["class_metrics"].collect()} == {"BENIGN": 12, "DoS": 12}
+    assert got["confusion"].agg(F.sum("n")).first()[0] == 24 and got["examples"].count() == 4
+    assert summaries.read_report(spark, folder, "other") is None
