@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from flowmill.functions.columns import q
 from flowmill.llm.batches import pieces
 from flowmill.llm.words import SPACED, mix, windows, word_spans
-from flowmill.session import materialize
+from flowmill.session import materialize, new_path, scratch
 
 SHINGLE = 4
 #: Linked if 100 * common >= 85 * union.
@@ -357,6 +357,14 @@ def link_components(
     of a component's smallest id (null if it has no other). Words are known by 64-bit hashes, sets by 128 bits, of which
     64 name a class among candidates.
     """
+    spark = docs.sparkSession
+    path = new_path(spark, "components")
+    with scratch(spark):  # what is written on the way goes with the end of the work
+        _link_components(docs, text, id, size, threshold).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold: tuple[int, int]) -> DataFrame:
     texts = docs.select(F.coalesce(q(id).cast("long"), F.lit(_NO_ID)).alias("id"), q(text).cast("string").alias("text"))
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(-(-volume // PART_BYTES), 1)
@@ -423,11 +431,11 @@ def one_per_component(docs: DataFrame, text: str = "text", id: str = "doc_id") -
     behind = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(q(text).cast("string"), F.lit(""))), F.lit(1 << 61))
     named = F.coalesce(q(id).cast("long"), behind)
     small = docs.select(named.alias("id"), q(text).cast("string").alias("text"))
-    found = materialize(link_components(small, "text", "id"), "components")
-    first = found.filter("id = component_id").groupBy("id").agg((F.count(F.lit(1)) > 1).alias("again"))
-    first = materialize(first, "kept")
-    kept = docs.withColumn("_named", named).join(first.select(F.col("id").alias("_named")), "_named", "left_semi")
-    if not first.filter("again").isEmpty():
+    found = link_components(small, "text", "id").groupBy("id")
+    told = materialize(found.agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
+    gone = told.filter("not stays").select(F.col("id").alias("_named"))
+    few = gone.count() <= BROADCAST_IDS
+    kept = docs.withColumn("_named", named).join(F.broadcast(gone) if few else gone, "_named", "left_anti")
+    if not told.filter("stays and n > 1").isEmpty():
         kept = kept.dropDuplicates(["_named", text])
     return kept.select(*(q(c) for c in docs.columns))
-
