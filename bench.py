@@ -75,6 +75,8 @@ def main() -> None:
                 "queries": times,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(cores),
+                "forest": FOREST,
+                "features": len(state.feature_columns),
                 "train_rows": train.count(),
                 "test_rows": test.count(),
             }
