@@ -6,12 +6,27 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowmill.functions.columns import q
 
+class Shared:
+    """A value for all tasks, sent as a broadcast of its pickled form.
+
+    Like the functions of this package it carries its classes with it, so that workers need no copy of the package.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        """The value, built anew at every call: once per task."""
+        return cloudpickle.loads(self._sent.value)
+
+
 #: Bytes of text handed to a function at a time. A longer text is a piece of its own and is never cut.
 PIECE_BYTES = 1 << 20
 

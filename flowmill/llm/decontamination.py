@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
-from flowmill.llm.batches import pieces
+from flowmill.llm.batches import Shared, pieces
 from flowmill.llm.words import ALPHANUMERIC, windows, word_spans
 from flowmill.session import materialize
 
@@ -129,11 +129,12 @@ def _count_up(numbers: np.ndarray) -> np.ndarray:
 
 def _shingle_counts(docs: DataFrame, found: Windows, shingle: int) -> dict[int, int]:
     """How often the windows' shingles occur in the documents; as many numbers as the windows have shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.unique(found.shingles(shingle)[0]))
+    wanted = np.unique(found.shingles(shingle)[0])
+    shared = Shared(docs.sparkSession, wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members = _Members(shared.value)
-        totals = np.zeros(len(shared.value), np.int64)
+        members = _Members(shared.get())
+        totals = np.zeros(len(members.values), np.int64)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 _, _, _, hashes, _ = word_spans(piece.column("text"), ALPHANUMERIC)
@@ -142,7 +143,7 @@ def _shingle_counts(docs: DataFrame, found: Windows, shingle: int) -> dict[int,
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], ["at", "n"])
 
     counted = docs.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    values = shared.value.tolist()
+    values = wanted.tolist()
     return {values[r["at"]]: r["n"] for r in counted.collect()}
 
 
@@ -194,12 +195,12 @@ _SPANS = "array<struct<from:int,to:int>>"
 
 def _search(docs: DataFrame, index: Index, keep: Sequence[str]) -> DataFrame:
     """One pass: what the index finds is merged with the ``hits`` and ``items`` that the rows have."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = Shared(docs.sparkSession, index)
     spans = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
     schema = docs.select(*keep, F.lit(0).cast("long").alias("n_words"), "hits", "items", "text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared.get()
         for batch in batches:
             for piece in pieces(batch, "text"):
                 _, _, _, hashes, offsets = word_spans(piece.column("text"), ALPHANUMERIC)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowmill.llm.batches import per_text
+from flowmill.llm.batches import Shared, per_text
 from flowmill.llm.bytepairs import Vocabulary, WordTokens, spread
 
 
@@ -33,10 +33,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] =
 
     Strings that the vocabulary marks as special become their token wherever they stand.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
+    shared = Shared(docs.sparkSession, Vocabulary.load(path))
 
     def start():
-        words = WordTokens(shared.value)
+        words = WordTokens(shared.get())
 
         def compute(texts: pa.Array):
             tokens, ends = encode_texts(words, texts.to_pylist())
@@ -55,10 +55,10 @@ def round_trip(
 
     Null counts as an empty text. Bytes that are no UTF-8 decode to replacement characters. Repeated rows stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
+    shared = Shared(docs.sparkSession, Vocabulary.load(path))
 
     def start():
-        own = shared.value
+        own = shared.get()
         words = WordTokens(own)
 
         def compute(texts: pa.Array):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
-from flowmill.llm.batches import per_text, pieces
+from flowmill.llm.batches import Shared, per_text, pieces
 from flowmill.llm.words import flat_bytes
 
 UNKNOWN = "und"
@@ -252,23 +252,23 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[st
     they are rejected if their score is below the calibrated least. Texts may be of any length. Repeated rows stay;
     kept columns named like a result give way.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def start():
-        own = shared.value
-        return own.predict
+        return shared.get().predict
 
     return per_text(docs, text, keep, "lang_pred string, score double, rejected boolean", start)
 
 
 def known_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose language is not rejected, with their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.get()
         for batch in batches:
             for piece in pieces(batch, text):
-                rejected = shared.value.predict(piece.column(text))[2]
+                rejected = own.predict(piece.column(text))[2]
                 yield piece.filter(pa.array([not r for r in rejected]))
 
     return docs.mapInArrow(keep, docs.schema)

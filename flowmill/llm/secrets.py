@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from flowmill.functions.columns import q
 from flowmill.llm.automata import Automaton, learn
-from flowmill.llm.batches import per_text
+from flowmill.llm.batches import Shared, per_text
 from flowmill.llm.words import flat_bytes
 
 KINDS = ("assign", "access", "hex", "learned")
@@ -186,10 +186,10 @@ def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",))
     Null counts as empty: no spans, the hash of nothing, an empty string. Texts of any length are searched whole.
     Spans of one start are in the order of ``KINDS``. Repeated rows stay; kept columns named like a result give way.
     """
-    models = docs.sparkSession.sparkContext.broadcast(learn_formats())
+    models = Shared(docs.sparkSession, learn_formats())
 
     def start():
-        formats, ordinary = models.value
+        formats, ordinary = models.get()
 
         def compute(texts: pa.Array):
             found = find_spans(texts, formats, ordinary)
@@ -218,10 +218,10 @@ def blanked(text: str | None, spans: Sequence[tuple[int, int, str]], mark: str)
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """The same rows and columns with credentials in ``text`` replaced by ``mark``; null texts stay null."""
-    models = docs.sparkSession.sparkContext.broadcast(learn_formats())
+    models = Shared(docs.sparkSession, learn_formats())
 
     def start():
-        formats, ordinary = models.value
+        formats, ordinary = models.get()
 
         def compute(texts: pa.Array):
             found = find_spans(texts, formats, ordinary)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowmill.llm.batches import per_text
+from flowmill.llm.batches import Shared, per_text
 from flowmill.llm.bytepairs import Vocabulary, WordTokens
 
 
@@ -37,10 +37,10 @@ def count_tokens(
     length is counted whole. Repeated rows stay; a kept column named like a result gives way to it.
     """
     vocabulary = Vocabulary.load(path)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))
+    shared = Shared(docs.sparkSession, (vocabulary, whole_tokens(vocabulary)))
 
     def start():
-        own, proven = shared.value
+        own, proven = shared.get()
         merged = WordTokens(own)
 
         def compute(texts: pa.Array):

@@ -2,8 +2,12 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -278,3 +282,18 @@ def test_main_text(spark):
 def test_odd_markup_never_fails(page):
     text = main_text.extract(page)
     assert text == "\n".join(" ".join(x.split()) for x in text.split("\n")) and not text.startswith("\n")
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Queries run from another folder, with the package only on the driver's path."""
+    root = Path(__file__).resolve().parents[2]
+    names = ["op1_secret_scan", "op2_token_counts", "op6_language", "op8_benchmark_hits", "op9_top_neighbours"]
+    code = (
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "import __spark_entry__ as e\nfrom flowmill.session import local_session\n"
+        "spark = local_session(2, 'elsewhere', '2g')\n"
+        f"print('ROWS', *[e.queries()[n](spark, '/root/testdata/sf0.001').count() for n in {names!r}])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS 200 200 200 200" in ran.stdout, ran.stderr[-2000:]
