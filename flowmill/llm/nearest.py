@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from flowmill.functions.columns import q
-from flowmill.session import materialize
+from flowmill.session import materialize, new_path
 
 SHARD_ROWS, LEAF_ROWS = 4096, 128
 #: Rows of the shards, and queries, that meet in one task.
@@ -225,13 +225,15 @@ def search(
         "vectors",
     )
     sizes = numbered.agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("asked")).first()
-    packed = materialize(_shards(numbered, max(-(-sizes["n"] // SHARD_ROWS), 1), k), "shards")
+    path = new_path(vectors.sparkSession, "shards")
+    _shards(numbered, max(-(-sizes["n"] // SHARD_ROWS), 1), k).write.parquet(path)
     groups, blocks = max(-(-sizes["n"] // GROUP_ROWS), 1), max(-(-sizes["asked"] // QUERY_ROWS), 1)
 
     def dealt(kind: str, own: int, others: int) -> DataFrame:
         mine = (F.col("part") % own).cast("int")
         all_others = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        rows = packed.filter(F.col("kind") == kind)
+        # read for each side anew: two sides of one table would lose columns when a query needs few of the result's
+        rows = vectors.sparkSession.read.parquet(path).filter(F.col("kind") == kind)
         if kind == "tree":
             return rows.select("*", mine.alias("tree_group"), all_others.alias("query_block"))
         return rows.select("*", all_others.alias("tree_group"), mine.alias("query_block"))

@@ -166,6 +166,7 @@ def test_top_k_is_exact(spark, monkeypatch, sizes):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
     got = [tuple(r) for r in nearest.search(df, F.col("vec_id") % 20 == 0, 7).collect()]
     assert sorted(got, key=str) == sorted(plain_top(rows, 7), key=str)
+    assert nearest.search(df, F.col("vec_id") % 20 == 0, 7).select("rank").count() == len(got)
     assert nearest.search(df.limit(0), F.col("vec_id") % 20 == 0, 7).count() == 0
 
 
