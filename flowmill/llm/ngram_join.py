@@ -35,7 +35,7 @@ COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 16
 #: Ids (8 bytes each) that may be broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
-PART_BYTES, CHUNK_KEYS = 16 << 20, 1_000_000
+PART_BYTES, CHUNK_KEYS = 32 << 20, 1_000_000
 _KEY_BITS = 40
 _NO_ID = (1 << 63) - 1
 
@@ -135,7 +135,7 @@ def _packed(keys: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[tuple]
     for a, b in zip(borders[:-1], borders[1:], strict=True):
         low = key[a:b].astype("<i8").view(np.uint8).reshape(-1, 8)[:, : _KEY_BITS // 8]
         starts = np.flatnonzero(np.append(True, owner[a + 1 : b] != owner[a : b - 1]))
-        counts = np.diff(np.append(starts, b - a)).astype(np.int32)
+        counts = np.diff(np.append(starts, b - a)).astype(np.uint32)
         yield int(part[a]), low.tobytes(), owner[a:b][starts].tobytes(), counts.tobytes(), None, None
 
 
@@ -194,7 +194,7 @@ def _shared(table: pa.Table) -> pa.Table:
         wide = np.zeros((len(low) // (_KEY_BITS // 8), 8), np.uint8)
         wide[:, : _KEY_BITS // 8] = np.frombuffer(low, np.uint8).reshape(len(wide), -1)
         keys.append(wide.view("<i8").ravel())
-        owners.append(np.repeat(np.frombuffer(own, np.int64), np.frombuffer(counts, np.int32)))
+        owners.append(np.repeat(np.frombuffer(own, np.int64), np.frombuffer(counts, np.uint32)))
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
@@ -228,7 +228,7 @@ def _buckets(sets: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
     )
     kept = members.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"))
-    return materialize(found.join(kept.select("key"), "key", "left_semi"), "buckets")
+    return found.join(kept.select("key"), "key", "left_semi")
 
 
 def _fragments(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -368,11 +368,14 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
     texts = docs.select(F.coalesce(q(id).cast("long"), F.lit(_NO_ID)).alias("id"), q(text).cast("string").alias("text"))
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(-(-volume // PART_BYTES), 1)
-    sets = materialize(_sets(texts, parts, size, threshold), "sets")
-    rows = sets.filter(F.col("n").isNotNull()).select("id", "n", "hi", "lo")
+    spark, paths = docs.sparkSession, [new_path(docs.sparkSession, name) for name in ("rows", "buckets")]
+    with scratch(spark):  # the keys are the largest table, and done with here
+        sets = materialize(_sets(texts, parts, size, threshold), "sets")
+        sets.filter(F.col("n").isNotNull()).select("id", "n", "hi", "lo").write.parquet(paths[0])
+        _buckets(sets).write.parquet(paths[1])
+    rows, buckets = (spark.read.parquet(path) for path in paths)
     real_id = F.when(F.col("id") != _NO_ID, F.col("id"))
     classes = rows.filter("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("id"), F.min(real_id).alias("least"))
-    buckets = _buckets(sets)
     mine = buckets.select(F.col("cls").alias("lo")).distinct()
     wanted = materialize(classes.join(mine, "lo", "left_semi"), "classes")
     fragments = _fragments(texts, wanted, size)
