@@ -1,15 +1,16 @@
 """Licence notices and licence texts, found by comparing word bigrams with templates; built-in functions only.
 
-A text is compared as a whole, by paragraph and by line. A unit of a distinct bigrams and a template of b agree by
+A text is compared as a whole, by paragraph, by line and by run of lines, so that a licence of several paragraphs or
+comment lines inside a longer text is met as a whole. A unit of a distinct bigrams and a template of b agree by
 the Dice coefficient 2 * common / (a + b). With a threshold of 0.8 that needs 3a >= 2b and 3b >= 2a, so most units are
-left out by their number of words before any bigram is made, and most templates before any comparison. Before that,
-texts without any of the words that every such unit needs are left out by one pass of a pattern.
+left out by their number of words before any bigram is made, and most templates before any comparison. Runs are only
+made of texts that hold, somewhere, the two thirds of a template's bigrams that any run in them needs. Before that, texts without any of the words that every such unit needs are left out by one pass of a pattern.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -140,6 +141,11 @@ def _words(line: Column) -> Column:
     return F.filter(F.split(line, "[^A-Za-z0-9]+", -1), lambda w: w != "")
 
 
+def _bigrams(words: Column) -> Column:
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+
 def _paragraphs(lines: Column) -> Column:
     """Words between lines without words; nothing if there is no such line."""
     text = F.array_join(F.transform(lines, lambda x: F.array_join(x, " ")), "\n")
@@ -153,6 +159,57 @@ def _units(lines: Column) -> Column:
     return F.concat(lines, _paragraphs(lines), whole)
 
 
+def _no_words() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _with_shares(lines: Column, grams: Column) -> Column:
+    """Every line with the number of its bigrams, and of the one that it ends, which are among the given ones."""
+
+    def told(x: Column, i: Column) -> Column:
+        words = F.concat(F.when(i > 0, F.slice(F.element_at(lines, F.greatest(i, F.lit(1))), -1, 1)).otherwise(_no_words()), x)
+        return F.struct(x.alias("words"), F.size(F.array_intersect(_bigrams(words), grams)).alias("shared"))
+
+    return F.transform(lines, told)
+
+
+def _starts(lines: Column, grams: Column) -> Column:
+    """Places (from 1) of the lines that have one of the bigrams, or begin one that the next line ends.
+
+    A run that starts elsewhere has a first line that adds nothing to what it shares with a template.
+    """
+    with_next = F.transform(lines, lambda x, i: F.concat(x, F.slice(F.flatten(F.slice(lines, i + 2, 1)), 1, 1)))
+    places = F.transform(with_next, lambda x, i: F.when(F.arrays_overlap(_bigrams(x), grams), i + 1))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _run_hits(lines: Column, start: Column, most: Column, best: Callable[[Column], Column]) -> Column:
+    """Distinct hits of the runs of lines from one line on, up to ``most`` distinct bigrams.
+
+    A run of a distinct bigrams has at least p / (2d - p) * a of them in common with a template that it agrees with.
+    """
+    p, d = DICE
+
+    def grown(state: Column, line: Column) -> Column:
+        more = F.array_distinct(F.concat(state["grams"], _bigrams(F.concat(state["last"], line["words"]))))
+        shared = state["shared"] + line["shared"]
+
+        def step(g: Column) -> Column:
+            found = F.array_union(state["hits"], F.filter(F.array(best(g)), lambda x: x.isNotNull()))
+            return F.struct(
+                g.alias("grams"),
+                F.slice(line["words"], -1, 1).alias("last"),
+                shared.alias("shared"),
+                F.when((2 * d - p) * shared >= p * F.size(g), found).otherwise(state["hits"]).alias("hits"),
+            )
+
+        grown_by_one = F.element_at(F.transform(F.array(more), step), 1)
+        return F.when(F.size(state["grams"]) > most, state).otherwise(grown_by_one)
+
+    zero = F.struct(_no_words().alias("grams"), _no_words().alias("last"), F.lit(0).alias("shared"), F.array().cast(_HITS).alias("hits"))
+    return F.aggregate(F.slice(lines, start, F.size(lines)), zero, grown, lambda state: state["hits"])
+
+
 def scan(
     docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), templates: Mapping[str, str] = TEMPLATES
 ) -> DataFrame:
@@ -160,7 +217,7 @@ def scan(
     every unit that reaches the threshold, distinct, sorted, joined by ``;``) and ``n_licenses``.
 
     Without any: null, 0, empty, 0; so too for null and empty texts. At equal scores the earlier template wins. Texts of
-    any length are compared whole. Templates need two words. Repeated rows stay; kept columns named like a result give
+    any length are compared whole. Runs of lines pass over lines without words, so they join paragraphs. Templates need two words. Repeated rows stay; kept columns named like a result give
     way.
     """
     grams = {name: template_bigrams(t) for name, t in templates.items()}
@@ -173,11 +230,17 @@ def scan(
         fits = [((2 * d - p) * high >= p * b) & (p * low <= (2 * d - p) * b) for b in sizes]
         return F.when((2 * d - p) * high >= p * sizes[0], reduce(or_, fits)).otherwise(False)
 
-    def bigrams(words: Column) -> Column:
-        n = F.size(words)
-        return F.array_distinct(
-            F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        )
+    def listed(own: Sequence[str]) -> Column:
+        return F.split(F.lit("|".join(own)), "[|]")
+
+    def longest(unit: Column) -> Column:
+        # most distinct bigrams of a run that can reach the threshold for a template of which the text has enough; else 0
+        fits = []
+        for own in grams.values():
+            b = len(own)
+            common = F.size(F.array_intersect(unit, listed(own)))
+            fits.append(F.when((2 * d - p) * common >= p * b, (2 * d - p) * b // p).otherwise(0))
+        return F.greatest(F.lit(0), *fits)
 
     def best(unit: Column) -> Column:
         a = F.size(unit)
@@ -185,7 +248,7 @@ def scan(
         for place, (name, own) in enumerate(grams.items()):
             b = len(own)
             near = ((2 * d - p) * a >= p * b) & (F.lit((2 * d - p) * b) >= p * a)
-            common = F.size(F.array_intersect(unit, F.split(F.lit("|".join(own)), "[|]")))
+            common = F.size(F.array_intersect(unit, listed(own)))
             score = F.when(near, F.when(d * 2 * common >= p * (a + b), 2.0 * common / (a + b)))
             hit = F.struct(score.alias("score"), F.lit(-place).alias("place"), F.lit(name).alias("name"))
             scored.append(F.when(score.isNotNull(), hit))
@@ -199,9 +262,21 @@ def scan(
     telling = _any_of([w for g in grams.values() for w in telling_words(g)])
     lines = F.transform(F.split("text", "\n", -1), _words)
     found = source.select(*ids, F.when(F.col("text").rlike(telling), lines).otherwise(F.array().cast(_LINES)).alias("lines"))
-    found = found.select(*ids, F.transform(_units(F.col("lines")), lambda u: F.transform(u, F.lower)).alias("units"))
-    grams_of = F.transform(F.filter("units", in_size), bigrams)
+    found = found.select(*ids, F.transform("lines", lambda u: F.transform(u, F.lower)).alias("lines"))
+    full = F.filter("lines", lambda x: F.size(x) > 0)
+    found = found.select(*ids, _units(F.col("lines")).alias("units"), full.alias("lines"))
+    # of up to two lines all runs are units already
+    most = F.when(F.size("lines") > 2, longest(_bigrams(F.flatten("lines")))).otherwise(0)
+    found = found.select(*ids, "units", "lines", most.alias("most"))
+    telling_grams = listed(list(dict.fromkeys(g for own in grams.values() for g in own)))
+    starts = F.when(F.col("most") > 0, _starts(F.col("lines"), telling_grams)).otherwise(F.array().cast("array<int>"))
+    found = found.select(*ids, "units", "lines", "most", starts.alias("starts"))
+    shares = F.when(F.size("starts") > 0, _with_shares(F.col("lines"), telling_grams))
+    found = found.select(*ids, "units", shares.alias("lines"), "most", "starts")
+    in_runs = F.transform("starts", lambda i: _run_hits(F.col("lines"), i, F.col("most"), best))
+    grams_of = F.transform(F.filter("units", in_size), _bigrams)
     hits = F.filter(F.transform(grams_of, best), lambda x: x.isNotNull())
+    hits = F.concat(hits, F.flatten(in_runs))
     found = found.select(
         *(c.alias(name) for c, name in zip(ids, kept, strict=True)),
         F.coalesce(hits, F.array().cast(_HITS)).alias("_hits"),

@@ -206,6 +206,33 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_licences_of_several_paragraphs_in_longer_texts(spark):
+    def cut(name, *before):
+        text = license_scan.TEMPLATES[name]
+        for start in before:
+            text = text.replace(start, "\n\n" + start)
+        return re.sub(r"([^\n]{50,70}) ", "\\1\n", text)
+
+    parts = {
+        "MIT": cut("MIT", "The above copyright", "THE SOFTWARE IS"),
+        "BSD-3-Clause": cut("BSD-3-Clause", "1. Redis", "2. Redis", "3. Neither", "THIS SOFTWARE IS"),
+        "Apache-2.0 header": cut("Apache-2.0 header", "You may obtain", "http:", "Unless"),
+        "GPL-3.0 header": cut("GPL-3.0 header", "This program is distributed"),
+    }
+    rest = "\n".join(f"line{i} of the other text, which goes on with code{i}" for i in range(300))
+    rows = []
+    for name, text in parts.items():
+        rows.append((name, f"# Tool\n\n{rest}\n\n## Licence\n\nCopyright 2020 me\n\n{text}\n\n## Next\n{rest}"))
+        for mark in ("# ", " * "):
+            header = "\n".join((mark + line).rstrip() for line in text.split("\n"))
+            rows.append((name, f"{mark}file of a tool\n{mark}\n{header}\n\n{rest}"))
+    rows.append((None, rest + "\n\n" + parts["MIT"][:200] + "\n\n" + rest))
+    docs = spark.createDataFrame(rows, "name string, text string")
+    for r in license_scan.scan(docs, keep=["name"]).collect():
+        assert r["license"] == r["name"] and (r["score"] > 0.9) == (r["name"] is not None)
+        assert r["licenses"].replace("header;Apache-2.0 notice", "header") == (r["name"] or "")  # its first line is a notice
+
+
 def test_every_match_has_a_telling_word():
     import random
 
