@@ -13,6 +13,10 @@ from flowmill.llm import decontamination, encoding, language, ngram_join, secret
 from flowmill.session import shared_dir
 
 
+#: Near duplicates: words of a shingle, and the least similarity, 100 * common >= 80 * union.
+SHINGLE, THRESHOLD = 5, (80, 100)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned from the labelled ones; texts without a letter go."""
     learned_from = docs.filter(~language.held_out(F.col("doc_id")))
@@ -20,8 +24,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return ngram_join.one_per_component(docs)
+    """One document of each group of near duplicates: linked by shingles of five words from a similarity of 0.8 on."""
+    return ngram_join.one_per_component(docs, size=SHINGLE, threshold=THRESHOLD)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

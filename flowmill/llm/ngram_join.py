@@ -424,7 +424,13 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
 _NO_ID = (1 << 63) - 1
 
 
-def one_per_component(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def one_per_component(
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    size: int = SHINGLE,
+    threshold: tuple[int, int] = THRESHOLD,
+) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with its smallest id.
 
     Rows without an id stand behind all others; equal texts among them count as one. Rows of one id and text count as
@@ -434,7 +440,7 @@ def one_per_component(docs: DataFrame, text: str = "text", id: str = "doc_id") -
     behind = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(q(text).cast("string"), F.lit(""))), F.lit(1 << 61))
     named = F.coalesce(q(id).cast("long"), behind)
     small = docs.select(named.alias("id"), q(text).cast("string").alias("text"))
-    found = link_components(small, "text", "id").groupBy("id")
+    found = link_components(small, "text", "id", size, threshold).groupBy("id")
     told = materialize(found.agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
     gone = told.filter("not stays").select(F.col("id").alias("_named"))
     few = gone.count() <= BROADCAST_IDS

@@ -128,6 +128,18 @@ def test_pipeline(spark, library, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "encode"]
 
 
+def test_near_copies_by_five_words_and_four_fifths_go(spark):
+    words = [f"w{i}" for i in range(200)]
+    near, far = list(words), list(words)
+    for i in (30, 70, 110, 150):
+        near[i] = f"n{i}"  # 176 of 216 shingles of five words, 181 of 213 of four
+    for i in (20, 60, 100, 140, 180):
+        far[i] = f"f{i}"  # 171 of 221
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate((words, near, far))], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SMALL).collect()) == [0, 2]
+
+
 def test_every_stage_but_the_last_keeps_the_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     draw = random.Random(2)
