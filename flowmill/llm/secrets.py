@@ -1,8 +1,8 @@
 """Credentials in whole texts: three fixed patterns, and strings that learned credential formats make likely.
 
 Probabilistic automata are learned from labelled credentials, one per format, and one from ordinary long strings.
-Every candidate (a long run of credential characters with letters and digits) is scored by the best format's
-likelihood against the ordinary one.
+Every candidate (a long run of credential characters) is scored by the best format's likelihood against the ordinary
+one.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def labelled_credentials(per_format: int = 300, seed: int = 20) -> dict[str, lis
 
 def ordinary_strings(n: int = 1500, seed: int = 21) -> list[str]:
     """Long runs that are no credentials: joined words in usual spellings, paths, versions, dates,
-    numbers, ids."""
+    numbers, ids, rules."""
     draw = random.Random(seed)
 
     def word() -> str:
@@ -99,7 +99,11 @@ def ordinary_strings(n: int = 1500, seed: int = 21) -> list[str]:
             return draw.choice("_-").join(draw.choice([p, p.upper(), p.capitalize()]) for p in parts)
         return draw.choice("_-.").join(parts)
 
-    return [make() for _ in range(n)]
+    def ruled() -> str:
+        rule = draw.choice("_-=+./") * draw.randrange(3, 50)
+        return draw.choice([rule, rule, f"+{rule}+{rule}+", rule + word() + rule, word() + rule + word()])
+
+    return [make() for _ in range(n)] + [ruled() for _ in range(n // 10)]
 
 
 # Rough shares of the letters a to z in ordinary words.
@@ -124,17 +128,10 @@ def _order(span: tuple[int, int, str]) -> tuple[int, int]:
 
 _CANDIDATE = np.zeros(256, bool)
 _CANDIDATE[[ord(c) for c in _WORD + "+/_=-."]] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[0x30:0x3A] = True
-_CAPITAL = np.zeros(256, bool)
-_CAPITAL[0x41:0x5B] = True
 
 
 def candidates(texts: pa.Array, least: int = LEAST) -> Iterator[tuple[int, int, int]]:
-    """Runs of credential characters with a digit and a capital, at least ``least`` long: (text, first byte, end).
-
-    Every learned format has both, but for examples too rare to matter.
-    """
+    """Runs of credential characters, at least ``least`` long: (text, first byte, end)."""
     raw, offsets = flat_bytes(texts)
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = _CANDIDATE[raw]
@@ -145,10 +142,6 @@ def candidates(texts: pa.Array, least: int = LEAST) -> Iterator[tuple[int, int,
     ends = np.sort(np.concatenate([np.flatnonzero(turns == -1), cuts]))
     long = ends - starts >= least
     starts, ends = starts[long], ends[long]
-    for flags in (_DIGIT, _CAPITAL):
-        has = np.append(0, np.cumsum(flags[raw], dtype=np.int32))
-        some = has[ends] > has[starts]
-        starts, ends = starts[some], ends[some]
     owners = np.searchsorted(offsets, starts, side="right") - 1
     return zip(owners.tolist(), (starts - offsets[owners]).tolist(), (ends - offsets[owners]).tolist(), strict=True)
 
@@ -161,12 +154,15 @@ def find_spans(
     found: list[list[tuple[int, int, str]]] = [[] for _ in range(len(texts))]
     for i in pc.indices_nonzero(pc.match_substring_regex(texts, _MAYBE)).to_pylist():
         found[i] = base_spans(texts[i].as_py())
+    likely: dict[str, bool] = {}  # of distinct runs
     for i, a, b in candidates(texts):
         data = texts[i].as_py().encode()
         run = data[a:b].decode().strip("=.-/")
         if len(run) < LEAST:
             continue
-        if max(f.log_likelihood(run) for f in formats) - ordinary.log_likelihood(run) < margin:
+        if run not in likely:
+            likely[run] = max(f.log_likelihood(run) for f in formats) - ordinary.log_likelihood(run) >= margin
+        if not likely[run]:
             continue
         start = len(data[:a].decode()) + data[a:b].decode().index(run)
         span = (start, start + len(run), "learned")

@@ -163,6 +163,31 @@ def test_formats_are_told_from_ordinary_strings():
     assert all(len(f.steps) < 20 for f in formats)  # states are merged
 
 
+def test_credentials_without_a_digit_or_a_capital_are_scored(spark):
+    import random
+
+    draw, rows = random.Random(9), []
+    for label, prefix, letters, length in secrets.FORMATS:
+        for without in ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+            if label == "random key" and without != "0123456789":
+                continue  # lower-case letters and digits are no more likely a key than an id
+            some = [c for c in letters if c not in without]
+            rows += [(label + without, "see " + prefix + "".join(draw.choices(some, k=length)) + " now") for _ in range(20)]
+    docs = spark.createDataFrame(rows, "kind string, text string")
+    told = secrets.scan(docs, keep=["kind"]).groupBy("kind").agg(F.sum((F.col("n_learned") > 0).cast("int")).alias("n"))
+    shares = {r["kind"]: r["n"] for r in told.collect()}
+    assert all(n >= 18 for kind, n in shares.items() if kind.endswith("9")), shares
+    assert all(n >= 10 for n in shares.values()), shares
+    clean = {r["text"] for r in secrets.redact(docs.filter("kind like 'payment live key0%'")).collect()}
+    assert "see [secret] now" in clean
+
+
+def test_rules_are_no_credentials():
+    formats, ordinary = secrets.learn_formats()
+    texts = [x * n for x in "_-=+./" for n in (20, 33, 64, 200)] + ["+----------+------------+", "______________name", "a" * 40, "0" * 40]
+    assert secrets.find_spans(pa.array(texts + ["abc.def.ghi/" * 4]), formats, ordinary)[:-3] == [[]] * (len(texts) - 2)
+
+
 def test_an_automaton_is_a_distribution():
     model = automata.learn(["ab1", "ab2", "ab3", "c"] * 50)
     for chances in model.logs:
