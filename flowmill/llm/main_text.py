@@ -24,6 +24,9 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?/][^>]*+(?:>|\Z)""", re.DOTALL
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.IGNORECASE)
+_QUOTED = re.compile(r"""(?<==)\s*(?:"[^"]*"|'[^']*')""")
+_LINK = re.compile(r"""(?:^|["'\s/])href\s*=""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
@@ -92,13 +95,17 @@ def blocks(page: str) -> tuple[list[_Element], list[_Block]]:
     stack, found = [0], []
     block: _Block | None = None
     at, inline_links, inside_articles = 0, 0, 0
+    link_depth: int | None = None
 
     def close(count: int) -> None:
-        nonlocal block, inside_articles
+        nonlocal block, inside_articles, inline_links
         block = None
         for i in stack[len(stack) - count :]:
             inside_articles -= elements[i].tag in ("article", "main")
         del stack[len(stack) - count :]
+        # a link ends with the block that holds it, one without an end tag with any block
+        if link_depth is None or len(stack) < link_depth:
+            inline_links = 0
 
     def put(text: str) -> None:
         nonlocal block
@@ -132,7 +139,9 @@ def blocks(page: str) -> tuple[list[_Element], list[_Block]]:
                 at = len(page) if end is None else end.end()
             continue
         if tag == "a":
-            inline_links = 0 if m[1] else 1
+            inline_links = int(not m[1] and not m[3].endswith("/") and _LINK.search(_QUOTED.sub("''", m[3])) is not None)
+            after = _ANCHOR.search(page, at) if inline_links else None
+            link_depth = len(stack) if after and after[1] else None
         elif tag in ("br", "img", "wbr", "input"):
             if tag == "br" and block is not None:
                 block.parts.append(" ")
@@ -203,8 +212,8 @@ def extract(page: str | None, share: float = 0.3, most: float = 0.7) -> str:
         fused[b.path] += (x * y) ** 0.5 / number[b.path]
     mean = sum(fused[p] * size[p] for p in size) / weight
     content = {p for p in size if fused[p] >= share * mean and p not in menu}
-    if not content:
-        content = set(size)
+    if not content:  # of a page of links only, these are the text
+        content, menu = set(size), set()
     held = defaultdict(int)
     for b in found:
         if b.path in content:
@@ -223,12 +232,16 @@ def extract(page: str | None, share: float = 0.3, most: float = 0.7) -> str:
             i = elements[i].parent
         return i == root
 
+    own = [b for b in found if within(b.element)]
+    # in an article that is more than links, lists of links are references
+    references = not wide and 2 * sum(b.linked for b in own) < sum(len(b.text) for b in own)
+
     def kept(b: _Block) -> bool:
-        if b.path in menu:
+        if b.path in menu and not references:
             return False
         return b.path in content or not wide or elements[b.element].tag in _HEADINGS
 
-    return "\n".join(b.text for b in found if within(b.element) and kept(b))
+    return "\n".join(b.text for b in own if kept(b))
 
 
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])

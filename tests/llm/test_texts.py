@@ -329,6 +329,22 @@ def test_main_text(spark):
     assert main_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_only_real_links_count_as_linked():
+    said = "This is the text, and it goes on for a while, as an article does."
+    for anchor in ("<a name=top>", '<a id="x"/>', "<a name='href=x'>", '<a title=" href=">', "<p><a href=/>Up</p>", "<a>", "<a href=/><h2>Up</h2>"):
+        page = f"<body>{anchor}<div><p>{said}</p><p>{said}</p></div>"
+        assert main_text.extract(page).endswith(f"{said}\n{said}"), anchor
+    linked = [b.linked for b in main_text.blocks('<p>See <a class=x href="/y">this</a> and <A HREF=z>that</A>.</p>')[1]]
+    assert linked == [8]
+    card = "<a href=/x><div><h3>Other</h3><p>Teaser, short.</p></div></a><p>Plain."
+    assert [(b.text, b.linked > 0) for b in main_text.blocks(card)[1]] == [("Other", True), ("Teaser, short.", True), ("Plain.", False)]
+    references = "".join(f"<li><a href=/{i}>Author {i}, a title</a></li>" for i in range(3))
+    article = f"<nav><a href=/>Home</a></nav><article><p>{said}</p><p>{said}</p><p>{said}</p><ul>{references}</ul></article>"
+    found = main_text.extract(f"<body>{article}<ul><li><a href=/q>Elsewhere</a></li></ul>")
+    assert found.count(said) == 3 and found.count("Author") == 3 and "Elsewhere" not in found and "Home" not in found
+    assert main_text.extract("<body><p><a href=/x>All of this is a link.</a></p>") == "All of this is a link."
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<li>", "<ul>", "</ul>", "<", ">", "<!--", "-->", "<a href='", '"', "text, ", "&lt;", "&am", "<script>", "</script>", "<article>", "</article>", "<table><tr><td>", "\n"]), max_size=30).map("".join))
 def test_odd_markup_never_fails(page):
