@@ -7,6 +7,7 @@ scores per subword, so a prediction is one look-up per subword and a sum per tex
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,8 +23,8 @@ from flowmill.llm.words import flat_bytes
 UNKNOWN = "und"
 #: Distinct labelled texts that a fit may gather on the driver, over all languages; and the languages it may learn.
 TRAIN_ROWS, MAX_LANGUAGES = 2_000, 200
-#: Share of rightly recognised calibration texts that rejection may cost, and the highest score that is rejected.
-LOST, REJECTED = 0.002, 0.36
+#: Share of rightly recognised calibration texts that rejection may cost.
+LOST = 0.002
 
 _SIZES = (2, 3, 4)
 _BUCKETS = 1 << 14
@@ -168,8 +169,11 @@ def train(
     return embed @ weights, bias
 
 
-def calibrate(logits: np.ndarray, labels: np.ndarray, lost: float = LOST) -> tuple[float, float]:
-    """The temperature with the least log loss, and the score that costs ``lost`` of the rightly recognised texts."""
+def calibrate(logits: np.ndarray, labels: np.ndarray, whole: np.ndarray, lost: float = LOST) -> tuple[float, float]:
+    """The temperature with the least log loss, and the score that costs ``lost`` of the rightly recognised whole texts.
+
+    ``whole`` says which examples are texts and not only runs of their words; without any, all count.
+    """
     if not len(logits):
         return 1.0, 0.0
     grid = np.geomspace(0.05, 20, 60)
@@ -177,8 +181,9 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, lost: float = LOST) -> tup
     temperature = float(grid[int(np.argmin(losses))])
     chances = _softmax(logits / temperature)
     right = chances.argmax(axis=1) == labels
+    right &= whole if whole.any() else True
     least = float(np.quantile(chances[right].max(axis=1), lost)) if right.any() else 0.0
-    return temperature, min(least, REJECTED)
+    return temperature, least
 
 
 def held_out(doc_id: Column) -> Column:
@@ -202,12 +207,15 @@ def _examples(texts: pa.Array) -> list[list[str]]:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> Model:
     """Learn from about ``train_rows`` distinct labelled texts, the same number of each language.
 
-    Which texts are taken depends on a hash of text and label, so neither order nor copies matter. Only subword counts
+    Which texts are taken, and which of them are kept back with all their runs for calibration, depends on hashes, so
+    neither order nor copies matter. More labels than ``MAX_LANGUAGES`` are an error. Only subword counts
     of these texts reach the driver. Rows without text or label are left out; without any, no language is learned.
     """
     labelled = docs.select(q(text).cast("string").alias("text"), q(lang).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels to learn")
     languages = tuple(sorted(r["lang"] for r in sizes))
     if not languages:
         return Model((), np.zeros((_BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
@@ -223,26 +231,29 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train_rows: int
             for piece in pieces(batch, "text"):
                 rows = []
                 for label, runs in zip(piece.column("lang").to_pylist(), _examples(piece.column("text")), strict=True):
+                    back = zlib.crc32(runs[0].encode()) % 5 == 4
                     for k, (buckets, shares) in enumerate(subword_counts(pa.array(runs, pa.string()))):
-                        rows.append((label, k, buckets.tobytes(), shares.tobytes()))
+                        rows.append((label, k, back, buckets.tobytes(), shares.tobytes()))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "run", "buckets", "shares"])
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "run", "back", "buckets", "shares"])
 
-    counted = sample.limit(2 * train_rows).mapInArrow(count, "lang string, run int, buckets binary, shares binary")
+    counted = sample.limit(2 * train_rows).mapInArrow(count, _COUNTED)
     rows = sorted(counted.collect(), key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["shares"])))
     rows = [r for r in rows if len(r["buckets"])]
     code = {name: i for i, name in enumerate(languages)}
     examples = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in rows]
     labels = np.array([code[r["lang"]] for r in rows], np.int64)
-    kept_back = np.arange(len(rows)) % 5 == 4
+    kept_back = np.array([r["back"] for r in rows], bool)
+    whole = np.array([r["run"] == 0 for r in rows], bool)
     chosen = [x for x, back in zip(examples, kept_back, strict=True) if not back]
     table, bias = train(chosen, labels[~kept_back], len(languages))
     others = [x for x, back in zip(examples, kept_back, strict=True) if back]
     logits = np.array([s @ table[b] + bias for b, s in others]).reshape(-1, len(languages))
-    return Model(languages, table, bias, *calibrate(logits, labels[kept_back]))
+    return Model(languages, table, bias, *calibrate(logits, labels[kept_back], whole[kept_back]))
 
 
-_KINDS = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+_KINDS = (pa.string(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+_COUNTED = "lang string, run int, back boolean, buckets binary, shares binary"
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -91,6 +91,31 @@ def test_language_is_learned_and_held_out(spark):
     assert kept.count() >= 0.97 * len(lettered) and kept.filter("text is null or text = ''").count() == 0
 
 
+@pytest.mark.parametrize("learned", [["en", "de"], ["de", "en", "es", "fr"]])
+def test_gibberish_and_unlearned_languages_are_rejected(spark, learned):
+    import random
+
+    draw = random.Random(4)
+
+    def strings(letters):
+        return [" ".join("".join(draw.choices(letters, k=draw.randrange(2, 9))) for _ in range(40)) for _ in range(50)]
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("back", language.held_out(F.col("doc_id")))
+    model = language.fit(docs.filter(~F.col("back") & F.col("lang").isin(learned)))
+    rows = docs.select("text", "lang", "back").collect()
+    share = lambda texts: np.mean(model.predict(pa.array(texts, pa.string()))[2])
+    assert share([r["text"] for r in rows if r["back"] and r["lang"] in learned]) <= 0.04  # from 150 texts kept back
+    assert share(strings("bcdfghjklmnpqrstvwxz")) >= 0.9 and share(strings("абвгдежзийклмнопрстуфхцчшщыьэюя")) >= 0.9
+    unlearned = [r["text"] for r in rows if r["lang"] not in learned]
+    assert not unlearned or share(unlearned) >= 0.9
+
+
+def test_more_labels_than_can_be_learned_are_an_error(spark):
+    docs = spark.range(language.MAX_LANGUAGES + 1).selectExpr("'a text' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError, match="labels"):
+        language.fit(docs)
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = language.fit(none)
