@@ -16,9 +16,12 @@ from flowmill.llm import (
     main_text,
     nearest,
     ngram_join,
+    prefix_trie,
     secrets,
+    spelling,
     token_counts,
     url_filter,
+    warc,
 )
 
 BYTE_PAIRS = "byte_bpe_50k.json"
@@ -93,6 +96,18 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), slips=True)
+
+
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, sf_dir, "conversations"), shared=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secret_scan,
@@ -105,8 +120,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_hits": benchmark_hits,
         "op9_top_neighbours": top_neighbours,
         "op10_license_scan": licenses,
+        "op11_spelling_variants": spelling_variants,
+        "op12_warc_records": warc_records,
+        "op13_conversation_trie": conversation_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": url_filter.oracle(), "op9_top_neighbours": TOP_SQL, "op10_license_scan": license_scan.oracle()}
+    return {
+        "op3_url_filter": url_filter.oracle(),
+        "op9_top_neighbours": TOP_SQL,
+        "op10_license_scan": license_scan.oracle(),
+        "op11_spelling_variants": spelling.oracle(),
+        "op12_warc_records": warc.oracle(),
+        "op13_conversation_trie": prefix_trie.oracle(),
+    }
