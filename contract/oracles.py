@@ -166,12 +166,13 @@ LABEL_PAIRS = "labelled AS (SELECT quality AS label, toxic AS prediction FROM la
 TWO = "SELECT unnest([0, 1])::integer AS label"
 SIX = f"SELECT unnest({[*CLASSES, 'Heartbleed']!r}) AS label"
 
-TEXT_FLOWS = """,
-texts AS (
-  SELECT "Flow ID",
-    CASE WHEN "Total Fwd Packets" = 13 THEN 'n/a' ELSE "Total Fwd Packets"::bigint::varchar END AS packets,
-    CASE WHEN "Flow Bytes/s" = 'Infinity'::double THEN ' Infinity ' ELSE round("Flow Bytes/s" * 100)::bigint::varchar END AS rate
-  FROM flows)"""
+_TEXTS = join(
+    f"CASE WHEN \"Total Fwd Packets\" = 13 THEN 'n/a' WHEN {c(n)} = 'Infinity'::double THEN ' Infinity ' "
+    f"ELSE round({c(n)} * 100)::bigint::varchar END AS {c(n)}"
+    for n in FEATURES
+)
+TEXT_FLOWS = f""",
+texts AS (SELECT "Flow ID", {_TEXTS} FROM flows)"""
 
 MINORITY_NEED = """,
 train_counts AS (SELECT "Label", count(*) AS n FROM placed WHERE NOT is_test GROUP BY 1),
@@ -251,9 +252,9 @@ def oracle_sql() -> dict[str, str]:
     sql["clipped"] = with_flows(
         'SELECT "Flow ID", '
         + join(
-            f"CASE WHEN {fin(n)} > (SELECT quantile_cont({fin(n)}, 0.99) FROM flows) "
+            f"CASE WHEN {fin(n)} >= (SELECT quantile_cont({fin(n)}, 0.99) FROM flows) * (1 - 1e-12::double) "
             f"THEN round((SELECT quantile_cont({fin(n)}, 0.99) FROM flows), 6) ELSE {fin(n)} END AS {c(n)}"
-            for n in ("Flow Duration", "Flow Bytes/s")
+            for n in FEATURES
         )
         + " FROM flows"
     )
@@ -373,11 +374,12 @@ def oracle_sql() -> dict[str, str]:
     )
     # score preparation
     sql["coerce_features"] = with_flows(
-        "SELECT \"Flow ID\", try_cast(packets AS double) AS packets, try_cast(trim(rate) AS double) AS rate FROM texts", TEXT_FLOWS
+        f'SELECT "Flow ID", {join(f"try_cast(trim({c(n)}) AS double) AS {c(n)}" for n in FEATURES)} FROM texts', TEXT_FLOWS
     )
     sql["raw_values"] = with_flows(
-        "SELECT \"Flow ID\", try_cast(packets AS double) AS packets, "
-        "CASE WHEN isfinite(try_cast(trim(rate) AS double)) THEN try_cast(trim(rate) AS double) END AS rate FROM texts",
+        'SELECT "Flow ID", '
+        + join(f"CASE WHEN isfinite(try_cast(trim({c(n)}) AS double)) THEN try_cast(trim({c(n)}) AS double) END AS {c(n)}" for n in FEATURES)
+        + " FROM texts",
         TEXT_FLOWS,
     )
     sql["score_input"] = sql["scaled_test"]
@@ -411,6 +413,12 @@ def oracle_sql() -> dict[str, str]:
     rows_ok = f"SELECT {TEST_ROWS} AS rows, 0::bigint AS bad_sum, 0::bigint AS bad_class, 0::bigint AS bad_confidence, 0::bigint AS bad_flag, TRUE AS learned"
     sql["rf_score_invariants"] = with_flows(rows_ok, UNIQUE)
     sql["gbt_score_invariants"] = with_flows(rows_ok, UNIQUE)
+    sql["softmax_score_invariants"] = with_flows(rows_ok, UNIQUE)
+    sql["softmax_boosting"] = with_flows(
+        f"SELECT {TEST_ROWS} AS rows, 3::bigint AS rounds, TRUE AS starts_even, TRUE AS losses_fall, TRUE AS as_good_as_one_per_class, TRUE AS weights_act",
+        UNIQUE,
+    )
+    sql["softmax_round_trip"] = with_flows(f"SELECT {TEST_ROWS} AS flows, {TEST_ROWS} AS matching, 0::bigint AS differing", UNIQUE)
     sql["weighted_rf_invariants"] = with_flows(rows_ok, UNIQUE)
     # the feature whose class means differ most, for its spread, is the one a forest leans on
     spread = union(
@@ -464,9 +472,31 @@ def oracle_sql() -> dict[str, str]:
     # sources and sinks
     sql["csv_load"] = with_flows(f"SELECT {join(c(n) for n in ALL_COLUMNS)} FROM flows")
     sql["prepared_round_trip"] = with_flows(
-        "SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS rows, 5::bigint AS classes, "
-        "7::bigint AS features, 3::bigint AS dropped FROM placed GROUP BY 1, 3, 4",
-        UNIQUE,
+        f"SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, row_key, \"Label\", {CODE} AS label_code, {rounded(KEPT, 8)} FROM scaled",
+        UNIQUE, MEDIANS, SCALER,
+    )
+    none = "NULL::double AS median, NULL::double AS mean, NULL::double AS scale"
+    named = [("class", i, x) for i, x in enumerate(CLASSES)]
+    named += [("identifier", 0, "Flow ID"), ("identifier", 1, "Source IP"), ("correlated", 0, "Flow Duration")]
+    named += [("target", 0, "Label"), ("balancing", 0, "none")]
+    sql["state_round_trip"] = with_flows(
+        union(
+            f"SELECT 'feature' AS kind, {i}::bigint AS pos, '{n}' AS name, round((SELECT {c(n)} FROM med), 8) + 0.0 AS median, "
+            f"round({c('m ' + n)}, 8) + 0.0 AS mean, round({c('s ' + n)}, 8) + 0.0 AS scale FROM scaler"
+            for i, n in enumerate(KEPT)
+        )
+        + union([""] + [f"SELECT '{kind}', {i}::bigint, '{n}', {none}" for kind, i, n in named]),
+        UNIQUE, MEDIANS, SCALER,
+    )
+    per_class = "(SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT event_type AS k, count(*) AS n FROM events GROUP BY 1))"
+    sql["absent_log"] = (
+        "SELECT 'absent' AS stage, 0::bigint AS total, 0::bigint AS attacks, '' AS per_class, 0::bigint AS newest, '' AS report, FALSE AS there "
+        f"UNION ALL SELECT 'written', count(*), count(*) FILTER (event_type <> 'view'), {per_class}, least(count(*), 50), {per_class}, TRUE FROM events"
+    )
+    sql["stored_reports"] = sql["flow_per_class_metrics"].replace(
+        "AS f1, support FROM", "AS f1, support, (SELECT count(*) FROM flows) AS row_count, "
+        "((SELECT count(*) FROM flows) - (SELECT count(*) FROM (SELECT DISTINCT * FROM flows)))::bigint AS duplicate_count, "
+        "11::bigint AS column_count FROM"
     )
     sql["log_round_trip"] = "SELECT event_type AS predicted_class, count(*) AS n, count(*) FILTER (event_type <> 'view') AS attacks FROM events GROUP BY 1"
     # streams
@@ -492,7 +522,8 @@ def oracle_sql() -> dict[str, str]:
     # explanations
     sql["explain_additivity"] = with_flows(
         f"SELECT 'random_forest' AS model, {TEST_ROWS} AS flows, 0::bigint AS not_additive, 0::bigint AS other_class "
-        f"UNION ALL SELECT 'boosted_trees', {TEST_ROWS}, 0::bigint, 0::bigint",
+        f"UNION ALL SELECT 'boosted_trees', {TEST_ROWS}, 0::bigint, 0::bigint "
+        f"UNION ALL SELECT 'softmax_trees', {TEST_ROWS}, 0::bigint, 0::bigint",
         UNIQUE,
     )
     sql["explain_topk"] = with_flows(

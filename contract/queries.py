@@ -6,6 +6,7 @@ at the same fitted result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from flowmill.functions.columns import finite, identifier_columns, is_attack, nu
 from flowmill.operators import balance, cleaning, correlation, evaluate, explain, models, profile, scoring, selection
 from flowmill.plans.prepare import CODE, ROW_KEY, preparation_summary, prepare
 from flowmill.plans.profile_report import profile_summary
+from flowmill.plans.summaries import read_report, write_reports
 from flowmill.plans.train import train_and_compare
 from flowmill.session import materialize, new_path
-from flowmill.sources import csv_flows, prediction_log, prepared as stored
+from flowmill.sources import csv_flows, files, prediction_log, prepared as stored
 from flowmill.sources.flow_view import KEY, TARGET, flows, read_table
 from flowmill.streaming import live
 
@@ -51,6 +53,48 @@ def _trained(spark, sf_dir):
     return _once(spark, sf_dir, "trained", make)
 
 
+def _softmax(spark, sf_dir):
+    """Softmax boosting on the rows and with the settings of the one-per-class models, without and with class weights."""
+
+    def make():
+        p = _prepared(spark, sf_dir)
+        train = materialize(p.train, "train")
+        fit = lambda weighted: train_and_compare(
+            train, p.test, p.state, (models.SOFTMAX,), {models.SOFTMAX: PARAMS[models.BOOSTED]}, class_weight=weighted
+        )
+        return fit(False), fit(True)
+
+    return _once(spark, sf_dir, "softmax", make)
+
+
+def softmax_boosting(spark, sf_dir):
+    """Softmax boosting beside one model per class, over all test rows; losses are those on the train rows."""
+    plain, weighted = _softmax(spark, sf_dir)
+    losses = plain.best.model.losses
+    accuracy = lambda trained, name: trained.comparison.where(F.col("model") == name).first()["accuracy"]
+    told = evaluate.overall_from_counts(plain.counts[models.SOFTMAX], plain.best.class_names)
+    counted = plain.counts[models.SOFTMAX].agg(F.sum("n").alias("rows"))
+    return counted.select(
+        "rows",
+        F.lit(len(plain.best.model.rounds)).cast("bigint").alias("rounds"),
+        F.lit(abs(losses[0] - math.log(len(plain.best.class_names))) < 1e-9).alias("starts_even"),
+        F.lit(all(b < a for a, b in zip(losses, losses[1:]))).alias("losses_fall"),
+        F.lit(told.first()["accuracy"] >= accuracy(_trained(spark, sf_dir), models.BOOSTED)).alias("as_good_as_one_per_class"),
+        F.lit(weighted.best.model.losses[1:] != losses[1:]).alias("weights_act"),
+    )
+
+
+def softmax_round_trip(spark, sf_dir):
+    """Stored, read again and scored over the raw test rows: the same predictions."""
+    p, bundle = _prepared(spark, sf_dir), _softmax(spark, sf_dir)[0].best
+    path = new_path(spark, "bundle")
+    models.save_bundle(spark, bundle, path)
+    raw = _raw_test(spark, sf_dir)
+    before = scoring.score(raw, bundle, p.state, [ROW_KEY])
+    after = scoring.score(raw, models.load_bundle(spark, path), p.state, [ROW_KEY])
+    return scoring.parity_counts(scoring.score_parity(before, after, ROW_KEY))
+
+
 def _raw_test(spark, sf_dir) -> DataFrame:
     p = _prepared(spark, sf_dir)
     return p.split.test(p.clean)
@@ -109,9 +153,11 @@ def feature_histogram(spark, sf_dir):
 
 
 def clipped(spark, sf_dir):
-    columns = ["Flow Duration", "Flow Bytes/s"]
-    df = profile.clip_at_quantile(flows(spark, sf_dir).select(q(KEY), *[q(c) for c in columns]), columns)
-    caps = {c: df.agg(F.max(q(c))).first()[0] for c in columns}
+    df = flows(spark, sf_dir)
+    columns = numeric_columns(df, exclude=[TARGET])
+    df = profile.clip_at_quantile(df.select(q(KEY), *[q(c) for c in columns]), columns)
+    largest = df.agg(*[F.max(q(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    caps = {c: largest[f"c{i}"] for i, c in enumerate(columns)}
     return df.select(
         q(KEY), *[F.when(q(c) == caps[c], F.round(q(c), 6)).otherwise(q(c)).alias(c) for c in columns]
     )
@@ -303,12 +349,13 @@ def replay_order(spark, sf_dir):
 
 
 def _text_flows(spark, sf_dir):
-    packets, rate = q("Total Fwd Packets"), q("Flow Bytes/s")
-    return flows(spark, sf_dir).select(
-        q(KEY),
-        F.when(packets == 13, "n/a").otherwise(packets.cast("bigint").cast("string")).alias("packets"),
-        F.when(rate == float("inf"), " Infinity ").otherwise(_cents(rate)).alias("rate"),
-    )
+    """All numbers as text: hundredths, infinity with blanks around it, and no number for 13 packets."""
+    df = flows(spark, sf_dir)
+    texts = [
+        F.when(q("Total Fwd Packets") == 13, "n/a").when(q(c) == float("inf"), " Infinity ").otherwise(_cents(q(c))).alias(c)
+        for c in numeric_columns(df, exclude=[TARGET])
+    ]
+    return df.select(q(KEY), *texts)
 
 
 def _cents(c):
@@ -317,13 +364,14 @@ def _cents(c):
 
 
 def coerce_features(spark, sf_dir):
-    return scoring.coerced(_text_flows(spark, sf_dir), ["packets", "rate"])
+    df = _text_flows(spark, sf_dir)
+    return scoring.coerced(df, df.columns[1:])
 
 
 def raw_values(spark, sf_dir):
     df = _text_flows(spark, sf_dir)
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(q(KEY), *[scoring.clean_value(q(c), kinds[c]).alias(c) for c in ("packets", "rate")])
+    return df.select(q(KEY), *[scoring.clean_value(q(c), kinds[c]).alias(c) for c in df.columns[1:]])
 
 
 def score_input(spark, sf_dir):
@@ -520,10 +568,54 @@ def csv_load(spark, sf_dir):
 def prepared_round_trip(spark, sf_dir):
     path = new_path(spark, "prepared")
     stored.save_prepared(_prepared(spark, sf_dir), path)
-    _, _, state = stored.load_prepared(spark, path)
-    dropped = len(state.dropped_identifiers) + len(state.dropped_correlated)
-    facts = [F.lit(n).cast("bigint").alias(c) for c, n in (("classes", len(state.classes)), ("features", len(state.features)), ("dropped", dropped))]
-    return stored.rows_of(path, spark).select("split", "rows", *facts)
+    train, test, state = stored.load_prepared(spark, path)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return _round(both, state.feature_columns, 8)
+
+
+def state_round_trip(spark, sf_dir):
+    """The fitted state as it is read again: features with their numbers, classes, dropped columns."""
+    path = new_path(spark, "state")
+    stored.save_state(spark, _prepared(spark, sf_dir).state, path)
+    state = stored.load_state(spark, path)
+    rows = [("feature", i, f.name, f.median, f.mean, f.scale) for i, f in enumerate(state.features)]
+    rows += [("class", i, c, None, None, None) for i, c in enumerate(state.classes)]
+    rows += [("identifier", i, c, None, None, None) for i, c in enumerate(state.dropped_identifiers)]
+    rows += [("correlated", i, c, None, None, None) for i, c in enumerate(state.dropped_correlated)]
+    rows += [("target", 0, state.target, None, None, None), ("balancing", 0, state.balancing, None, None, None)]
+    table = small_table(spark, rows, "kind string, pos bigint, name string, median double, mean double, scale double")
+    return _round(table, ["median", "mean", "scale"], 8)
+
+
+def absent_log(spark, sf_dir):
+    """A log and a report that were never written read as empty, and reading them writes nothing; then they are there."""
+    log, folder = new_path(spark, "log"), new_path(spark, "reports")
+    events = prediction_log.log_rows(_events(spark, sf_dir), "seq")
+    rows = []
+    for stage in ("absent", "written"):
+        if stage == "written":
+            prediction_log.append(events, log)
+            write_reports({"stats": prediction_log.class_counts(events)}, folder)
+        told = prediction_log.log_stats(prediction_log.read_log(spark, log), benign="view").first()
+        report = read_report(spark, folder, "stats")
+        listed = sorted((r["predicted_class"], r["n"]) for r in report.collect()) if report else []
+        newest = prediction_log.recent_of(spark, log).count()
+        per_class = ",".join(f"{k}={v}" for k, v in sorted(told["per_class"].items()))
+        rows.append((stage, told["total"], told["attacks"], per_class, newest, ",".join(f"{k}={n}" for k, n in listed), files.exists(spark, log)))
+    return small_table(
+        spark, rows, "stage string, total bigint, attacks bigint, per_class string, newest bigint, report string, there boolean"
+    )
+
+
+def stored_reports(spark, sf_dir):
+    """The profile summary and the metrics per class of the flow table, written as JSON and read again."""
+    folder = new_path(spark, "reports")
+    metrics = evaluate.per_class_metrics(_ruled(spark, sf_dir), "label", "prediction", [*CLASSES, "Heartbleed"])
+    write_reports({"metrics": metrics, "summary": profile_summary(flows(spark, sf_dir))}, folder)
+    summary = read_report(spark, folder, "summary").select("row_count", "duplicate_count", "column_count")
+    stored_metrics = read_report(spark, folder, "metrics").select("label", *[F.round(c, 10).alias(c) for c in ("precision", "recall", "f1")], "support")
+    whole = summary.first()  # one row
+    return stored_metrics.select("*", *[F.lit(whole[c]).cast("bigint").alias(c) for c in summary.columns])
 
 
 # --- streams -------------------------------------------------------------------------------------------------
@@ -594,10 +686,10 @@ def stream_session_summary(spark, sf_dir):
 
 
 def explain_additivity(spark, sf_dir):
-    """Baseline plus contributions equals the output, for every test row and both model kinds."""
-    p, trained = _prepared(spark, sf_dir), _trained(spark, sf_dir)
-    parts = None
-    for name, bundle in trained.bundles.items():
+    """Baseline plus contributions equals the output, for every test row and all model kinds."""
+    p, parts = _prepared(spark, sf_dir), None
+    bundles = _trained(spark, sf_dir).bundles | {models.SOFTMAX: _softmax(spark, sf_dir)[0].best}
+    for name, bundle in bundles.items():
         told = explain.attributions(p.test, bundle, [ROW_KEY])
         scored = scoring.predictions(p.test, bundle, [ROW_KEY]).select(ROW_KEY, "predicted_class")
         total = F.aggregate("contributions", F.col("baseline"), lambda a, b: a + b)
@@ -702,6 +794,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "low_support": _metric(evaluate.low_support, _ruled, six),
         "rf_score_invariants": _invariants(lambda s, d: _trained(s, d).bundles[models.FOREST]),
         "gbt_score_invariants": _invariants(lambda s, d: _trained(s, d).bundles[models.BOOSTED]),
+        "softmax_score_invariants": _invariants(lambda s, d: _softmax(s, d)[0].best),
+        "softmax_boosting": softmax_boosting,
+        "softmax_round_trip": softmax_round_trip,
         "weighted_rf_invariants": _invariants(_weighted_forest),
         "rf_importances": rf_importances,
         "model_comparison": model_comparison,
@@ -718,6 +813,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "outcome_flags": outcome_flags,
         "csv_load": csv_load,
         "prepared_round_trip": prepared_round_trip,
+        "state_round_trip": state_round_trip,
+        "absent_log": absent_log,
+        "stored_reports": stored_reports,
         "log_round_trip": log_round_trip,
         "stream_scores_match_batch": stream_scores_match_batch,
         "stream_class_counts": stream_class_counts,

@@ -9,7 +9,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmill.functions.columns import BLANKS, finite, fold, identifier_columns, numeric_columns, q, strip, without_nan
+from flowmill.functions.columns import BLANKS, finite, fold, identifier_columns, numeric_columns, q, strip
+from flowmill.operators.duplicates import deduplicate as deduplicate
 from flowmill.operators.quantiles import exact_quantiles
 from flowmill.operators.selection import MAX_CLASSES, check_class_count
 
@@ -79,11 +80,6 @@ def drop_classes(
     return keep_classes(df, target, classes), {label: n for label, n in gone.items() if n}
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """One row of every group of identical rows. NaN and null count as the same missing value."""
-    return without_nan(df).dropDuplicates()
-
-
 def drop_identifier_columns(df: DataFrame, target: str) -> tuple[DataFrame, list[str]]:
     """Drop the columns whose name marks an identifier, never the target."""
     flagged = [c for c in identifier_columns(df.columns) if c != target]

@@ -19,9 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q, small_table
+from flowmill.operators import softmax_boosting
 from flowmill.operators.balance import with_class_weight
+from flowmill.operators.softmax_boosting import SoftmaxModel
 
-FOREST, BOOSTED = "random_forest", "boosted_trees"
+FOREST, BOOSTED, SOFTMAX = "random_forest", "boosted_trees", "softmax_trees"
 FEATURES, LABEL, WEIGHT = "features", "label", "class_weight"
 MAX_DEPTH = 30  # Spark's own limit; stands for "no limit"
 
@@ -78,7 +80,13 @@ def train_boosted_trees(data: DataFrame, params: Mapping, seed: int = 42, weight
     return (many.setWeightCol(weight) if weight else many).fit(data)
 
 
-TRAINERS = {FOREST: train_random_forest, BOOSTED: train_boosted_trees}
+def train_softmax_trees(data: DataFrame, params: Mapping, seed: int = 42, weight: str | None = None) -> SoftmaxModel:
+    """One tree per class and round for a common softmax objective; nothing in it is drawn, so the seed has no effect."""
+    classes = data.schema[LABEL].metadata["ml_attr"]["vals"]
+    return softmax_boosting.fit(data, len(classes), params, weight)
+
+
+TRAINERS = {FOREST: train_random_forest, BOOSTED: train_boosted_trees, SOFTMAX: train_softmax_trees}
 
 
 def train_model(
@@ -103,7 +111,8 @@ def train_model(
 
 
 def model_name(model) -> str:
-    return BOOSTED if isinstance(model, OneVsRestModel) else FOREST
+    kinds = {OneVsRestModel: BOOSTED, SoftmaxModel: SOFTMAX}
+    return kinds.get(type(model), FOREST)
 
 
 def probabilities(model, scored: DataFrame) -> Column:
@@ -153,8 +162,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
-    """Spark ML's own format plus a one-row JSON table of names."""
-    bundle.model.write().overwrite().save(f"{path}/model")
+    """Spark ML's own format (small tables for softmax boosting) plus a one-row JSON table of names."""
+    if isinstance(bundle.model, SoftmaxModel):
+        bundle.model.save(spark, f"{path}/model")
+    else:
+        bundle.model.write().overwrite().save(f"{path}/model")
     facts = {"name": bundle.name, "feature_columns": bundle.feature_columns, "class_names": bundle.class_names}
     small_table(spark, [(json.dumps(facts),)], "facts string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
 
@@ -163,5 +175,9 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     if not _exists(spark, f"{path}/facts"):
         raise FileNotFoundError(f"no model bundle at {path}: train a model and save it there first")
     facts = json.loads(spark.read.text(f"{path}/facts").first()["value"])
-    loader = OneVsRestModel if facts["name"] == BOOSTED else RandomForestClassificationModel
-    return Bundle(loader.load(f"{path}/model"), facts["name"], facts["feature_columns"], facts["class_names"])
+    if facts["name"] == SOFTMAX:
+        model = SoftmaxModel.load(spark, f"{path}/model")
+    else:
+        loader = OneVsRestModel if facts["name"] == BOOSTED else RandomForestClassificationModel
+        model = loader.load(f"{path}/model")
+    return Bundle(model, facts["name"], facts["feature_columns"], facts["class_names"])

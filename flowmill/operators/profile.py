@@ -15,8 +15,8 @@ from flowmill.functions.columns import (
     numeric_columns,
     q,
     small_table,
-    without_nan,
 )
+from flowmill.operators.duplicates import duplicate_count
 from flowmill.operators.quantiles import exact_quantiles
 
 
@@ -95,12 +95,7 @@ def bad_cell_reports(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows beyond the first of every group of identical rows; NaN equals NaN and null."""
-    rows = without_nan(df)
-    groups = rows.groupBy(*[q(c) for c in rows.columns]).agg(F.count(F.lit(1)).alias("n"))
-    total = groups.agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_count"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
-    )
+    total = duplicate_count(df)
     share = F.col("duplicate_count") / F.nullif(F.col("rows"), F.lit(0)) * 100
     return total.select("duplicate_count", F.coalesce(F.round(share, 3), F.lit(0.0)).alias("duplicate_pct"))
 
