@@ -1,14 +1,17 @@
 """Near duplicates by Jaccard similarity of word shingles: exact, by vertical partitioning, without pairs of copies.
 
 The global order of shingles is that of their hashes. It is cut into fragments, as many as a pair of linked sets of some
-size can have differing shingles, and a few more: then at least one fragment is the same in both. So sets are
-candidates if a fragment agrees, which frequent shingles alone hardly bring about. For candidates the common shingles
-are counted in each coarse fragment separately and summed per pair.
-
-Equal sets are one class from the start. Classes that share a fragment form a bucket, however many they are; a bucket
-is compared with two of its members at a time, and members already connected are not compared again. What is still apart
-after a few rounds is compared in full, so that no link is lost; sizes and bit sketches, which bound the difference of
-two sets from below, leave most of these pairs out inside the join. Neither links nor buckets reach the driver.
+size can have differing shingles, and a quarter more: then several fragments are the same in both. As many of a set's
+fragments as may agree beside one are left out, those that most sets have: the rarest agreeing fragment of a linked
+pair is among the others on both sides. So sets are candidates if a fragment agrees that both keep, and a passage that
+many texts share brings together only texts that hold little else. For candidates the common shingles are counted in
+each coarse fragment separately and summed per pair.
+
+Equal sets are one class from the start. Classes that share a kept fragment form a bucket, however many they are; a
+bucket is compared with two of its members at a time, and members already connected are not compared again; only buckets
+that are still apart go on. What is apart after a few rounds is compared in full, in blocks, so that no link is lost; sizes
+and bit sketches, which bound the difference of two sets from below, leave most of these pairs out inside the join.
+Neither links nor buckets reach the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmill.functions.columns import q
@@ -37,6 +40,8 @@ BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
 PART_BYTES, CHUNK_KEYS = 32 << 20, 1_000_000
 _KEY_BITS = 40
+#: Members of a bucket that one task compares with as many others in the last round.
+BLOCK_MEMBERS = 1_000
 _NO_ID = (1 << 63) - 1
 
 
@@ -54,7 +59,7 @@ class Sizes:
         largest = self.borders[1:] - 1
         # common >= p * (a + b) / (d + p), so a + b - 2 * common <= (d - p) * (a + b) / (d + p)
         self.differ = 2 * largest * (d - p) // (d + p)
-        self.fragments = np.where(self.differ > 0, self.differ + 3 + self.differ // 24, 0)
+        self.fragments = np.where(self.differ > 0, self.differ + 4 + self.differ // 4, 0)
 
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.borders, n, side="right") - 1
@@ -81,12 +86,15 @@ def set_ids(shingles: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return found[0], found[1]
 
 
-def fragment_keys(shingles: np.ndarray, offsets: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+def fragment_keys(shingles: np.ndarray, offsets: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, ...]:
     """Hashes of the fragments of all sets, for their own size class and the next, and the set of each.
 
-    A set with too few filled fragments for the guarantee gives every shingle as a key of its own besides.
+    The lowest bit of a key is that of its size class. A set with too few filled fragments for the guarantee gives every
+    shingle as a key of its own besides. The third result tells for each set the lowest bit of its own size class, the
+    fourth and fifth how many of its keys for its own class and for the next it can do without.
     """
     n = np.diff(offsets)
+    spare = [np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)]
     keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     owner = np.repeat(np.arange(len(n)), n)
     mixed = mix(shingles ^ np.uint64(0x5BF0363546E1A5C3))
@@ -106,11 +114,17 @@ def fragment_keys(shingles: np.ndarray, offsets: np.ndarray, sizes: Sizes) -> tu
         owners.append(own[starts])
         filled = np.bincount(own[starts], minlength=len(n))
         sparse = (number > 0) & (filled <= sizes.differ[kind])
+        # at most so many fragments as shingles differ are not the same in a linked set
+        spare[step] = np.where(number > 0, np.maximum(filled - sizes.differ[kind] - 1, 0), 0)
+        bit = kind.astype(np.uint64) & np.uint64(1)
+        keys[-1] = (keys[-1] & ~np.uint64(1)) | bit[owners[-1]]
         if sparse.any():
             which = sparse[owner]
-            keys.append(mix(mixed[which] + mix((kind[owner[which]] + (1 << 20)).astype(np.uint64))))
-            owners.append(owner[which])
-    return np.concatenate(keys), np.concatenate(owners)
+            own = owner[which]
+            single = mix(mixed[which] + mix((kind[own] + (1 << 20)).astype(np.uint64)))
+            keys.append((single & ~np.uint64(1)) | bit[own])
+            owners.append(own)
+    return np.concatenate(keys), np.concatenate(owners), sizes.of(np.maximum(n, 1)) & 1, *spare
 
 
 def _packed(keys: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -140,8 +154,8 @@ def _packed(keys: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[tuple]
 
 
 _KEYED = "part int, keys binary, owners binary, counts binary, bucket_keys binary, bucket_owners binary"
-_SETS = "id long, n int, hi long, lo long"
-_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
+_SETS = "id long, n int, hi long, lo long, bit int, spare0 int, spare1 int"
+_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 3, pa.int32(), *[pa.binary()] * 5]
 
 
 def _sets(texts: DataFrame, parts: int, size: int, threshold: tuple[int, int]) -> DataFrame:
@@ -161,7 +175,6 @@ def _sets(texts: DataFrame, parts: int, size: int, threshold: tuple[int, int]) -
                 shingles, offsets = shingle_sets(piece.column("text"), size)
                 n = np.diff(offsets)
                 hi, lo = set_ids(shingles, offsets)
-                yield rows([piece.column("id"), n.astype(np.int32), hi, lo, *[None] * 6], len(n))
                 if n.max(initial=0) >= sizes.borders[-3]:
                     sizes = Sizes(threshold, 2 * int(n.max()))
                 fresh = np.zeros(len(n), bool)
@@ -170,18 +183,24 @@ def _sets(texts: DataFrame, parts: int, size: int, threshold: tuple[int, int]) -
                         seen.add(pair)
                         fresh[i] = True
                 mine = np.repeat(fresh, n)
-                found, who = fragment_keys(shingles[mine], np.append(0, np.cumsum(n[fresh])), sizes)
+                found, who, *told = fragment_keys(shingles[mine], np.append(0, np.cumsum(n[fresh])), sizes)
+                facts = []
+                for values in told:  # of the first text with a set only
+                    every = np.ma.masked_all(len(n), np.int32)
+                    every[fresh] = values
+                    facts.append(pa.array(every.data, pa.int32(), mask=np.ma.getmaskarray(every)))
+                yield rows([piece.column("id"), n.astype(np.int32), hi, lo, *facts, *[None] * 6], len(n))
                 keys.append(found)
                 owners.append(lo[fresh][who])
                 waiting += len(found)
                 if waiting >= CHUNK_KEYS:
                     for row in _packed(np.concatenate(keys), np.concatenate(owners), parts):
-                        yield rows([None] * 4 + [[x] for x in row], 1)
+                        yield rows([None] * 7 + [[x] for x in row], 1)
                     keys, owners, waiting = [], [], 0
                     seen.clear()
         if waiting:
             for row in _packed(np.concatenate(keys), np.concatenate(owners), parts):
-                yield rows([None] * 4 + [[x] for x in row], 1)
+                yield rows([None] * 7 + [[x] for x in row], 1)
 
     return texts.mapInArrow(run, f"{_SETS}, {_KEYED}")
 
@@ -220,6 +239,7 @@ def _buckets(sets: DataFrame) -> DataFrame:
     within = sets.filter(F.col("bucket_keys").isNotNull()).select("bucket_keys", "bucket_owners")
     found = across.groupBy("part").applyInArrow(_shared, "key long, cls long")
     found = materialize(found.union(within.mapInArrow(_unpacked, "key long, cls long")).distinct(), "buckets")
+    found = materialize(_without_spare(found, sets), "kept")
     members = found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("cls").alias("low"),
@@ -227,10 +247,28 @@ def _buckets(sets: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("cls")).alias("x"),
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
     )
-    kept = members.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"))
+    kept = members.filter("n > 1").groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"))
     return found.join(kept.select("key"), "key", "left_semi")
 
 
+def _without_spare(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, cls) without the keys that a class can do without: of its shared ones those that most classes have.
+
+    The rarest key that a linked pair shares stays on both sides: besides it, at most as many keys of a set are not
+    shared as shingles differ, and all that are left out stand behind so many and one in the common order.
+    """
+    several = F.min("bit") == F.max("bit")  # classes are known by 64 bits here: of two with the same, nothing is left out
+    told = sets.filter("bit is not null").groupBy(F.col("lo").alias("cls")).agg(
+        F.min("bit").alias("bit"), *(F.when(several, F.min(c)).otherwise(0).alias(c) for c in ("spare0", "spare1"))
+    )
+    held = found.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    rows = found.join(held, "key").join(told, "cls")
+    step = F.col("key").bitwiseAND(F.lit(1)).bitwiseXOR(F.col("bit").cast("long"))
+    rows = rows.withColumn("step", step).withColumn("spare", F.when(step == 0, F.col("spare0")).otherwise(F.col("spare1")))
+    common_last = Window.partitionBy("cls", "step").orderBy(F.desc("held"), F.desc("key"))  # the keys of one set
+    return rows.withColumn("place", F.row_number().over(common_last)).filter("place > spare").select("key", "cls")
+
+
 def _fragments(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(cls, n, s0 ..., f0 ...) of the wanted classes, each from the first document that has it.
 
@@ -390,6 +428,8 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
         apart = materialize(apart.filter("low <> high"), "apart")
         if apart.isEmpty():
             break
+        members = materialize(members.join(apart.select("key"), "key", "left_semi"), "members")
+        buckets = members.select("key", "cls")
         if step < STAR_ROUNDS:
             centres = apart.select("key", F.explode(F.array_distinct(F.array("c0", "c1"))).alias("c"))
             others = centres.select("key", F.col("c.cls").alias("other"), F.col("c.label").alias("other_label"))
@@ -397,10 +437,14 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
         else:
             # members outside a bucket's first component against all others
             told = _side(fragments, "cls", ["n", *_SKETCH])
-            rest = members.join(apart.select("key", "low"), "key").join(told, "cls")
+            blocks = members.groupBy("key").agg((F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS) - 1).cast("int").alias("most"))
+            rest = members.join(apart.select("key", "low"), "key").join(blocks, "key").join(told, "cls")
             small = rest.filter("label <> low")
-            small = small.select("key", *(F.col(c).alias(f"o_{c}") for c in small.columns if c != "key"))
-            pairs = rest.join(small, "key").filter(
+            # a large bucket is dealt out to several tasks, each with one block of its members and one of the others
+            own, every = F.pmod(F.xxhash64("cls"), F.col("most") + 1).cast("int"), F.explode(F.sequence(F.lit(0), "most"))
+            rest, small = rest.withColumn("i", own).withColumn("j", every), small.withColumn("j", own).withColumn("i", every)
+            small = small.select("key", "i", "j", *(F.col(c).alias(f"o_{c}") for c in small.columns if c not in ("key", "i", "j")))
+            pairs = rest.join(small, ["key", "i", "j"]).filter(
                 (F.col("label") != F.col("o_label"))
                 & ((F.col("label") == F.col("low")) | (F.col("cls") < F.col("o_cls")))
                 & _maybe("cls_", "o_cls_", threshold)
@@ -421,9 +465,6 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
     return some.unionByName(none)
 
 
-_NO_ID = (1 << 63) - 1
-
-
 def one_per_component(
     docs: DataFrame,
     text: str = "text",

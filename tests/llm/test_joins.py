@@ -74,8 +74,17 @@ def test_linked_sets_share_a_fragment():
             continue
         flat = np.array(sorted(a) + sorted(b), np.uint64)
         offsets = np.array([0, len(a), len(a) + len(b)])
-        keys, owners = ngram_join.fragment_keys(flat, offsets, ngram_join.Sizes((85, 100), 1000))
-        assert set(keys[owners == 0].tolist()) & set(keys[owners == 1].tolist())
+        keys, owners, bit, *spare = ngram_join.fragment_keys(flat, offsets, ngram_join.Sizes((85, 100), 1000))
+        mine = [keys[owners == k].tolist() for k in (0, 1)]
+        held = {x: draw.choice([2, 3, 50]) for x in set(mine[0]) & set(mine[1])}  # some of them are common elsewhere, too
+        kept = []
+        for k in (0, 1):
+            own = set()
+            for step in (0, 1):
+                part = sorted((held.get(x, 1), x) for x in mine[k] if (x & 1) ^ int(bit[k]) == step)
+                own |= {x for _, x in part[: len(part) - int(spare[step][k])]}
+            kept.append(own)
+        assert kept[0] & kept[1]
         sketch = ngram_join.sketches(flat, offsets)
         assert sum((int(x[0]) ^ int(x[1])).bit_count() if (int(x[0]) ^ int(x[1])) >= 0 else ((int(x[0]) ^ int(x[1])) & (2**64 - 1)).bit_count() for x in sketch) <= len(a ^ b)
 

@@ -89,11 +89,16 @@ def test_other_files_are_refused(tmp_path):
         bytepairs.Vocabulary.load(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def corpus_settings():
+    """Words of a shingle and the least similarity in hundredths, as the task fixes them."""
+    return 5, 80, 100
+
+
 def plain_pipeline(docs, items, model, library):
     """docs: (doc_id, text, lang, source, n_chars)."""
     formats, ordinary = secrets.learn_formats()
     kept = [r for r in docs if not model.predict(pa.array([r[1]], pa.string()))[2][0]]
-    names = plain.near_duplicates([(r[0], r[1]) for r in kept])
+    names = plain.near_duplicates([(r[0], r[1]) for r in kept], *corpus_settings())
     kept = [r for r, (i, _, c) in zip(kept, names) if i == c]
     hits = plain.benchmark_hits([(r[0], r[1]) for r in kept], items)
     kept = [r for r, h in zip(kept, hits) if not h[2]]
@@ -113,6 +118,12 @@ def test_pipeline(spark, library, tmp_path):
         (900_001, None, "en", "s", 0), (900_002, "1234 5678 ...", "en", "s", 13), (900_003, "the and of " + passage, "en", "s", 1),
         (900_004, "the and of that thing password: k3Jd9aQz81 is with the other", None, None, None),
     ]
+    # a pair that five words and 0.8 link, and four words and 0.85 do not
+    base = next(r["text"] for r in docs.orderBy("doc_id").collect() if r["lang"] == "en" and len((r["text"] or "").split()) >= 200).split()[:200]
+    near = list(base)
+    for i in (30, 70, 110, 150):
+        near[i] = f"{base[i]}er"
+    extra += [(900_005, " ".join(base), "en", "s", 0), (900_006, " ".join(near), "en", "s", 0)]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).cache()
     sf_dir = str(tmp_path)
     docs.write.parquet(f"{sf_dir}/documents.parquet")
@@ -124,6 +135,9 @@ def test_pipeline(spark, library, tmp_path):
     want = plain_pipeline(rows, [tuple(r) for r in items.select("item_id", "text").collect()], model, library)
     assert [r[:6] for r in got] == [r[:6] for r in sorted(want, key=lambda r: r[0])]
     assert [list(r[6]) for r in got] == [r[6] for r in sorted(want, key=lambda r: r[0])]
+    pair = [(i, t) for i, t, *_ in rows if i in (900_005, 900_006)]
+    assert len({c for _, _, c in plain.near_duplicates(pair, 5, 80, 100)}) == 1 < len({c for _, _, c in plain.near_duplicates(pair)})
+    assert 900_006 not in {r[0] for r in got}
     assert {900_001, 900_002, 900_003}.isdisjoint(r[0] for r in got) and 900_004 in {r[0] for r in got}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "encode"]
 
