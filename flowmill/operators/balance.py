@@ -66,17 +66,29 @@ def synthetic_rows(
     )
     extra = below_cut(q(target), order_hash(q("base_key"), seed + 1), cuts)
     copies = choose(q(target), each, F.lit(0)).cast("bigint") + extra.cast("bigint")
-    near = nearest_in_class(
-        base, target, "base_key", "base", len(features), k, minority, asks=copies > 0, seed=seed, **limits
-    ).withColumn("copies", copies)
-
-    # a row of a tiny class may owe billions of copies: hand them out in portions
-    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW))
-    portion = near.withColumn("portion", F.explode(portions))
-    portion = portion.repartition("base_key", "portion")
-    start = F.col("portion") * COPIES_PER_ROW
-    end = F.least(start + COPIES_PER_ROW, F.col("copies")) - 1
-    copied = portion.withColumn("copy", F.explode(F.sequence(start, end)))
+    copied = None
+    # rows of a tiny class may owe billions of copies: theirs are handed out in portions, all others copied in place
+    tiny = [c for c in minority if each[c] >= COPIES_PER_ROW]
+    for portioned, names in ((False, [c for c in minority if c not in tiny]), (True, tiny)):
+        if not names:
+            continue
+        part = base.where(q(target).isin(names))
+        near = nearest_in_class(
+            part, target, "base_key", "base", len(features), k, {c: minority[c] for c in names}, asks=copies > 0, seed=seed, **limits
+        ).withColumn("copies", copies)
+        if portioned:
+            portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW))
+            near = near.withColumn("portion", F.explode(portions)).repartition("base_key", "portion")
+        else:
+            near = near.withColumn("portion", F.lit(0).cast("bigint"))
+        start = F.col("portion") * COPIES_PER_ROW
+        end = F.least(start + COPIES_PER_ROW, F.col("copies")) - 1
+        more = near.withColumn("copy", F.explode(F.sequence(start, end)))
+        copied = more if copied is None else copied.unionByName(more)
+    if copied is None:  # all classes are of one size
+        copied = base.limit(0).select(
+            "*", F.array().cast("array<string>").alias("keys"), F.col("base").alias("vectors"), F.lit(0).cast("bigint").alias("copy")
+        )
     slot = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed)), F.size("keys")).cast("int")
     share = F.pmod(F.xxhash64("base_key", "copy", F.lit(seed + 7)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     width = len(features)

@@ -1,15 +1,19 @@
 """Exact k nearest neighbours inside each class, without comparing all pairs.
 
-A tree of axis cuts, built from a bounded seeded sample of each class, sends every row to a
-leaf; leaves holding too many rows are divided into blocks by hash. Each block first answers
-its own rows, which bounds every row's k-th distance. A row then visits only the blocks whose
-bounding box lies within that bound. Blocks and the queries sent to one block are both limited
-in size, so neither a dense region nor a popular block ends up in one task.
+A bounded seeded sample of each class gives the main directions of its rows, a tree of cuts along
+them, and pivots: sample rows far from each other. The tree sends every row to a leaf; leaves holding
+too many rows are divided into blocks by hash. Each block first answers its own rows, which bounds
+every row's k-th distance. A row then visits only leaves that can hold something closer: those whose
+box along the main directions lies within that bound, and whose distances to every pivot differ from
+the row's own by no more (the triangle inequality). Turning rows does not change distances, so with
+many features that follow a few directions the boxes are as tight as if there were only those. Blocks
+and the queries sent to one block are both limited in size, so neither a dense region nor a popular
+block ends up in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -29,6 +33,9 @@ SAMPLE_ROWS = 400_000
 SAMPLE_PER_BLOCK = 32
 BROADCAST_ROWS = 200_000
 SLICE = 64  # rows per distance table: small enough for the processor's cache
+PIVOTS = 32
+REST_SPREAD = 1e-3  # share of the spread that half of the directions may hold for the others to be the main ones
+PIVOT_SAMPLE = 5_000  # sample rows among which pivots are looked for
 
 
 def _grow(sample: np.ndarray, leaf_rows: int) -> dict[str, list]:
@@ -58,6 +65,65 @@ def _grow(sample: np.ndarray, leaf_rows: int) -> dict[str, list]:
     return {name: np.array(values) for name, values in tree.items()}
 
 
+class Shape:
+    """The main directions of a class and its pivots; both only bound distances, which are computed in full elsewhere.
+
+    Where no half of the directions holds nearly all of the spread, the features themselves are the directions and there
+    are no pivots: turning would only blur columns of few distinct values.
+    """
+
+    def __init__(self, sample: np.ndarray, pivots: int = PIVOTS):
+        self.centre = sample.mean(axis=0)
+        around = sample - self.centre
+        spread, directions = np.linalg.eigh(around.T @ around)
+        few = spread[: len(spread) // 2].sum() > REST_SPREAD * spread.sum()
+        self.directions = None if few else directions
+        self.pivots = np.zeros((0, sample.shape[1]))
+        if few:
+            return
+        some = sample[:: max(len(sample) // PIVOT_SAMPLE, 1)]
+        chosen = [some[int(((some - self.centre) ** 2).sum(axis=1).argmax())]]
+        apart = ((some - chosen[0]) ** 2).sum(axis=1)
+        while len(chosen) < pivots and apart.max() > 0:  # the row farthest from all that are chosen
+            chosen.append(some[int(apart.argmax())])
+            apart = np.minimum(apart, ((some - chosen[-1]) ** 2).sum(axis=1))
+        self.pivots = np.array(chosen)
+
+    def turned(self, rows: np.ndarray) -> np.ndarray:
+        """Coordinates along the main directions."""
+        return rows if self.directions is None else (rows - self.centre) @ self.directions
+
+    def told(self, rows: np.ndarray) -> np.ndarray:
+        """Those and the distances to the pivots, side by side."""
+        if not len(self.pivots):
+            return self.turned(rows)
+        apart = np.stack([np.sqrt(((rows - p) ** 2).sum(axis=1)) for p in self.pivots], axis=1)
+        return np.concatenate([self.turned(rows), apart], axis=1)
+
+
+def reachable(told: np.ndarray, width: int, low: np.ndarray, high: np.ndarray, bound: np.ndarray, slack: float) -> np.ndarray:
+    """(row, leaf): whether a leaf can hold something closer to a row than the square root of its ``bound``.
+
+    ``low`` and ``high`` bound the leaf's rows in what ``Shape.told`` says. A hair of slack, relative and absolute, keeps
+    rounding from hiding a leaf. Nothing is closer than a bound of 0: k copies of a point settle it.
+    """
+    limit = bound * (1 + 1e-9) + slack
+    gap = np.zeros((len(told), len(low)))
+    for column in range(width - 1, -1, -1):  # the widest direction first
+        c = told[:, column][:, None]
+        gap += np.maximum(np.maximum(low[:, column] - c, c - high[:, column]), 0.0) ** 2
+    near = (gap < limit[:, None]) & (bound > 0)[:, None]
+    if told.shape[1] == width:
+        return near
+    row, leaf = np.nonzero(near)
+    for at in range(0, len(row), 1 << 16):
+        r, f = row[at : at + (1 << 16)], leaf[at : at + (1 << 16)]
+        apart = told[r, width:]
+        short = np.maximum(low[f, width:] - apart, apart - high[f, width:]).max(axis=1, initial=0.0)
+        near[r, f] = short**2 < limit[r]
+    return near
+
+
 def _descend(tree: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     at = np.zeros(len(rows), dtype=np.int64)
     while True:
@@ -156,8 +222,8 @@ def nearest_in_class(
     ``counts`` holds the rows per class. Keys must be unique strings.
 
     The neighbours are exact unless ``probes`` says how many other leaves a row may visit at most, the nearest boxes
-    first. With many independent features nearly every box is near enough to be visited, so exact answers then cost as
-    much as comparing all pairs of a class; a few probes cost the same per row at any size and find most neighbours.
+    first. Features that follow a few directions cost little, however many they are; with many independent features nearly
+    every leaf is near enough to be visited, so exact answers then cost as much as comparing all pairs of a class.
     """
     spark = df.sparkSession
     asks = F.lit(True) if asks is None else asks
@@ -167,6 +233,7 @@ def nearest_in_class(
     # trees from a bounded sample; the sample only places the cuts, every row takes part
     large = {g: n for g, n in counts.items() if n > block_rows}
     trees: dict = {}
+    shapes: dict[object, Shape] = {}
     if large:
         # the lowest order hashes: some rows per block to come, within a budget for all classes
         budget = sample_rows // len(large)
@@ -177,7 +244,9 @@ def nearest_in_class(
         sampled_groups = np.array(sample["g"].to_pylist(), dtype=object)
         points = _matrix(sample["v"], width)
         for g in large:
-            trees[g] = _grow(points[sampled_groups == g], max(k + 1, 8, int(block_rows * shares[g])))
+            own = points[sampled_groups == g]
+            shapes[g] = Shape(own)
+            trees[g] = _grow(shapes[g].turned(own), max(k + 1, 8, int(block_rows * shares[g])))
     offsets, used = {}, 0
     for g in counts:
         offsets[g] = used
@@ -192,26 +261,47 @@ def nearest_in_class(
             members = np.flatnonzero(codes == code)
             leaf[members] = offsets[g]
             if g in trees:
-                leaf[members] += _descend(trees[g], points[members])
+                leaf[members] += _descend(trees[g], shapes[g].turned(points[members]))
         return pa.array(leaf)
 
     placed = materialize(rows.withColumn("leaf", leaf_of("g", "v")), "placed")
-    boxes = (
-        placed.groupBy("leaf")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.first("g").alias("g"),
-            *[F.min(F.col("v")[i]).alias(f"lo{i}") for i in range(width)],
-            *[F.max(F.col("v")[i]).alias(f"hi{i}") for i in range(width)],
-        )
-        .orderBy("leaf")
-        .toPandas()
-    )  # one row per leaf; leaves are bounded by the sample
-    low = boxes[[f"lo{i}" for i in range(width)]].to_numpy(dtype=float)
-    high = boxes[[f"hi{i}" for i in range(width)]].to_numpy(dtype=float)
+    ends = f"leaf bigint, n bigint, g {group_type}, low array<double>, high array<double>"
+
+    def ends_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = batch.column("g").dictionary_encode()
+            leaves, codes = batch.column("leaf").to_numpy(), labels.indices.to_numpy()
+            points = _matrix(batch.column("v"), width)
+            for code, g in enumerate(labels.dictionary.to_pylist()):
+                mine = np.flatnonzero(codes == code)
+                mine = mine[np.argsort(leaves[mine], kind="stable")]
+                leaf, starts, counts = np.unique(leaves[mine], return_index=True, return_counts=True)
+                told = shapes[g].told(points[mine]) if g in shapes else np.zeros((len(mine), 1))
+                lists = [_vectors(f.reduceat(told, starts, axis=0)) for f in (np.minimum, np.maximum)]
+                groups = batch.column("g").take(pa.array(mine[starts]))
+                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(counts), groups, *lists], ["leaf", "n", "g", "low", "high"])
+
+    def ends_of_leaf(table: pa.Table) -> pa.Table:
+        bounds = [np.array(table[c].to_pylist(), dtype=float) for c in ("low", "high")]
+        return pa.table(
+            {
+                "leaf": table["leaf"].slice(0, 1), "n": [pa.compute.sum(table["n"]).as_py()], "g": table["g"].slice(0, 1),
+                "low": pa.array([bounds[0].min(axis=0).tolist()], pa.list_(pa.float64())),
+                "high": pa.array([bounds[1].max(axis=0).tolist()], pa.list_(pa.float64())),
+            }
+        )
+
+    # one row per leaf; leaves are bounded by the sample
+    partial = placed.select("leaf", "g", "v").mapInArrow(ends_of_batches, ends)
+    boxes = partial.groupBy("leaf").applyInArrow(ends_of_leaf, ends).toPandas().sort_values("leaf", ignore_index=True)
     leaf_groups = boxes["g"].to_numpy()
     blocks = -(-boxes["n"].to_numpy() // block_rows)
     first = np.cumsum(blocks) - blocks
+    bounds: dict = {}  # by class with a tree: low and high ends of its leaves and the slack for rounding
+    for g in shapes:
+        mine = np.flatnonzero(leaf_groups == g)
+        low, high = (np.array(boxes[c].iloc[mine].tolist(), dtype=float) for c in ("low", "high"))
+        bounds[g] = low, high, 1e-12 * float(max(np.abs(low).max(), np.abs(high).max())) ** 2
     several = bool(pd.Series(blocks).groupby(boxes["g"]).sum().gt(1).any())
 
     leaf_table = small_table(
@@ -244,19 +334,18 @@ def nearest_in_class(
             bound[full] = d[last[full]]
         seekers, targets = [np.zeros(0, int)], [np.zeros(0, np.int64)]
         if several and count:
-            mine = np.flatnonzero(leaf_groups == table["g"][0].as_py())
+            g = table["g"][0].as_py()
+            mine = np.flatnonzero(leaf_groups == g)
             own_leaf = np.searchsorted(first, table["block"][0].as_py(), side="right") - 1
-            mine = mine[(mine != own_leaf) | (blocks[mine] > 1)]
-            for start in range(0, count, SLICE):
-                x = queries[start : start + SLICE]
-                gap = np.zeros((len(x), len(mine)))
-                for column in range(width):
-                    c = x[:, column][:, None]
-                    gap += np.maximum(np.maximum(low[mine, column] - c, c - high[mine, column]), 0.0) ** 2
-                # Only strictly closer rows matter: k copies of a point settle it, however many
-                # more there are. A hair of slack keeps rounding from hiding a leaf.
-                near = gap < bound[start : start + SLICE, None] * (1 + 1e-12)
+            others = (mine != own_leaf) | (blocks[mine] > 1)
+            mine = mine[others]
+            for start in range(0, count if g in bounds else 0, SLICE):
+                low, high, slack = bounds[g]
+                told = shapes[g].told(queries[start : start + SLICE])
+                near = reachable(told, width, low[others], high[others], bound[start : start + SLICE], slack)
                 if probes is not None and probes < near.shape[1]:
+                    c = told[:, None, :width]
+                    gap = (np.maximum(np.maximum(low[others][None, :, :width] - c, c - high[others][None, :, :width]), 0.0) ** 2).sum(axis=2)
                     gap[~near] = np.inf
                     chosen = np.argsort(gap, axis=1, kind="stable")[:, :probes]
                     few = np.zeros_like(near)

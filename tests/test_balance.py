@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from flowmill.operators import balance
+from flowmill.operators import balance, neighbours
 from flowmill.operators.neighbours import nearest_in_class
 
 
@@ -163,3 +163,27 @@ def test_probes_bound_the_visits_and_find_most_neighbours(spark):
         hits = sum(len({f"k{j:04d}" for j in near[int(r["key"][1:])]} & set(r["keys"])) for r in rows)
         found[probes] = hits / (n * k)
     assert found[None] == 1.0 and 1.0 > found[8] > found[2] > found[0] and found[8] > 0.6, found
+
+
+def test_bounds_leave_out_most_leaves_of_low_rank_features():
+    """46 features that follow four directions: under a fifth of the leaves can hold a nearer row, and no neighbour is lost."""
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(20_000, 4)) @ draw.normal(size=(4, 46)) + 1e-3 * draw.normal(size=(20_000, 46))
+    shape = neighbours.Shape(rows[::7])
+    tree = neighbours._grow(shape.turned(rows[::7]), 40)
+    leaf = neighbours._descend(tree, shape.turned(rows))
+    names = np.unique(leaf)
+    told = shape.told(rows)
+    low, high = (np.array([f(told[leaf == n], axis=0) for n in names]) for f in (np.min, np.max))
+    asked = draw.choice(len(rows), 200, replace=False)
+    apart = np.stack([((rows - rows[a]) ** 2).sum(axis=1) for a in asked])
+    order = np.argsort(apart, axis=1)[:, 1:6]
+    bound = np.take_along_axis(apart, order, axis=1)[:, -1]
+    near = neighbours.reachable(told[asked], 46, low, high, bound, 1e-12 * np.abs(told).max() ** 2)
+    assert len(names) > 60 and near.mean() < 0.2
+    for r, found in enumerate(order):
+        strictly = found[apart[r][found] < bound[r]]
+        assert near[r][np.searchsorted(names, leaf[strictly])].all()
+    boxes_only = neighbours.reachable(told[asked], 46, np.where(np.arange(78) < 46, low, -np.inf), np.where(np.arange(78) < 46, high, np.inf), bound, 0.0)
+    assert near.sum() <= boxes_only.sum()
+    assert not neighbours.reachable(told[asked], 46, low, high, np.zeros(len(asked)), 1.0).any()
