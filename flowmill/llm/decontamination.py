@@ -239,3 +239,25 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     found = find(plain, items, text=names[docs.columns.index(text)], keep=names)
     free = found.filter(F.size("items") == 0)
     return free.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+
+
+def oracle() -> str:
+    """The digest of hits of ``op8_benchmark_hits`` in DuckDB, windows as texts."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH items AS (SELECT item_id::VARCHAR AS item, {words} AS w FROM benchmark),
+    windows AS MATERIALIZED (
+      SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS window
+      FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+    docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+    sizes AS (SELECT DISTINCT size FROM windows),
+    places AS (
+      SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS window
+      FROM docs JOIN sizes ON len(w) >= size, unnest(range(1, len(w) - size + 2)) AS t(i)),
+    found AS MATERIALIZED (SELECT r, p.size, i, item FROM places p JOIN windows k ON p.window = k.window AND p.size = k.size),
+    hits AS (SELECT r, count(DISTINCT k) AS n_hit FROM found, unnest(range(i, i + size)) AS t(k) GROUP BY r),
+    listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (r) LEFT JOIN listed USING (r)"""

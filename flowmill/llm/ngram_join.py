@@ -39,6 +39,8 @@ COUNTED_FRAGMENTS, SKETCH_WORDS = 4, 16
 BROADCAST_IDS = 1_000_000
 #: Text bytes whose fragments one task groups, and keys that a task holds before it hands them on.
 PART_BYTES, CHUNK_KEYS = 32 << 20, 1_000_000
+#: A class is heavy if more than one row in so many belongs to it, so there are fewer heavy ones than this.
+HEAVY = 1_000
 _KEY_BITS = 40
 #: Members of a bucket that one task compares with as many others in the last round.
 BLOCK_MEMBERS = 1_000
@@ -413,7 +415,7 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
         _buckets(sets).write.parquet(paths[1])
     rows, buckets = (spark.read.parquet(path) for path in paths)
     real_id = F.when(F.col("id") != _NO_ID, F.col("id"))
-    classes = rows.filter("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("id"), F.min(real_id).alias("least"))
+    classes = rows.filter("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("id"), F.min(real_id).alias("least"), F.count(F.lit(1)).alias("copies"))
     mine = buckets.select(F.col("cls").alias("lo")).distinct()
     wanted = materialize(classes.join(mine, "lo", "left_semi"), "classes")
     fragments = _fragments(texts, wanted, size)
@@ -458,9 +460,14 @@ def _link_components(docs: DataFrame, text: str, id: str, size: int, threshold:
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     joined = named.join(least, "label").select("hi", "lo", "component_id")
     known = classes.join(joined, ["hi", "lo"], "left")
-    known = known.select("hi", "lo", F.coalesce("component_id", "least").alias("component_id"))
+    known = known.select("hi", "lo", "copies", F.coalesce("component_id", "least").alias("component_id"))
     own = real_id.alias(id), F.col("n").cast("long").alias("n_shingles")
-    some = rows.filter("n > 0").join(known, ["hi", "lo"]).select(*own, "component_id")
+    # the few classes of a large share of the rows reach them by a broadcast, so that no task gets all their copies
+    total = rows.count()
+    heavy = F.broadcast(materialize(known.filter(F.col("copies") * HEAVY > total), "heavy"))
+    filled = rows.filter("n > 0")
+    light = filled.join(heavy, ["hi", "lo"], "left_anti").join(known.filter(F.col("copies") * HEAVY <= total), ["hi", "lo"])
+    some = filled.join(heavy, ["hi", "lo"]).select(*own, "component_id").unionByName(light.select(*own, "component_id"))
     none = rows.filter("n = 0").select(*own, real_id.alias("component_id"))
     return some.unionByName(none)
 
@@ -489,3 +496,26 @@ def one_per_component(
     if not told.filter("stays and n > 1").isEmpty():
         kept = kept.dropDuplicates(["_named", text])
     return kept.select(*(q(c) for c in docs.columns))
+
+
+def oracle() -> str:
+    """The same in DuckDB: shared shingles counted for all pairs of different sets, links closed by recursion."""
+    p, d = THRESHOLD
+    return f"""
+    WITH RECURSIVE words AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+      FROM documents),
+    sets AS MATERIALIZED (
+      SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+        range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')))) END AS s
+      FROM words),
+    classes AS MATERIALIZED (SELECT min(r) AS c, s, len(s) AS n, min(doc_id) AS least FROM sets WHERE len(s) > 0 GROUP BY s),
+    shingles AS MATERIALIZED (SELECT c, n, unnest(s) AS x FROM classes),
+    links AS MATERIALIZED (
+      SELECT a.c AS a, b.c AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.c <> b.c AND a.n * {d} >= b.n * {p} AND b.n * {d} >= a.n * {p}
+      GROUP BY a.c, b.c, a.n, b.n HAVING count(*) * {d} >= (a.n + b.n - count(*)) * {p}),
+    reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    named AS (SELECT k.s, min(o.least) AS component_id FROM reach r JOIN classes k ON k.c = r.a JOIN classes o ON o.c = r.b GROUP BY k.s)
+    SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component_id END AS component_id
+    FROM sets LEFT JOIN named ON named.s = sets.s"""

@@ -27,6 +27,16 @@ from flowmill.llm import (
 BYTE_PAIRS = "byte_bpe_50k.json"
 
 
+#: The test that stands for the SQL of a query that SQL cannot express.
+TESTED_BY = {
+    "op1_secret_scan": "tests/llm/test_texts.py::test_base_spans_of_odd_texts",
+    "op2_token_counts": "tests/llm/test_tokens.py::test_counts_and_round_trip",
+    "op4_byte_pairs": "tests/llm/test_tokens.py::test_tokens_are_the_librarys",
+    "op5_main_text": "tests/llm/test_texts.py::test_main_text",
+    "op6_language": "tests/llm/test_texts.py::test_language_is_learned_and_held_out",
+    "pipeline": "tests/llm/test_tokens.py::test_pipeline",
+}
+
 TOP_SQL = """
     WITH v AS (
       SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e, row_number() OVER () AS r
@@ -129,6 +139,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_filter": url_filter.oracle(),
+        "op7_ngram_join": ngram_join.oracle(),
+        "op8_benchmark_hits": decontamination.oracle(),
         "op9_top_neighbours": TOP_SQL,
         "op10_license_scan": license_scan.oracle(),
         "op11_spelling_variants": spelling.oracle(),

@@ -6,7 +6,6 @@ occurrence counts if no letter or digit stands beside it. One strict term or sev
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from flowmill.functions.columns import q
 from flowmill.llm.batches import per_text
 
-_QUERY = re.compile("[?#]")
 
 # Rules as (kind, host, path), in order of the contract.
 RULES = (
@@ -52,7 +50,7 @@ def host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
 def rule_for(host: F.Column, path: F.Column, rules: Sequence[tuple[str, str, str]]) -> tuple[F.Column, F.Column]:
     """Text and kind of the longest rule that fits; of equal rules the first. Null if none fits."""
     text, kind = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for k, h, p in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
+    for k, h, p in sorted(reversed(list(rules)), key=lambda r: len(r[1]) + len(r[2])):  # the last that fits stays
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         text, kind = F.when(fits, F.lit(h + p)).otherwise(text), F.when(fits, F.lit(k)).otherwise(kind)
     return text, kind
@@ -76,8 +74,8 @@ def _terms(automaton: ahocorasick.Automaton, text: str) -> Iterator[tuple[str, b
 
 
 def _searched(url: str) -> str:
-    """Host and path in lower case; of a URL without ``://``, what stands before its query."""
-    return _QUERY.split(url.partition("://")[2] or url, maxsplit=1)[0].lower()
+    """All behind the first ``://`` in lower case, query and fragment included; a URL without it, or with nothing behind it, as a whole."""
+    return (url.partition("://")[2] or url).lower()
 
 
 def judge(
@@ -92,8 +90,7 @@ def judge(
     """Per row: ``host``, ``path``, ``rule``, ``verdict`` (allow or block), ``n_strict`` and ``n_soft`` (distinct terms).
 
     A fitting rule decides; otherwise the vocabulary does: a strict term or ``soft_hits`` distinct soft terms block.
-    Terms are looked for in host and path in lower case (without ``://``, in all before the query), not in query or
-    fragment. Null URLs have empty host and path, no terms, and are allowed. Repeated rows stay; kept columns named
+    Terms are looked for in lower case in all behind ``://``, query and fragment too (without it, in the whole). Null URLs have empty host and path, no terms, and are allowed. Repeated rows stay; kept columns named
     like a result give way.
     """
 
@@ -142,8 +139,7 @@ def oracle() -> str:
     WITH cut AS (SELECT page_id, url, instr(url, '://') AS p FROM pages),
     rest AS (
       SELECT page_id, CASE WHEN p > 0 THEN substr(url, p + 3) ELSE '' END AS r,
-        lower(regexp_extract(CASE WHEN p > 0 AND length(url) > p + 2 THEN substr(url, p + 3) ELSE coalesce(url, '') END,
-          '^[^?#]*')) AS low
+        lower(CASE WHEN p > 0 AND length(url) > p + 2 THEN substr(url, p + 3) ELSE coalesce(url, '') END) AS low
       FROM cut),
     parts AS (
       SELECT page_id, low, translate(regexp_extract(r, '^[^/?#]*'), '{upper}', '{lower}') AS host,

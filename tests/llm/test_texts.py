@@ -315,6 +315,16 @@ def plain_verdict(url):
     return (host, path, None, "block" if bad else "allow")
 
 
+def test_terms_in_query_and_fragment_and_equal_rules(spark):
+    urls = ["http://a.b/c?q=porn+videos", "http://a.b/c#casino-money", "http://a.b/c?q=xpornx", "http://a.b/?x=1#y", "http://t.org/p/q"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge(df, rules=[("allow", "t.org", "/p"), ("block", "t.org", "/p")]).collect()}
+    assert got[0]["n_strict"] + got[0]["n_soft"] >= 1 and got[0]["verdict"] == "block"
+    assert got[1]["n_strict"] + got[1]["n_soft"] >= 1 and got[3]["verdict"] == "allow"
+    assert (got[0]["host"], got[0]["path"]) == ("a.b", "/c") and got[2]["n_strict"] == 0
+    assert got[4]["verdict"] == "allow"  # of equal rules the first
+
+
 def test_urls(spark):
     urls = [
         None, "", "nothing", "http://A.Example.NET/en/1", "http://example.net/EN/", "http://net", "http://x.net/", "//x",
