@@ -309,7 +309,7 @@ def plain_verdict(url):
     fits = [(len(h + p), h + p, k) for k, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     if fits:
         return (host, path, max(fits)[1], max(fits)[2])
-    low = re.split("[?#]", rest or url or "")[0].lower()
+    low = (rest or url or "").lower()
     on = {t for t in url_filter.STRICT + url_filter.SOFT if re.search(rf"(?<![^\W_]){re.escape(t)}(?![^\W_])", low)}
     bad = any(t in url_filter.STRICT for t in on) or len(on) >= 2
     return (host, path, None, "block" if bad else "allow")
