@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,32 +48,34 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):  # "local-cluster" has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="flowmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _made:
+        _made[application] = tempfile.mkdtemp(prefix="flowmill-")
+    return _made[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    for held in _scopes:
+    for held in _scopes.get():
         held.append(path)
     return path
 
 
-_scopes: list[list[str]] = []
+_made: dict[str, str] = {}  # temporary folders of local applications
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())  # of this thread only
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes at its end the intermediate tables that were written within it; results that read them are gone then."""
     made: list[str] = []
-    _scopes.append(made)
+    before = _scopes.set((*_scopes.get(), made))
     try:
         yield
     finally:
-        _scopes.remove(made)
+        _scopes.reset(before)
         for path in made:
             target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
