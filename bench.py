@@ -19,6 +19,7 @@ from flowmill.session import local_session, materialize
 from flowmill.sources.flow_view import KEY, TARGET, flows
 
 FOREST = {"trees": 20, "max_depth": 8}
+BOOSTING = {"rounds": 3, "max_depth": 3}  # of both boosted models
 
 
 def drain(df) -> None:
@@ -40,6 +41,8 @@ def main() -> None:
     bundle = models.Bundle(model, models.FOREST, state.feature_columns, list(state.classes))
     shown = selection.per_class_sample(test_raw, TARGET, 200, ROW_KEY)
 
+    fit = lambda name: models.train_model(name, train, state.feature_columns, CODE, state.classes, BOOSTING)
+
     queries = {
         "missing_and_infinite": lambda: [drain(report) for report in profile.bad_cell_reports(raw)],
         "duplicate_report": lambda: drain(profile.duplicate_report(raw)),
@@ -52,6 +55,8 @@ def main() -> None:
         "forest_training": lambda: models.train_model(
             models.FOREST, train, state.feature_columns, CODE, state.classes, FOREST
         ),
+        "boosted_training": lambda: fit(models.BOOSTED),
+        "softmax_training": lambda: fit(models.SOFTMAX),
         "batch_score": lambda: drain(scoring.score(test_raw, bundle, state, [ROW_KEY])),
         "score_metrics": lambda: drain(
             scoring.score(test_raw, bundle, state, [TARGET]).groupBy(q(TARGET), "predicted_class").agg(F.count(F.lit(1)))
@@ -76,6 +81,7 @@ def main() -> None:
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(cores),
                 "forest": FOREST,
+                "boosting": BOOSTING,
                 "features": len(state.feature_columns),
                 "train_rows": train.count(),
                 "test_rows": test.count(),
