@@ -11,7 +11,8 @@ import hashlib
 import random
 import re
 import string
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -110,8 +111,12 @@ def ordinary_strings(n: int = 1500, seed: int = 21) -> list[str]:
 _LETTER_WEIGHTS = (8, 2, 3, 4, 12, 2, 2, 6, 7, 1, 1, 4, 2, 7, 8, 2, 1, 6, 6, 9, 3, 1, 2, 1, 2, 1)
 
 
-def learn_formats() -> tuple[list[Automaton], Automaton]:
-    return [learn(x) for x in labelled_credentials().values()], learn(ordinary_strings())
+def learn_formats(
+    labelled: Mapping[str, Sequence[str]] | None = None, ordinary: Sequence[str] | None = None
+) -> tuple[list[Automaton], Automaton]:
+    """One automaton per label of the credentials, and one of the ordinary strings; those drawn here without any."""
+    examples = labelled_credentials() if labelled is None else labelled
+    return [learn(x) for x in examples.values()], learn(ordinary_strings() if ordinary is None else ordinary)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -127,7 +132,7 @@ def _order(span: tuple[int, int, str]) -> tuple[int, int]:
 
 
 _CANDIDATE = np.zeros(256, bool)
-_CANDIDATE[[ord(c) for c in _WORD + "+/_=-."]] = True
+_CANDIDATE[[ord(c) for c in _WORD + "+/_-."]] = True  # "=" parts a name from its value, or pads the end
 
 
 def candidates(texts: pa.Array, least: int = LEAST) -> Iterator[tuple[int, int, int]]:
@@ -146,28 +151,49 @@ def candidates(texts: pa.Array, least: int = LEAST) -> Iterator[tuple[int, int,
     return zip(owners.tolist(), (starts - offsets[owners]).tolist(), (ends - offsets[owners]).tolist(), strict=True)
 
 
+def _covered(spans: Sequence[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans, by start, cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b, _ in spans:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find_spans(
     texts: pa.Array, formats: Sequence[Automaton], ordinary: Automaton, margin: float = MARGIN
 ) -> list[list[tuple[int, int, str]]]:
-    """All spans of every text, in code points; learned ones only where no fixed pattern matched."""
+    """All spans of every text, in code points; learned ones where the fixed patterns do not cover all of them."""
     texts = texts.fill_null("")
     found: list[list[tuple[int, int, str]]] = [[] for _ in range(len(texts))]
     for i in pc.indices_nonzero(pc.match_substring_regex(texts, _MAYBE)).to_pylist():
         found[i] = base_spans(texts[i].as_py())
+    raw, offsets = flat_bytes(texts)
     likely: dict[str, bool] = {}  # of distinct runs
+    learned: dict[int, list[tuple[int, int]]] = {}  # in bytes
     for i, a, b in candidates(texts):
-        data = texts[i].as_py().encode()
-        run = data[a:b].decode().strip("=.-/")
+        whole = raw[offsets[i] + a : offsets[i] + b].tobytes().decode()
+        run = whole.strip(".-/")
         if len(run) < LEAST:
             continue
         if run not in likely:
             likely[run] = max(f.log_likelihood(run) for f in formats) - ordinary.log_likelihood(run) >= margin
-        if not likely[run]:
-            continue
-        start = len(data[:a].decode()) + data[a:b].decode().index(run)
-        span = (start, start + len(run), "learned")
-        if not any(s < span[1] and span[0] < e for s, e, _ in found[i]):
-            found[i] = sorted([*found[i], span], key=_order)
+        if likely[run]:
+            start = a + whole.index(run)
+            learned.setdefault(i, []).append((start, start + len(run)))
+    for i, spans in learned.items():
+        first = (raw[offsets[i] : offsets[i + 1]] & 0xC0) != 0x80
+        points = np.concatenate([[0], np.cumsum(first)])  # code points before a byte
+        starts, ends = _covered(found[i])
+        for a, b in points[np.array(spans)].tolist():
+            at = bisect_right(starts, a) - 1
+            if at < 0 or ends[at] < b:
+                found[i].append((a, b, "learned"))
+        found[i].sort(key=_order)
     return found
 
 
@@ -175,14 +201,21 @@ def spelled(spans: Sequence[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    text: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+    labelled: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """Per row: ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` (all, as kind:start:end) and
     ``n_learned``.
 
-    Null counts as empty: no spans, the hash of nothing, an empty string. Texts of any length are searched whole.
+    ``labelled`` are known credentials by format, of which the automata are learned in place of the drawn examples.
+    Null counts as empty: no spans, the hash of nothing, an empty string. Texts of any length are searched whole, in time
+    that grows with their length. A learned span that fixed patterns cover in part stays whole beside them.
     Spans of one start are in the order of ``KINDS``. Repeated rows stay; kept columns named like a result give way.
     """
-    models = Shared(docs.sparkSession, learn_formats())
+    models = Shared(docs.sparkSession, learn_formats(labelled))
 
     def start():
         formats, ordinary = models.get()

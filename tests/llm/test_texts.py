@@ -1,11 +1,13 @@
 """Words, language, secrets, licences, URLs and pages, held against plain versions."""
 
+import functools
 import hashlib
 import math
 import os
 import re
 import subprocess
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -213,6 +215,59 @@ def test_rules_are_no_credentials():
     assert secrets.find_spans(pa.array(texts + ["abc.def.ghi/" * 4]), formats, ordinary)[:-3] == [[]] * (len(texts) - 2)
 
 
+def plain_spans(text, formats, ordinary):
+    """Fixed patterns, then every long run on its own, code point by code point."""
+    base = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in plain_base(text).split(",") if x)]
+    inside = {i for a, b, _ in base for i in range(a, b)}
+    learned = []
+    for m in re.finditer("[A-Za-z0-9+/_.-]{20,}", text):
+        run = m[0].strip(".-/")
+        a = m.start() + m[0].index(run)
+        if len(run) < 20 or all(i in inside for i in range(a, a + len(run))):
+            continue
+        if max(f.log_likelihood(run) for f in formats) - ordinary.log_likelihood(run) >= secrets.MARGIN:
+            learned.append((a, a + len(run), "learned"))
+    return sorted(base + learned, key=lambda x: (x[0], secrets.KINDS.index(x[2])))
+
+
+_KEY = "ghp_k3Jd9aQz81LmWxTt0vBn4RsYc6UeHo2iPGfA"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([_KEY, "Xk3Jd9aQz81Lm", "0123456789ab" * 2, "some_plain_word", "é", " ", "=", "token=", "漢-", "./"]), max_size=8).map("".join), max_size=4))
+def test_all_spans_equal_a_plain_search(texts):
+    formats, ordinary = _learned()
+    found = secrets.find_spans(pa.array(texts, pa.string()), formats, ordinary)
+    assert found == [plain_spans(t, formats, ordinary) for t in texts]
+
+
+@functools.cache
+def _learned():
+    return secrets.learn_formats()
+
+
+def test_learned_spans_beside_fixed_ones_and_in_long_texts():
+    formats, ordinary = _learned()
+    around = "eyJhbGciOi" + _KEY[4:] + "0123456789abcdef01234567" + _KEY[4:24]
+    spans = secrets.find_spans(pa.array([f"é {around} z", f"key={_KEY}==", f"token={_KEY}"]), formats, ordinary)
+    assert [k for _, _, k in spans[0]] == ["learned", "hex"]
+    assert secrets.blanked(f"é {around} z", spans[0], "#") == "é # z"
+    assert spans[1] == [(4, 44, "learned")] and [k for _, _, k in spans[2]] == ["assign"]
+    text = f"é{_KEY} word " * 40000  # two million code points
+    began = time.monotonic()
+    assert len(secrets.find_spans(pa.array([text]), formats, ordinary)[0]) == 40000
+    assert time.monotonic() - began < 20
+
+
+def test_formats_are_learned_from_given_credentials(spark):
+    import random
+
+    draw = random.Random(3)
+    own = {"own": ["zz-" + "".join(draw.choices("QRST", k=30)) for _ in range(200)]}
+    docs = spark.createDataFrame([(1, "a zz-" + "QRSTTSRQ" * 3 + "QRSTTS b"), (2, f"a {'ab' * 20} b")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_learned"] for r in secrets.scan(docs, labelled=own).collect()} == {1: 1, 2: 0}
+
+
 def test_an_automaton_is_a_distribution():
     model = automata.learn(["ab1", "ab2", "ab3", "c"] * 50)
     for chances in model.logs:
