@@ -4,7 +4,9 @@ A text is compared as a whole, by paragraph, by line and by run of lines, so tha
 comment lines inside a longer text is met as a whole. A unit of a distinct bigrams and a template of b agree by
 the Dice coefficient 2 * common / (a + b). With a threshold of 0.8 that needs 3a >= 2b and 3b >= 2a, so most units are
 left out by their number of words before any bigram is made, and most templates before any comparison. Runs are only
-made of texts that hold, somewhere, the two thirds of a template's bigrams that any run in them needs. Before that, texts without any of the words that every such unit needs are left out by one pass of a pattern.
+made of texts that hold, somewhere, the two thirds of a template's bigrams that any run in them needs, and only from lines
+that are mostly licence text. Before that, texts without any of the words that every such unit needs are left out by one
+pass of a pattern.
 """
 
 from __future__ import annotations
@@ -167,26 +169,33 @@ def _with_shares(lines: Column, grams: Column) -> Column:
     """Every line with the number of its bigrams, and of the one that it ends, which are among the given ones."""
 
     def told(x: Column, i: Column) -> Column:
-        words = F.concat(F.when(i > 0, F.slice(F.element_at(lines, F.greatest(i, F.lit(1))), -1, 1)).otherwise(_no_words()), x)
-        return F.struct(x.alias("words"), F.size(F.array_intersect(_bigrams(words), grams)).alias("shared"))
+        before = F.slice(F.coalesce(F.get(lines, i - 1), _no_words()), -1, 1)
+        return F.struct(x.alias("words"), F.size(F.array_intersect(_bigrams(F.concat(before, x)), grams)).alias("shared"))
 
     return F.transform(lines, told)
 
 
 def _starts(lines: Column, grams: Column) -> Column:
-    """Places (from 1) of the lines that have one of the bigrams, or begin one that the next line ends.
+    """Places (from 1) of lines of whose bigrams, with the one that the next line ends, more than p / 2d are among the
+    given ones.
 
-    A run that starts elsewhere has a first line that adds nothing to what it shares with a template.
+    Without another first line a run scores no less: of a run that reaches p / d, the shared bigrams are at least p / 2d
+    of its own and the template's together, so a line that brings in a smaller share only lowers the score.
     """
-    with_next = F.transform(lines, lambda x, i: F.concat(x, F.slice(F.flatten(F.slice(lines, i + 2, 1)), 1, 1)))
-    places = F.transform(with_next, lambda x, i: F.when(F.arrays_overlap(_bigrams(x), grams), i + 1))
-    return F.filter(places, lambda i: i.isNotNull())
+    p, d = DICE
+
+    def place(x: Column, i: Column) -> Column:
+        after = F.slice(F.coalesce(F.get(lines, i + 1), _no_words()), 1, 1)
+        shared = lambda own: 2 * d * F.size(F.array_intersect(own, grams)) > p * F.size(own)
+        return F.when(F.exists(F.array(_bigrams(F.concat(x, after))), shared), i + 1)
+
+    return F.filter(F.transform(lines, place), lambda i: i.isNotNull())
 
 
 def _run_hits(lines: Column, start: Column, most: Column, best: Callable[[Column], Column]) -> Column:
-    """Distinct hits of the runs of lines from one line on, up to ``most`` distinct bigrams.
+    """Distinct hits of the runs of lines from one line on, up to ``most`` distinct bigrams and one line more than that.
 
-    A run of a distinct bigrams has at least p / (2d - p) * a of them in common with a template that it agrees with.
+    Every line has a word, so a longer run would have to repeat bigrams. A run of a distinct bigrams has at least p / (2d - p) * a of them in common with a template that it agrees with.
     """
     p, d = DICE
 
@@ -207,7 +216,7 @@ def _run_hits(lines: Column, start: Column, most: Column, best: Callable[[Column
         return F.when(F.size(state["grams"]) > most, state).otherwise(grown_by_one)
 
     zero = F.struct(_no_words().alias("grams"), _no_words().alias("last"), F.lit(0).alias("shared"), F.array().cast(_HITS).alias("hits"))
-    return F.aggregate(F.slice(lines, start, F.size(lines)), zero, grown, lambda state: state["hits"])
+    return F.aggregate(F.slice(lines, start, most + 1), zero, grown, lambda state: state["hits"])
 
 
 def scan(
@@ -217,8 +226,10 @@ def scan(
     every unit that reaches the threshold, distinct, sorted, joined by ``;``) and ``n_licenses``.
 
     Without any: null, 0, empty, 0; so too for null and empty texts. At equal scores the earlier template wins. Texts of
-    any length are compared whole. Runs of lines pass over lines without words, so they join paragraphs. Templates need two words. Repeated rows stay; kept columns named like a result give
-    way.
+    any length are compared whole, in time that grows with their length. Runs of lines pass over lines without words, so they
+    join paragraphs; they start at lines that are mostly licence text (``_starts``) and have no more than ``most`` + 1
+    lines, ``most`` being the distinct bigrams that a run may have. Templates need two words. Repeated rows stay; kept
+    columns named like a result give way.
     """
     grams = {name: template_bigrams(t) for name, t in templates.items()}
     sizes = sorted({len(g) for g in grams.values()})
@@ -266,7 +277,9 @@ def scan(
     full = F.filter("lines", lambda x: F.size(x) > 0)
     found = found.select(*ids, _units(F.col("lines")).alias("units"), full.alias("lines"))
     # of up to two lines all runs are units already
-    most = F.when(F.size("lines") > 2, longest(_bigrams(F.flatten("lines")))).otherwise(0)
+    whole = F.when(F.size("lines") > 2, _bigrams(F.flatten("lines")))
+    found = found.select(*ids, "units", "lines", whole.alias("whole"))
+    most = F.when(F.size("whole") > 0, longest(F.col("whole"))).otherwise(0)
     found = found.select(*ids, "units", "lines", most.alias("most"))
     telling_grams = listed(list(dict.fromkeys(g for own in grams.values() for g in own)))
     starts = F.when(F.col("most") > 0, _starts(F.col("lines"), telling_grams)).otherwise(F.array().cast("array<int>"))
@@ -297,7 +310,7 @@ _HITS = "array<struct<score:double,place:int,name:string>>"
 
 
 def oracle(templates: Mapping[str, str] = TEMPLATES) -> str:
-    """The same in SQL: units and templates joined by their bigrams."""
+    """The same in SQL: units, runs of lines among them, and templates joined by their bigrams."""
     rows = ", ".join(
         f"({i}, '{name}', [{', '.join(repr(g) for g in template_bigrams(t))}])"
         for i, (name, t) in enumerate(templates.items())
@@ -314,7 +327,28 @@ def oracle(templates: Mapping[str, str] = TEMPLATES) -> str:
           lambda x: trim(replace(x, chr(10), ' '))),
         [array_to_string(list_filter(l, lambda x: x <> ''), ' ')]))) AS u
       FROM lines),
-    words AS (SELECT doc_id, u, string_split(u, ' ') AS w FROM units),
+    filled AS (SELECT doc_id, list_filter(l, lambda x: x <> '') AS l FROM lines),
+    known AS (SELECT list_distinct(flatten(list(grams))) AS g FROM templates),
+    texts AS (
+      SELECT doc_id, l, string_split(array_to_string(l, ' '), ' ') AS w FROM filled WHERE len(l) > 2),
+    longest AS (
+      SELECT doc_id, l, max(CASE WHEN 3 * len(list_intersect(t.g, grams)) >= 2 * len(grams) THEN 3 * len(grams) // 2 ELSE 0 END) AS most
+      FROM (SELECT doc_id, l, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM texts) t,
+        templates
+      GROUP BY doc_id, l),
+    first_lines AS (
+      SELECT doc_id, l, most, s, string_split(l[s] || coalesce(' ' || string_split(l[s + 1], ' ')[1], ''), ' ') AS w
+      FROM (SELECT doc_id, l, most, unnest(range(1, len(l) + 1)) AS s FROM longest WHERE most > 0)),
+    starts AS (
+      SELECT doc_id, l, most, s FROM (
+        SELECT doc_id, l, most, s, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f
+        FROM first_lines), known
+      WHERE 10 * len(list_intersect(f, g)) > 4 * len(f)),
+    runs AS (
+      SELECT DISTINCT doc_id, array_to_string(l[s:e], ' ') AS u
+      FROM (SELECT doc_id, l, s, unnest(range(s, least(s + most, len(l)) + 1)) AS e FROM starts)),
+    words AS (
+      SELECT doc_id, u, string_split(u, ' ') AS w FROM (SELECT * FROM units UNION SELECT * FROM runs)),
     grams AS (
       SELECT doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
       FROM words WHERE len(w) > 1),

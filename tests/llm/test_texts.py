@@ -338,6 +338,32 @@ def test_licences_of_several_paragraphs_in_longer_texts(spark):
         assert r["licenses"].replace("header;Apache-2.0 notice", "header") == (r["name"] or "")  # its first line is a notice
 
 
+def test_runs_of_lines_equal_the_sql_and_grow_with_the_text(spark):
+    import random
+
+    import duckdb
+
+    draw = random.Random(5)
+    vocabulary = "the of in and to software copyright notice license a river green walking houses people".split()
+    prose = lambda n: "\n".join(" ".join(draw.choices(vocabulary, k=draw.randrange(1, 9))) for _ in range(n))
+    rows = [None, "", prose(300)]
+    for name in ("MIT", "ISC", "Apache-2.0 header", "BSD-2-Clause"):
+        own = license_scan.TEMPLATES[name].split()
+        for width in (9, 30):
+            lines = "\n\n".join("# " + " ".join(own[i : i + width]) for i in range(0, len(own), width))
+            rows += [f"{prose(12)}\n{lines}\n{prose(12)}", f"{lines}\n{lines}", f"{prose(3)} {lines} {prose(3)}", lines[: len(lines) // 2]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in license_scan.scan(docs).collect())
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert got == sorted(con.execute(license_scan.oracle()).fetchall())
+    assert sum(r[1] is not None for r in got) >= 24
+    long = spark.createDataFrame([(1, f"{prose(1500)}\n{lines}\n{prose(1500)}")], docs.schema)
+    began = time.monotonic()
+    assert license_scan.scan(long).first()["license"] == name
+    assert time.monotonic() - began < 120
+
+
 def test_every_match_has_a_telling_word():
     import random
 
