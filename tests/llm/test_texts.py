@@ -445,6 +445,29 @@ def test_main_text(spark):
     assert main_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("holder", "comments"),
+    [
+        *((h, c) for h in ("div class=q9", "article") for c in ("short", "long")),
+        (None, "short"),
+        pytest.param(None, "long", marks=pytest.mark.xfail(strict=True, reason="comments pass the threshold where no element holds the article")),
+    ],
+)
+def test_ratios_alone_tell_pages_with_meaningless_names(holder, comments):
+    said = "The river rose in the night, and by morning the lower fields were under water; people had not seen it in years."
+    paragraphs = [f"{said} Chapter {i}." for i in range(6)]
+    menu = "<div class=q1><ul>" + "".join(f"<li><a href=/{i}>Part {i}</a></li>" for i in range(8)) + "</ul></div>"
+    advert = "<div class=q2><span>Buy now</span></div><div class=q2><span>Best price today</span></div>"
+    remark = "<b>user</b><span>nice one</span>" if comments == "short" else "<p>I liked this, really, it was good.</p>"
+    article = "<h1>A flood</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+    if holder:
+        article = f"<{holder}>{article}</{holder.split()[0]}>"
+    page = f"<body>{menu}{advert}{article}<div class=q3>{f'<div class=q4>{remark}</div>' * 5}</div></body>"
+    elements, found = main_text.blocks(page)
+    assert not any(e.outside for e in elements) and any(b.text == "Buy now" for b in found)  # no list leaves anything out
+    assert main_text.extract(page) == "\n".join(["A flood", *paragraphs])
+
+
 def test_only_real_links_count_as_linked():
     said = "This is the text, and it goes on for a while, as an article does."
     for anchor in ("<a name=top>", '<a id="x"/>', "<a name='href=x'>", '<a title=" href=">', "<p><a href=/>Up</p>", "<a>", "<a href=/><h2>Up</h2>"):
