@@ -180,7 +180,8 @@ def _starts(lines: Column, grams: Column) -> Column:
     given ones.
 
     Without another first line a run scores no less: of a run that reaches p / d, the shared bigrams are at least p / 2d
-    of its own and the template's together, so a line that brings in a smaller share only lowers the score.
+    of its own and the template's together, so a line that brings in a smaller share only lowers the score. Where bigrams
+    of the line recur in the run this does not hold, and such a run is not looked at.
     """
     p, d = DICE
 
