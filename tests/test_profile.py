@@ -130,6 +130,44 @@ def test_quantiles_of_nothing(spark):
     assert exact_quantiles(df, [], [0.5]) == {}
 
 
+def test_quantiles_of_heavy_tails_take_two_scans(spark, folder):
+    rng = np.random.default_rng(11)
+    n = 40_000
+    pdf = pd.DataFrame({
+        "tail": rng.standard_cauchy(n) ** 3,
+        "spike": np.where(rng.random(n) < 0.6, 7.0, rng.lognormal(0, 30, n)),
+        "zeros": np.where(rng.random(n) < 0.5, -0.0, 0.0),
+    })
+    spark.createDataFrame(pdf).repartition(6).write.parquet(folder + "/t")
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = spark.read.parquet(folder + "/t")
+    counted = table.mapInArrow(passed, table.schema)
+    probabilities = [0.001, 0.25, 0.5, 0.99, 0.9999]
+    got = exact_quantiles(counted, list(pdf.columns), probabilities, gather_values=20, bins=8)
+    assert seen.value == 2 * n
+    for name in pdf.columns:
+        for p in probabilities:
+            assert got[name][p] == pytest.approx(np.quantile(pdf[name], p), rel=1e-9)
+
+
+def test_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
+    from flowmill.operators import quantiles
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("a"))
+    real = F.percentile_approx
+    for shift in (-600.0, 600.0):
+        monkeypatch.setattr(
+            quantiles.F, "percentile_approx", lambda c, p, acc, by=shift: F.transform(real(c, p, acc), lambda x: x + by)
+        )
+        assert exact_quantiles(df, ["a"], [0.25, 0.5]) == {"a": {0.25: 249.75, 0.5: 499.5}}
+
+
 def test_variance_ranking_is_the_sample_variance(spark):
     df = spark.createDataFrame([(1.0, 10.0, 5), (2.0, 30.0, 5), (INF, 20.0, 5)], "a double, b double, c int")
     assert [tuple(r) for r in profile.variance_ranking(df).collect()] == [("b", 100.0), ("a", 0.5), ("c", 0.0)]
