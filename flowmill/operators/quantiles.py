@@ -113,17 +113,18 @@ def _bracket(values: DataFrame, searches: list[_Search], gather_values: int, bin
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         below = np.zeros(len(keys), np.int64)
         for batch in batches:
-            held = {}
+            order, found = {}, []
             for b, (column, low, high) in enumerate(keys):
-                if column not in held:
-                    x = batch.column(column).drop_null().to_numpy()
-                    held[column] = np.sort(x) + 0.0
-                x = held[column]
+                if column not in order:
+                    order[column] = np.sort(batch.column(column).drop_null().to_numpy()) + 0.0
+                x = order[column]
                 a, z = np.searchsorted(x, low, "left"), np.searchsorted(x, high, "right")
                 below[b] += a
                 if z > a:
-                    found, n = np.unique(x[a:z], return_counts=True)
-                    yield _counted(np.full(len(found), b), found, n)
+                    starts = np.flatnonzero(np.concatenate([[True], x[a + 1 : z] != x[a : z - 1]]))
+                    found.append((np.full(len(starts), b), x[a:z][starts], np.diff(starts, append=z - a)))
+            if found:
+                yield _counted(*(np.concatenate(part) for part in zip(*found, strict=True)))
         yield _counted(np.arange(len(keys)), np.full(len(keys), -np.inf), below)
 
     counted = values.mapInArrow(count, "b int, x double, n long").groupBy("b", "x").agg(F.sum("n").alias("n"))
