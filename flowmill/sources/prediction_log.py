@@ -1,8 +1,9 @@
 """The prediction log: an append-only parquet table with one folder per date and logged batch.
 
-A batch writes (or, when repeated after a failure, rewrites) its own folder, so every
-prediction is stored once. Order is (logged_at, batch_id, seq). Dates are partitions, so readers
-of the newest rows leave older folders alone.
+A batch writes a new version of itself each time it is repeated, in a folder of its own below the batch. Readers take the
+newest version that is complete (Spark's ``_SUCCESS`` file), so every prediction counts once and a reader sees
+one whole version of each batch at any time. The version before stays for those who have just chosen it. Order is
+(logged_at, batch_id, seq). Dates are partitions, so readers of the newest rows leave older folders alone.
 """
 
 from __future__ import annotations
@@ -57,35 +58,67 @@ def log_rows(scored: DataFrame, seq: str, features: str = "features_json") -> Da
     )
 
 
+def _versions(spark: SparkSession, batches: str) -> dict[str, list[tuple[str, str]]]:
+    """Per batch its complete versions as (version, folder), oldest first; ``batches`` is a pattern of batch folders.
+
+    A batch folder that holds files itself is the oldest version, with an empty name.
+    """
+    found: dict[str, list[tuple[str, str]]] = {}
+    for below in ("", "/v*"):
+        for folder in (done.rsplit("/", 1)[0] for done in files.glob(spark, f"{batches}{below}/_SUCCESS")):
+            batch, version = folder.rsplit("/", 1) if below else (folder, "")
+            found.setdefault(batch.rsplit("/batch_id=", 1)[1], []).append((version, folder))
+    return {batch: sorted(versions) for batch, versions in found.items()}
+
+
+def _current(spark: SparkSession, batches: str) -> list[str]:
+    """What to read: the newest complete version of every batch."""
+    newest = (versions[-1] for versions in _versions(spark, batches).values())
+    return [folder if version else f"{folder}/*.parquet" for version, folder in newest]
+
+
+def _store(rows: DataFrame, batches: str, folder: str, batch: str) -> None:
+    """Write a further version of a batch, then remove all but the newest two that are complete."""
+    spark = rows.sparkSession
+    number = max((int(v[1:7]) for v in files.folders(spark, f"{batches}/v*")), default=0) + 1
+    rows.write.parquet(f"{folder}/v{number:06d}-{uuid.uuid4().hex[:8]}")
+    for version, old in _versions(spark, batches)[batch][:-2]:
+        files.delete(spark, old if version else f"{old}/*.parquet")
+        if not version:
+            files.delete(spark, f"{old}/_SUCCESS")
+
+
 def append(rows: DataFrame, path: str, batch: str | None = None, run: str | None = None) -> str:
     """Store one batch of a run; repeating a batch id replaces that batch, on whatever date. Returns the id."""
     spark, batch = rows.sparkSession, batch or f"batch-{uuid.uuid4().hex}"
-    files.delete(spark, f"{path}/log_date=*/batch_id={batch}")
     today = datetime.datetime.now(datetime.timezone.utc).date()
     rows = rows.withColumn("run", F.lit(run).cast("string"))
-    rows.write.mode("overwrite").parquet(f"{path}/log_date={today}/batch_id={batch}")
+    _store(rows, f"{path}/log_date=*/batch_id={batch}", f"{path}/log_date={today}/batch_id={batch}", batch)
     return batch
 
 
 def add_time(spark: SparkSession, path: str, batch: str, run: str, seconds: float) -> None:
     """How long a batch of a run took, kept beside the log; a repeated batch replaces its time."""
     row = small_table(spark, [(seconds, run)], "seconds double, run string")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}_times/batch_id={batch}")
+    folder = f"{path}_times/batch_id={batch}"
+    _store(row.coalesce(1), folder, folder, batch)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log; an absent log reads as empty and is not created."""
-    if not files.exists(spark, path):
-        return small_table(spark, [], SCHEMA)
-    return spark.read.schema(SCHEMA).option("basePath", path).parquet(path)
+    """The whole log as it is now; an absent log reads as empty and is not created."""
+    return _read(spark, path, f"{path}/log_date=*/batch_id=*", SCHEMA)
 
 
 def read_times(spark: SparkSession, path: str) -> DataFrame:
     """(seconds, run, batch_id) of the batches of a log."""
-    at = f"{path}_times"
-    if not files.exists(spark, at):
-        return small_table(spark, [], TIMES)
-    return spark.read.schema(TIMES).option("basePath", at).parquet(at)
+    return _read(spark, f"{path}_times", f"{path}_times/batch_id=*", TIMES)
+
+
+def _read(spark: SparkSession, base: str, batches: str, schema: T.StructType) -> DataFrame:
+    paths = _current(spark, batches)
+    if not paths:
+        return small_table(spark, [], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
 def recent(log: DataFrame, limit: int = DEFAULT_RECENT, max_limit: int | None = None) -> DataFrame:
