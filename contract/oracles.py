@@ -519,6 +519,12 @@ def oracle_sql() -> dict[str, str]:
         f"TRUE AS timed, TRUE AS rated FROM events WHERE {which}"
         for run, which in runs
     )
+    sql["stream_parity"] = (
+        "SELECT coalesce(l.seq, r.seq) AS seq, left_class, right_class FROM "
+        "(SELECT event_id::varchar AS seq, event_type AS left_class FROM events WHERE event_id % 13 <> 0) l FULL OUTER JOIN "
+        "(SELECT event_id::varchar AS seq, CASE WHEN event_id % 5 = 0 THEN 'other' ELSE event_type END AS right_class "
+        "FROM events WHERE event_id % 11 <> 0) r ON l.seq = r.seq WHERE left_class IS DISTINCT FROM right_class"
+    )
     # explanations
     sql["explain_additivity"] = with_flows(
         f"SELECT 'random_forest' AS model, {TEST_ROWS} AS flows, 0::bigint AS not_additive, 0::bigint AS other_class "

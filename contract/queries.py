@@ -6,6 +6,7 @@ at the same fitted result.
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Callable
 
@@ -647,6 +648,29 @@ def stream_class_counts(spark, sf_dir):
     return live.current_counts(spark, table)
 
 
+def stream_parity(spark, sf_dir):
+    """Differences of two running streams of scores: some classes differ, and each side lacks some flows.
+
+    A flow of a later time, alike on both sides, closes the streams.
+    """
+    events = _events(spark, sf_dir).select("seq", "logged_at", "predicted_class", "event_id")
+    first, last = events.agg(F.min("logged_at"), F.max("logged_at")).first()
+    days = (last - first).days + 1
+    other = F.when(F.col("event_id") % 5 == 0, "other").otherwise(F.col("predicted_class"))
+    sides = (events.where("event_id % 13 <> 0"), events.where("event_id % 11 <> 0").withColumn("predicted_class", other))
+    closing = small_table(spark, [("closing", last + datetime.timedelta(days=3 * days), "view", 0)], events.schema)
+    streams = []
+    for rows in sides:
+        source = new_path(spark, "scores")
+        live.write_replay(rows, source, max(rows.count() // 2, 1), key="seq")
+        closing.write.mode("append").parquet(source)
+        streams.append(live.replay_stream(spark, source, events.schema))
+    found = new_path(spark, "differences")
+    matched = live.parity_stream(*streams, "seq", "logged_at", f"{days} days")
+    live.differences_to_table(matched, found, new_path(spark, "stream")).awaitTermination()
+    return spark.read.schema("seq string, left_class string, right_class string").parquet(found)
+
+
 def _logged_events(spark, sf_dir):
     """Two runs, one name the beginning of the other: all events, and only the attacks."""
     log, stream = new_path(spark, "log"), _event_stream(spark, sf_dir)
@@ -818,6 +842,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_reports": stored_reports,
         "log_round_trip": log_round_trip,
         "stream_scores_match_batch": stream_scores_match_batch,
+        "stream_parity": stream_parity,
         "stream_class_counts": stream_class_counts,
         "stream_log_rows": stream_log_rows,
         "stream_session_summary": stream_session_summary,

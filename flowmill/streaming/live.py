@@ -109,6 +109,33 @@ def current_counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{max(complete)}")
 
 
+def parity_stream(left: DataFrame, right: DataFrame, key: str, time: str, within: str) -> DataFrame:
+    """``score_parity`` of two running streams: (key, left_class, right_class, matches).
+
+    Scores of one flow lie at most ``within`` (an interval, such as "10 minutes") apart in event time, and rows come at most
+    that late; later ones are dropped. A pair comes out when its second score arrives. A flow that only one side has comes
+    out, with a null class for the other, once both watermarks are past its time and ``within``, so the state holds
+    no more than such a span of both streams. The newest rows wait for later ones of both sides.
+    """
+    sides = []
+    for side, stream in (("left", left), ("right", right)):
+        when = q(time).cast("timestamp").alias(f"{side}_time")
+        told = stream.select(q(key).alias(f"{side}_key"), when, F.col("predicted_class").alias(f"{side}_class"))
+        sides.append(told.withWatermark(f"{side}_time", within))
+    span = F.expr(f"INTERVAL {within}")
+    near = (F.col("left_time") >= F.col("right_time") - span) & (F.col("left_time") <= F.col("right_time") + span)
+    met = sides[0].join(sides[1], (F.col("left_key") == F.col("right_key")) & near, "full_outer")
+    same = F.col("left_class").eqNullSafe(F.col("right_class"))
+    both = F.col("left_key").isNotNull() & F.col("right_key").isNotNull()
+    return met.select(F.coalesce("left_key", "right_key").alias(key), "left_class", "right_class", (both & same).alias("matches"))
+
+
+def differences_to_table(matched: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Append what ``parity_stream`` finds different to a table, as it is found."""
+    differing = matched.where(~F.col("matches")).drop("matches")
+    return start(differing.writeStream.format("parquet").option("path", path), checkpoint, interval)
+
+
 def run_seconds(spark: SparkSession, log_path: str, run: str) -> float:
     """Seconds that all batches of a run took, over every restart."""
     times = prediction_log.read_times(spark, log_path).where(F.col("run") == run)

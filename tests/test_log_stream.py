@@ -91,6 +91,48 @@ def test_a_batch_repeated_on_a_later_date_is_stored_once(spark, folder):
     assert prediction_log.read_log(spark, path).count() == 10
 
 
+def test_a_reader_sees_one_whole_version_of_a_repeated_batch(spark, folder):
+    path = folder + "/log"
+    rows = prediction_log.log_rows(scored_rows(spark, 10), "key")
+    for confidence in (0.1, 0.2):
+        prediction_log.append(rows.withColumn("confidence", F.lit(confidence)), path, "b1", "r")
+    chosen = prediction_log.read_log(spark, path)  # before the repeat, read after it
+    fails = F.when(F.col("seq") == "0007", F.raise_error(F.lit("lost")).cast("double")).otherwise(F.lit(0.3))
+    with pytest.raises(Exception, match="lost"):
+        prediction_log.append(rows.repartition(3).withColumn("confidence", fails), path, "b1", "r")
+    assert {tuple(r) for r in prediction_log.read_log(spark, path).groupBy("confidence").count().collect()} == {(0.2, 10)}
+    prediction_log.append(rows.withColumn("confidence", F.lit(0.4)), path, "b1", "r")
+    assert {tuple(r) for r in chosen.groupBy("confidence").count().collect()} == {(0.2, 10)}
+    assert {tuple(r) for r in prediction_log.read_log(spark, path).groupBy("confidence").count().collect()} == {(0.4, 10)}
+    kept = [at for at, _, held in os.walk(path) if "_SUCCESS" in held]
+    assert len(kept) == 2  # the newest and the one before
+    for seconds in (1.0, 2.0):
+        prediction_log.add_time(spark, path, "b1", "r", seconds)
+    assert [tuple(r) for r in prediction_log.read_times(spark, path).collect()] == [(2.0, "r", "b1")]
+
+
+def test_parity_of_streams_survives_a_restart(spark, folder):
+    def rows(part, left):
+        shown = spark.range(part * 20, part * 20 + 20).where(F.col("id") % 7 != (0 if left else 1))
+        late = F.when((F.col("id") % 3 == 0) & F.lit(not left), "DoS").otherwise("BENIGN")
+        at = F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000)
+        return shown.select(F.col("id").cast("string").alias("seq"), at.alias("at"), late.alias("predicted_class"))
+
+    counts = []
+    for part in (0, 1, 9):
+        for side in ("left", "right"):
+            rows(part, side == "left").coalesce(1).write.mode("append").parquet(f"{folder}/{side}")
+        sides = [live.replay_stream(spark, f"{folder}/{side}", rows(0, True).schema) for side in ("left", "right")]
+        matched = live.parity_stream(*sides, "seq", "at", "5 minutes")
+        live.differences_to_table(matched, folder + "/found", folder + "/check").awaitTermination()
+        found = spark.read.schema("seq string, left_class string, right_class string").parquet(folder + "/found")
+        counts.append(found.count())
+    whole = scoring.score_parity(*(spark.read.parquet(f"{folder}/{side}") for side in ("left", "right")), "seq")
+    wanted = {(r["seq"], r["left_class"], r["right_class"]) for r in whole.where("not matches and int(seq) < 40").collect()}
+    assert {tuple(r) for r in found.where("int(seq) < 40").collect()} == wanted
+    assert counts[0] >= 6 and counts == sorted(counts) and found.distinct().count() == found.count()
+
+
 def test_row_json_keeps_nulls_and_extra_columns(spark):
     df = spark.createDataFrame([(1.5, None, "more")], "`a b` double, c double, extra string")
     assert df.select(prediction_log.row_json(df)).first()[0] == '{"a b":1.5,"c":null,"extra":"more"}'
