@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmill.llm import decontamination, encoding, language, ngram_join, secrets
+from flowmill.llm.batches import bound_batches
 from flowmill.session import shared_dir
 
 
@@ -45,12 +47,26 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoding.round_trip(docs, path, keep=["doc_id", "lang", "source"], with_ids=True)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", known_language),
-    ("near_duplicates", one_of_each),
-    ("decontamination", without_benchmark),
-    ("secrets", without_secrets),
-    ("encode", encode),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with its texts handed to Python workers a few megabytes at a time."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", in_small_batches(known_language)),
+    ("near_duplicates", in_small_batches(one_of_each)),
+    ("decontamination", in_small_batches(without_benchmark)),
+    ("secrets", in_small_batches(without_secrets)),
+    ("encode", in_small_batches(encode)),
 ]
 
 #: Learned models and byte-pair merges are beyond SQL; tests hold the pipeline against a brute-force version.

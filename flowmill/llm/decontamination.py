@@ -158,6 +158,12 @@ def _item_passes(items: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     return [rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i) for i in range(passes)]
 
 
+def _index(texts: DataFrame, items: DataFrame, window: int, shingle: int) -> Index:
+    """The windows of one pass's items by their shingle that is rarest in the texts."""
+    own = Windows.of([(r["item"], r["text"]) for r in items.sort("item", "text").collect()], window)
+    return Index.of(own, shingle, _shingle_counts(texts, own, shingle) if len(own.words) else {})
+
+
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -182,9 +188,8 @@ def find(
     current = current.withColumns({"hits": F.array().cast(_SPANS), "items": F.array().cast("array<string>")})
     passes = _item_passes(items, item_id, item_text)
     for i, rows in enumerate(passes):
-        own = Windows.of([(r["item"], r["text"]) for r in rows.sort("item", "text").collect()], window)
-        seen = _shingle_counts(docs.select(q(text).cast("string").alias("text")), own, shingle) if len(own.words) else {}
-        current = _search(current, Index.of(own, shingle, seen), names)
+        index = _index(docs.select(q(text).cast("string").alias("text")), rows, window, shingle)
+        current = _search(current, index, names)
         if i + 1 < len(passes):
             current = materialize(current, "hits")
     return current.select(*(F.col(n).alias(c) for n, c in zip(names, kept, strict=True)), "n_words", "hits", "items")
@@ -233,12 +238,42 @@ def _merged(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item, with their columns."""
+    """The rows of ``docs`` that hold no window of any item, with their columns.
+
+    Rows are dropped where their text is searched, so each text goes to a task's worker once and comes back once.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.select(*(q(c).alias(n) for c, n in zip(docs.columns, names, strict=True)))
-    found = find(plain, items, text=names[docs.columns.index(text)], keep=names)
-    free = found.filter(F.size("items") == 0)
-    return free.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+    current = docs.select(*(q(c).alias(n) for c, n in zip(docs.columns, names, strict=True)))
+    own = names[docs.columns.index(text)]
+    searched = q(text).cast("string").alias("text")
+    passes = _item_passes(items, "item_id", "text")
+    for i, rows in enumerate(passes):
+        current = _without(current, _index(docs.select(searched), rows, WINDOW, SHINGLE), own)
+        if i + 1 < len(passes):
+            current = materialize(current, "clean")
+    return current.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+
+
+def _without(docs: DataFrame, index: Index, text: str) -> DataFrame:
+    """The rows whose text holds no window of the index."""
+    shared = Shared(docs.sparkSession, index)
+    columns, kind = docs.columns, docs.schema[text].dataType
+    searched = text
+    if kind.simpleString() != "string":
+        searched = "text"
+        docs = docs.withColumn(searched, F.col(text).cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.get()
+        for batch in batches:
+            for piece in pieces(batch, searched):
+                _, _, _, hashes, offsets = word_spans(piece.column(searched), ALPHANUMERIC)
+                starts, _ = own.occurrences(hashes, offsets)
+                free = np.ones(piece.num_rows, bool)
+                free[np.searchsorted(offsets, starts, side="right") - 1] = False
+                yield piece.select(columns).filter(pa.array(free))
+
+    return docs.mapInArrow(run, docs.select(*columns).schema)
 
 
 def oracle() -> str:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -127,6 +128,23 @@ def test_hits_and_items(spark, monkeypatch, pass_bytes):
     assert clean.count() == len(want) < len(docs)
 
 
+@pytest.mark.parametrize("pass_bytes", [16 << 20, 12])
+def test_clean_hands_every_text_to_the_workers_once(spark, monkeypatch, capsys, pass_bytes):
+    monkeypatch.setattr(decontamination, "PASS_BYTES", pass_bytes)
+    rows = [(1, "x a b y", b"1"), (2, "b a", b"2"), (2, "b a", b"2"), (None, None, None), (4, "", b"4"), (5, "E f.", b"5"), (6, "a", b"6")]
+    docs = spark.createDataFrame(rows, "`doc.id` long, text string, `n words` binary")
+    items = spark.createDataFrame([(1, "A b"), (2, "e-F"), (3, "q r s"), (4, None)], "item_id long, text string")
+    clean = decontamination.clean(docs, items)
+    assert clean.schema == docs.schema
+    assert sorted(map(str, clean.collect())) == sorted(map(str, (r for r in docs.collect() if r["doc.id"] not in (1, 5))))
+    clean.explain()
+    plan = capsys.readouterr().out
+    searched = re.findall(r"MapInArrow \w+\(([^)]*)\).*?, \[([^]]*)\]", plan)
+    assert [(len(a.split(",")), len(b.split(","))) for a, b in searched] == [(3, 3)], plan
+    binary = decontamination.clean(docs.withColumn("text", F.col("text").cast("binary")), items)
+    assert binary.schema["text"].dataType.simpleString() == "binary" and binary.count() == 5
+
+
 def test_no_items_and_no_documents(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
@@ -134,6 +152,13 @@ def test_no_items_and_no_documents(spark):
     assert decontamination.find(docs.limit(0), none).count() == 0
 
 
+def test_clean_without_items_or_documents(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [tuple(r) for r in decontamination.clean(docs, none).collect()] == [(1, "a b c")]
+    assert decontamination.clean(docs.limit(0), none).count() == 0
+
+
 # --- nearest vectors ---
 
 

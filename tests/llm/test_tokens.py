@@ -163,3 +163,25 @@ def test_every_stage_but_the_last_keeps_the_columns(spark):
             out = stage(spark, table, SMALL)
             assert out.columns == docs.columns, name
             assert out.count() <= table.count()
+
+
+def test_stages_hand_a_few_megabytes_to_workers_at_a_time(spark):
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "n"])
+
+    long = spark.range(300).select("id", F.repeat(F.lit("x"), 100_000).alias("text")).coalesce(1)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(bound)
+            stage(spark, docs, SMALL)
+            found = long.mapInArrow(sizes, "bytes long, n long").collect()
+            assert max(r["bytes"] for r in found) < 5 << 20 and sum(r["n"] for r in found) == 300, name
+        spark.conf.set(bound, "1m")
+        stage(spark, docs, SMALL)
+        assert spark.conf.get(bound) == "1m"  # a session's own bound stays
+    finally:
+        spark.conf.unset(bound)
