@@ -187,3 +187,58 @@ def test_bounds_leave_out_most_leaves_of_low_rank_features():
     boxes_only = neighbours.reachable(told[asked], 46, np.where(np.arange(78) < 46, low, -np.inf), np.where(np.arange(78) < 46, high, np.inf), bound, 0.0)
     assert near.sum() <= boxes_only.sum()
     assert not neighbours.reachable(told[asked], 46, low, high, np.zeros(len(asked)), 1.0).any()
+
+
+def flow_points(n, seed=3):
+    """Rows like those of a class of flows: two columns of few values, three that follow each other, one constant."""
+    draw = np.random.default_rng(seed)
+    quantity = draw.integers(1, 51, n).astype(float)
+    price = quantity * draw.uniform(900, 2000, n)
+    x = np.stack([quantity, price, price / quantity, draw.integers(0, 11, n), draw.integers(0, 9, n), np.ones(n)], axis=1).astype(float)
+    return (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_a_block_compares_only_near_tiles(monkeypatch, same):
+    """The neighbours of a full comparison, without making one."""
+    refs = flow_points(6_000)
+    queries, k = refs if same else flow_points(1_500, 4), 5
+    bound = np.full(len(queries), np.inf if same else 0.5)
+    whole = neighbours._closest(queries, refs, np.arange(len(refs)), k, bound, same)
+    compared, at = [], neighbours._closest
+    monkeypatch.setattr(neighbours, "_closest", lambda *a, **b: compared.append(1) or at(*a, **b))
+    found = neighbours.closest(queries, refs, k, bound, same)
+    assert not compared
+    assert all(np.array_equal(a, b) for a, b in zip(found, whole, strict=True))
+
+
+def test_tiles_find_ties_copies_and_only_what_is_asked():
+    draw = np.random.default_rng(5)
+    for n, width, k in ((1, 2, 3), (40, 1, 5), (300, 3, 4), (700, 2, 5)):
+        x = np.round(draw.normal(size=(n, width)), 1)
+        x[: n // 2] = x[0]
+        bound = np.where(draw.random(n) < 0.2, -np.inf, np.inf)
+        row, ref, apart = neighbours.closest(x, x, k, bound, True)
+        assert not np.isin(row, np.flatnonzero(bound < 0)).any() and (row != ref).all()
+        for i in np.flatnonzero(bound > 0):
+            d = np.delete(((x - x[i]) ** 2).sum(axis=1), i)
+            assert np.allclose(apart[row == i], np.sort(d)[:k]) and len(set(ref[row == i])) == min(k, n - 1)
+
+
+def test_without_near_tiles_a_block_is_compared_by_one_product(monkeypatch):
+    """46 independent features: tiles would only add to the work."""
+    x = np.random.default_rng(6).normal(size=(2_000, 46))
+    compared, at = [], neighbours._closest
+    monkeypatch.setattr(neighbours, "_closest", lambda *a, **b: compared.append(1) or at(*a, **b))
+    row, ref, apart = neighbours.closest(x, x, 5, np.full(len(x), np.inf), True)
+    assert compared == [1] and len(row) == 5 * len(x)
+
+
+def test_leaves_are_seldom_divided():
+    """Rows of a divided leaf all have to ask its other half: leaves leave room for chance."""
+    x, size = flow_points(60_000), 2_000
+    share = neighbours.SAMPLE_PER_BLOCK / size
+    sample = x[: int(share * len(x))]
+    tree = neighbours._grow(sample, int(neighbours.ROOM * size * share))
+    _, held = np.unique(neighbours._descend(tree, x), return_counts=True)
+    assert held[held > size].sum() < 0.1 * len(x)
