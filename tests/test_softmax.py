@@ -1,6 +1,7 @@
 """Softmax boosting against a plain version, and as a model of the library."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,26 @@ def test_odd_tables(spark):
     assert all(f == -1 for trees in model.rounds for t in trees for f in t.feature)
     shares = np.exp(model.margins(constant[:1].T.copy())[0])
     assert (np.argsort(shares) == np.argsort(np.bincount(y, minlength=3))).all()
+
+
+def test_blocks_lie_in_small_row_groups(spark, monkeypatch):
+    """However many rows a task has: what writes and reads blocks holds a row group, and a batch, of about 16 MB at most."""
+    written, bounds, at = [], [], softmax_boosting.materialize
+    name = softmax_boosting.BATCH_BYTES[0]
+
+    def spy(df, *told, **options):
+        bounds.append(spark.conf.get(name, None))
+        out = at(df, *told, **options)
+        for file in out.inputFiles():
+            groups = pq.ParquetFile(file.removeprefix("file:")).metadata
+            written.extend(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups))
+        return out
+
+    monkeypatch.setattr(softmax_boosting, "materialize", spy)
+    rows = spark.range(0, 900_000, 1, 1).select(F.array(*[F.rand(i) for i in range(8)]).alias("x"), (F.col("id") % 3).cast("double").alias("label"))
+    data = rows.select(models.array_to_vector("x").alias("features"), "label")
+    before = spark.conf.get(name, None)
+    model = softmax_boosting.fit(data, 3, {"rounds": 1, "max_depth": 1, "max_bins": 8})
+    assert len(model.rounds) == 1 and sum(written) > 60_000_000
+    assert max(written) < 20_000_000
+    assert all(b is not None for b in bounds) and spark.conf.get(name, None) == before
